@@ -6,7 +6,7 @@ import importlib
 
 from leadspark.registry import ORACLES, QUERIES
 
-MODULES = ("q_panel",)
+MODULES = ("q_panel", "q_features", "q_register", "q_profile")
 
 for _name in MODULES:
     importlib.import_module(f"leadspark.plans.{_name}")

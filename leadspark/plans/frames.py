@@ -12,6 +12,11 @@ from leadspark.sources.tables import COMPANIES_SQL, companies
 
 SPEC = PanelSpec(as_of=datetime(1998, 12, 1))
 
+# Groups of the test tables that stand for the segments a deployment names.
+BIG_CANTONS = tuple(f"NATION_{i}" for i in range(5))
+MAJOR_CANTONS = tuple(f"NATION_{i}" for i in range(10))
+MAJOR_FORMS = ("BUILDING", "MACHINERY")
+
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling_panel(companies(spark, sf_dir), SPEC)
@@ -40,12 +45,6 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_demo_score(panel(spark, sf_dir)).select("row_key", "company_id", "snapshot_date", "target", "score")
 
 
-def splits(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    from leadspark.operators.splits import split_by_dates
-
-    return split_by_dates(df)
-
-
 SNAPSHOTS_SQL = """
 snapshots AS (
   SELECT TIMESTAMP '1998-12-01 00:00:00' - to_months(n) AS snapshot_date

@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 from leadspark import schema as S
 from leadspark.functions import features as X
 from leadspark.functions.dates import add_months, iso_date
+from leadspark.functions.hashing import hash32_sql
 from leadspark.operators import panel as P
 from leadspark.operators.ranking import random_rows
 from leadspark.operators.splits import split_dates
-from leadspark.plans.frames import CURRENT_SQL, FEATURES_SQL, PANEL_SQL, SPEC, current, features, panel, with_demo_score, SCORED_SQL, scored
+from leadspark.plans.frames import BIG_CANTONS, CURRENT_SQL, FEATURES_SQL, PANEL_SQL, SCORED_SQL, SPEC, current, features, panel, with_demo_score
 from leadspark.registry import query
-from leadspark.functions.hashing import hash32_sql
 from leadspark.sources.tables import COMPANIES_SQL, companies
 
-DAY = "strftime({}, '%Y-%m-%d')"
-
-
 def _day(c):
     return iso_date(F.col(c)).alias(c)
 
@@ -185,15 +182,15 @@ def flt_dates_in(spark, sf):
     "flt_positive_segments",
     "WITH " + PANEL_SQL + """SELECT row_key, canton, size_class,
   CASE WHEN size_class IN ('GROSS', 'SEHR GROSS', 'MITTEL') THEN 1 ELSE 0 END AS is_large,
-  CASE WHEN coalesce(canton IN ('FRANCE', 'GERMANY', 'CHINA', 'JAPAN', 'BRAZIL'), false) THEN 0 ELSE 1 END AS is_outside
+  CASE WHEN coalesce(canton IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4'), false) THEN 0 ELSE 1 END AS is_outside
 FROM panel WHERE target = 1 AND (size_class IN ('GROSS', 'SEHR GROSS', 'MITTEL')
-  OR NOT coalesce(canton IN ('FRANCE', 'GERMANY', 'CHINA', 'JAPAN', 'BRAZIL'), false))""",
+  OR NOT coalesce(canton IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4'), false))""",
 )
 def flt_positive_segments(spark, sf):
     from leadspark.operators.sampling import LARGE_SIZES
 
     large = F.col("size_class").isin(*LARGE_SIZES)
-    outside = ~F.coalesce(F.col("canton").isin("FRANCE", "GERMANY", "CHINA", "JAPAN", "BRAZIL"), F.lit(False))
+    outside = ~F.coalesce(F.col("canton").isin(*BIG_CANTONS), F.lit(False))
     rows = panel(spark, sf).where((F.col("target") == 1) & (large | outside))
     return rows.select("row_key", "canton", "size_class", large.cast("int").alias("is_large"), outside.cast("int").alias("is_outside"))
 
@@ -208,7 +205,7 @@ def flt_finite(spark, sf):
 
 @query(
     "prj_value_map",
-    "WITH " + PANEL_SQL + """SELECT CASE WHEN canton IN ('FRANCE', 'GERMANY', 'CHINA') THEN canton ELSE 'OTHER' END AS canton_group,
+    "WITH " + PANEL_SQL + """SELECT CASE WHEN canton IN ('NATION_0', 'NATION_1', 'NATION_2') THEN canton ELSE 'OTHER' END AS canton_group,
   CASE WHEN legal_form IN ('BUILDING', 'MACHINERY') THEN legal_form ELSE 'OTHER' END AS legal_group, count(*) AS n
 FROM panel GROUP BY 1, 2""",
 )
@@ -216,7 +213,7 @@ def prj_value_map(spark, sf):
     return (
         panel(spark, sf)
         .groupBy(
-            X.grouped_value(F.col("canton"), ("FRANCE", "GERMANY", "CHINA")).alias("canton_group"),
+            X.grouped_value(F.col("canton"), BIG_CANTONS[:3]).alias("canton_group"),
             X.grouped_value(F.col("legal_form"), ("BUILDING", "MACHINERY")).alias("legal_group"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
@@ -326,11 +323,11 @@ def set_union_all(spark, sf):
 @query(
     "set_except_rows",
     "WITH " + PANEL_SQL + """SELECT row_key, canton FROM panel WHERE row_key NOT IN
-  (SELECT row_key FROM panel WHERE target = 1 AND canton NOT IN ('FRANCE', 'GERMANY', 'CHINA', 'JAPAN', 'BRAZIL'))""",
+  (SELECT row_key FROM panel WHERE target = 1 AND canton NOT IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4'))""",
 )
 def set_except_rows(spark, sf):
     df = panel(spark, sf).select("row_key", "canton", "target")
-    gone = df.where((F.col("target") == 1) & ~F.col("canton").isin("FRANCE", "GERMANY", "CHINA", "JAPAN", "BRAZIL")).select("row_key")
+    gone = df.where((F.col("target") == 1) & ~F.col("canton").isin(*BIG_CANTONS)).select("row_key")
     return df.join(gone, "row_key", "left_anti").select("row_key", "canton")
 
 
