@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from leadspark.functions.hashing import SPACE, hash32
 from leadspark.operators.lookup import lookup_join
+from leadspark.session import cut
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 2048
@@ -226,3 +227,18 @@ def _quantiles_by_running_counts(df: DataFrame, col: str, probs: list[float], ro
         lo, hi = at(int(np.floor(x))), at(int(np.ceil(x)))
         out.append(lo + (hi - lo) * (x - np.floor(x)))
     return out
+
+
+def ordered_index(distinct: DataFrame, col: str, out: str, partitions: int = 32) -> DataFrame:
+    """0-based position of each row in the order of ``col``, for values of any type.
+
+    Rows are range-partitioned and sorted once, written to the checkpoint folder
+    so the partitions stay as they are, and numbered within their partition.
+    """
+    placed = cut(distinct.repartitionByRange(partitions, col).sortWithinPartitions(col))
+    placed = placed.withColumn("_id", F.monotonically_increasing_id())
+    placed = placed.withColumns({"_p": F.shiftright("_id", 33), "_i": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    starts = sizes.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
+    return placed.join(F.broadcast(starts), "_p").withColumn(out, F.col("_i") + F.col("_o")).select(*distinct.columns, out)

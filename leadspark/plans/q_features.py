@@ -139,9 +139,8 @@ def fn_minmax(spark, sf):
     return minmax_score(scored(spark, sf), "score", "p").select("row_key", F.round("p", 6).alias("p"))
 
 
-@query("fn_sqrt_l2", """WITH c AS (SELECT list_transform(range(64), i -> CAST(i AS DOUBLE) / 64) AS origin)
-SELECT vec_id, round(sqrt(greatest(list_sum(list_transform(list_zip(embedding, origin), x -> (CAST(x[1] AS DOUBLE) - x[2]) * (CAST(x[1] AS DOUBLE) - x[2]))), 0)), 6) AS dist
-FROM embeddings, c""")
+@query("fn_sqrt_l2", """SELECT vec_id, round(sqrt(greatest(sum((CAST(e AS DOUBLE) - (i - 1) / 64.0::DOUBLE) * (CAST(e AS DOUBLE) - (i - 1) / 64.0::DOUBLE)), 0)), 6) AS dist
+FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY vec_id""")
 def fn_sqrt_l2(spark, sf):
     origin = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("double") / 64)
     dist = X.safe_sqrt(X.squared_distance(F.col("embedding"), origin))
