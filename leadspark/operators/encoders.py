@@ -66,28 +66,28 @@ def standardize(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, fl
 def fit_power(df: DataFrame, cols: list[str], points: int = 13, rounds: int = 4, low: float = -2.0, high: float = 2.0) -> dict[str, float]:
     """Yeo-Johnson lambda of each column by maximum likelihood.
 
-    All columns and all candidate lambdas share one aggregation per round; each
-    round narrows every column's interval around its best candidate.
+    Each round is one aggregation over (column, candidate) for all columns and
+    narrows every column's interval around its best candidate.
     """
     bounds = {c: (low, high) for c in cols}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "x").where(F.col("x").isNotNull())
+    sums = {r["column"]: r for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("shift")).collect()}
     best: dict[str, float] = {}
     for _ in range(rounds):
         grids = {c: np.linspace(a, b, points) for c, (a, b) in bounds.items()}
         at = F.create_map(*[e for c in cols for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-        lam = F.element_at(at, F.col("column"))
-        aggs = [F.var_pop(yeo_johnson(F.col("x"), lam[i])).alias(f"v{i}") for i in range(points)]
-        shift = F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("shift")
-        for row in long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), shift, *aggs).collect():  # one row per column
-            grid = grids[row["column"]]
-            var = np.array([row[f"v{i}"] if row[f"v{i}"] else np.nan for i in range(points)], dtype=float)
-            like = -row["n"] / 2 * np.log(var) + (grid - 1) * row["shift"]
+        tried = long.select("column", "x", F.posexplode(F.element_at(at, F.col("column"))).alias("i", "lam"))
+        spread = tried.groupBy("column", "i").agg(F.var_pop(yeo_johnson(F.col("x"), F.col("lam"))).alias("var")).collect()  # columns x points
+        found = {(r["column"], r["i"]): r["var"] for r in spread}
+        for c, total in sums.items():
+            var = np.array([found[c, i] or np.nan for i in range(points)], dtype=float)
+            like = -total["n"] / 2 * np.log(var) + (grids[c] - 1) * total["shift"]
             if np.all(np.isnan(like)):
-                best[row["column"]] = 1.0
+                best[c] = 1.0
                 continue
             i = int(np.nanargmax(like))
-            best[row["column"]] = float(grid[i])
-            bounds[row["column"]] = (float(grid[max(i - 1, 0)]), float(grid[min(i + 1, points - 1)]))
+            best[c] = float(grids[c][i])
+            bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
     return {c: best.get(c, 1.0) for c in cols}
 
 
@@ -316,6 +316,7 @@ class LeadPreprocessor(Estimator):
         r = self.roles
         df = add_company_features(dataset)
         r.check(df)
+        df = cut(df.select(*r.features, self.target))  # the passes below read this narrow frame, not the joins behind it
         numbers = [*r.numeric, *r.ordinal]
         mids = medians(df, numbers)
         filled = impute(df, mids)
@@ -332,8 +333,9 @@ class LeadPreprocessor(Estimator):
 
     def fit_transform(self, dataset: DataFrame) -> tuple["LeadPreprocessorModel", DataFrame]:
         """The fitted model, and the training rows with cross-fitted target encodings."""
-        model = self.fit(dataset)
-        encoded = cross_fitted_encoding(add_company_features(dataset), list(self.roles.high_card), self.target, self.key)
+        fixed = cut(dataset)
+        model = self.fit(fixed)
+        encoded = cross_fitted_encoding(add_company_features(fixed), list(self.roles.high_card), self.target, self.key)
         return model, model.assemble(encoded)
 
 

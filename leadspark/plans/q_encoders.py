@@ -10,6 +10,7 @@ from leadspark.operators import encoders as E
 from leadspark.operators.splits import split_by_dates
 from leadspark.plans.frames import FEATURES_SQL, features
 from leadspark.registry import query
+from leadspark.session import cut
 from leadspark.schema import HIGH_CARD, NUMERIC, RoleSchema, autodetect_roles
 
 FEAT = "WITH " + FEATURES_SQL
@@ -32,7 +33,7 @@ def enc_const(spark, sf):
 @query("enc_power")
 def enc_power(spark, sf):
     df = features(spark, sf).select("row_key", *NUMERIC)
-    filled = E.impute(df, E.medians(df, list(NUMERIC)))
+    filled = cut(E.impute(df, E.medians(df, list(NUMERIC))))
     return E.power_transform(filled, E.fit_power(filled, list(NUMERIC)))
 
 
