@@ -316,7 +316,7 @@ class LeadPreprocessor(Estimator):
         r = self.roles
         df = add_company_features(dataset)
         r.check(df)
-        df = cut(df.select(*r.features, self.target))  # the passes below read this narrow frame, not the joins behind it
+        df = cut(df.select(*r.features, self.target), spread=True)  # the passes below read this narrow frame, not the joins behind it
         numbers = [*r.numeric, *r.ordinal]
         mids = medians(df, numbers)
         filled = impute(df, mids)
@@ -333,7 +333,7 @@ class LeadPreprocessor(Estimator):
 
     def fit_transform(self, dataset: DataFrame) -> tuple["LeadPreprocessorModel", DataFrame]:
         """The fitted model, and the training rows with cross-fitted target encodings."""
-        fixed = cut(dataset)
+        fixed = cut(dataset, spread=True)
         model = self.fit(fixed)
         encoded = cross_fitted_encoding(add_company_features(fixed), list(self.roles.high_card), self.target, self.key)
         return model, model.assemble(encoded)

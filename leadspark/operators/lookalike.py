@@ -94,7 +94,7 @@ def fit_prototypes(
     The driver keeps k centres; each step is an aggregation. Every step starts
     from the same stored frame with new literals, so plans do not grow.
     """
-    prepared = cut(df.select(key, *[F.col(c).cast("double").alias(c) for c in numeric], *[or_missing(F.col(c)).alias(c) for c in categorical]))
+    prepared = cut(df.select(key, *[F.col(c).cast("double").alias(c) for c in numeric], *[or_missing(F.col(c)).alias(c) for c in categorical]), spread=True)
     spread = prepared.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first() if numeric else []
     gamma = 0.5 * float(np.mean([s or 0.0 for s in spread])) if numeric else 1.0
     best: tuple[float, Prototypes] | None = None

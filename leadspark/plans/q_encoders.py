@@ -33,7 +33,7 @@ def enc_const(spark, sf):
 @query("enc_power")
 def enc_power(spark, sf):
     df = features(spark, sf).select("row_key", *NUMERIC)
-    filled = cut(E.impute(df, E.medians(df, list(NUMERIC))))
+    filled = cut(E.impute(df, E.medians(df, list(NUMERIC))), spread=True)
     return E.power_transform(filled, E.fit_power(filled, list(NUMERIC)))
 
 

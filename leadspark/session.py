@@ -47,7 +47,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/leadspark/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, spread: bool = False) -> DataFrame:
+    """Write the frame to the shared checkpoint folder and go on from there.
+
+    ``spread`` deals a frame with fewer partitions than cores out to all cores,
+    for work that is heavy per row; a frame that already has more is left alone.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    fixed = df.checkpoint(eager=True)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and fixed.rdd.getNumPartitions() < cores:
+        fixed = fixed.repartition(cores).checkpoint(eager=True)
+    return fixed
