@@ -139,11 +139,11 @@ class FittedModel:
     def score(self, df: DataFrame, out: str = "p") -> DataFrame:
         if self.model is None:
             return df.withColumn(out, single_class_probability(F.lit(self.constant)))
-        scored = self.model.transform(df)
+        model = self.model.copy().setPredictionCol("_m_class")
         if self.kind == "rank":
-            return scored.withColumn(out, sigmoid(F.col("prediction"))).drop("prediction")
-        extra = [c for c in ("rawPrediction", "probability", "prediction") if c not in df.columns]
-        return scored.withColumn(out, vector_to_array("probability")[1]).drop(*extra)
+            return model.transform(df).withColumn(out, sigmoid(F.col("_m_class"))).drop("_m_class")
+        model = model.setRawPredictionCol("_m_raw").setProbabilityCol("_m_prob")
+        return model.transform(df).withColumn(out, vector_to_array("_m_prob")[1]).drop("_m_raw", "_m_prob", "_m_class")
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         return self.score(df, "_p").withColumn(out, (F.col("_p") >= 0.5).cast("int")).drop("_p")
