@@ -63,7 +63,7 @@ def standardize(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, fl
 # ---- power transform ----------------------------------------------------------------------------
 
 
-def fit_power(df: DataFrame, cols: list[str], points: int = 13, rounds: int = 4, low: float = -2.0, high: float = 2.0) -> dict[str, float]:
+def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4, low: float = -2.0, high: float = 2.0) -> dict[str, float]:
     """Yeo-Johnson lambda of each column by maximum likelihood.
 
     Each round is one aggregation over (column, candidate) for all columns and
@@ -169,9 +169,9 @@ def onehot_bucket(spec: OneHotSpec) -> Column:
     return out
 
 
-def onehot_columns(spec: OneHotSpec) -> list[Column]:
+def onehot_columns(spec: OneHotSpec, bucket: Column | None = None) -> list[Column]:
     """0/1 columns; an unseen category is 0 in all of them."""
-    b = onehot_bucket(spec)
+    b = onehot_bucket(spec) if bucket is None else bucket
     values = [*spec.kept, *([INFREQUENT] if spec.has_rare else [])]
     return [F.coalesce((b == F.lit(v)).cast("double"), F.lit(0.0)) for v in values]
 
@@ -378,11 +378,12 @@ class LeadPreprocessorModel(Model, MLWritable, MLReadable):
             parts.append((yeo_johnson(numbers[c], self.state.lambdas[c]) - mean) / F.lit(float(std)))
         parts += [numbers[c] for c in r.ordinal]
         for spec in self.onehot:
-            parts += onehot_columns(spec)
+            parts += onehot_columns(spec, F.col(f"_b_{spec.column}"))
         parts += [F.col(f"{c}_te") for c in r.high_card]
         names = [f"_f{i}" for i in range(len(parts))]
-        wide = with_known_flags(encoded, self.onehot, self.table).withColumns(dict(zip(names, parts)))
-        out = VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names, *[f"{c}_te" for c in r.high_card], *[f"_seen_{s.column}" for s in self.onehot])
+        buckets = {f"_b_{s.column}": onehot_bucket(s) for s in self.onehot}
+        wide = with_known_flags(encoded, self.onehot, self.table).withColumns(buckets).withColumns(dict(zip(names, parts)))
+        out = VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names, *[f"{c}_te" for c in r.high_card], *buckets, *[f"_seen_{s.column}" for s in self.onehot])
         attrs = {"numeric": [{"idx": i, "name": n} for i, (n, _) in enumerate(self.feature_names)]}
         return out.withMetadata("features", {"ml_attr": {"attrs": attrs, "num_attrs": len(parts)}})
 
