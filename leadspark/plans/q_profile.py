@@ -53,7 +53,7 @@ def agg_describe(spark, sf):
 @query(
     "agg_numextra",
     _union(
-        """SELECT '@' AS "column", CAST(max(@) - min(@) AS DOUBLE) AS range, count(DISTINCT @) AS distinct_values, count(*) FILTER (WHERE @ = 0) AS zeros,
+        """SELECT '@' AS "column", round(CAST(max(@) - min(@) AS DOUBLE), 6) AS range, count(DISTINCT @) AS distinct_values, count(*) FILTER (WHERE @ = 0) AS zeros,
 round(count(*) FILTER (WHERE @ = 0) * 100.0 / count(*), 6) AS zero_pct FROM prospects""",
         NUMBERS,
     ),
