@@ -109,10 +109,13 @@ def fit_prototypes(
         )
         cost = float("inf")
         for _ in range(max_iter):
-            moved, new_cost = _update(prepared, p)
-            if moved == p or new_cost >= cost:
+            moved, new_cost = _update(prepared, p)  # the cost is that of ``p``
+            if new_cost >= cost:
                 break
-            p, cost = moved, new_cost
+            cost = new_cost
+            if moved == p:
+                break
+            p = moved
         if best is None or cost < best[0]:
             best = (cost, p)
     return best[1]
