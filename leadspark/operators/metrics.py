@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from leadspark.functions.features import is_finite
 from leadspark.operators.ranking import ROWS_PER_BUCKET, exact_quantiles, quantile_group, running_sums, top_k, with_rank
+from leadspark.session import cut
 
 EPS = 1e-12
 
@@ -48,9 +49,12 @@ def score_counts(df: DataFrame, target: str = "target", score: str = "score") ->
 
 
 def curve(df: DataFrame, target: str = "target", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Per distinct score: counts, counts at or above it, and the totals."""
-    counts = score_counts(df, target, score)
-    totals = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("long")).alias("p")).first()
+    """Per distinct score: counts, counts at or above it, and the totals.
+
+    The counts are stored first: the source is read once, whatever follows.
+    """
+    counts = cut(score_counts(df, target, score))
+    totals = counts.agg(F.sum("n").alias("n"), F.sum("pos").alias("p")).first()
     cum = running_sums(
         counts, -F.col("score"), F.lit(0), {"n_above": F.col("n"), "tp": F.col("pos")}, rows_per_bucket
     )
@@ -226,12 +230,12 @@ def with_deciles(df: DataFrame, score: str, key: str, bins: int = 10, rows_per_b
     """Finite scores with their rank from the top and quantile group."""
     ok = df.where(is_finite(F.col(score)))
     n = ok.count()
-    return with_rank(ok, -F.col(score), F.col(key), rows_per_bucket=rows_per_bucket).withColumn("decile", quantile_group(F.col("rank"), n, bins))
+    return with_rank(ok, -F.col(score), F.col(key), rows_per_bucket=rows_per_bucket, n=n).withColumn("decile", quantile_group(F.col("rank"), n, bins))
 
 
 def gains_table(df: DataFrame, target: str = "target", score: str = "score", key: str = "row_key", bins: int = 10, **kw) -> DataFrame:
     """Per decile from the top: rows, positives, rate and lift over the base rate."""
-    per = with_deciles(df, score, key, bins, **kw).groupBy("decile").agg(
+    per = with_deciles(cut(df.select(key, target, score)), score, key, bins, **kw).groupBy("decile").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("long")).alias("positives")
     )
     everything = Window.partitionBy()  # at most ``bins`` rows
@@ -242,7 +246,7 @@ def gains_table(df: DataFrame, target: str = "target", score: str = "score", key
 
 def cumulative_gains(df: DataFrame, target: str = "target", score: str = "score", key: str = "row_key", bins: int = 10, **kw) -> DataFrame:
     """Share of population and of positives reached by each decile."""
-    per = with_deciles(df, score, key, bins, **kw).groupBy("decile").agg(
+    per = with_deciles(cut(df.select(key, target, score)), score, key, bins, **kw).groupBy("decile").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("long")).alias("positives")
     )
     upto = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most ``bins`` rows

@@ -35,14 +35,14 @@ def _edge_index(df: DataFrame, source: str, edges: np.ndarray, out: str) -> Data
 
 
 def with_order_bucket(
-    df: DataFrame, value: Column, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS
+    df: DataFrame, value: Column, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS, n: int | None = None
 ) -> tuple[DataFrame, int]:
     """Add ``_v``, ``_k`` and ``_bucket``; the bucket never decreases along (value, key).
 
-    ``value`` must be finite. Returns the frame and the number of buckets aimed at.
+    ``value`` must be finite; ``n`` is the row count where it is known. Returns the frame and the number of buckets aimed at.
     """
     base = df.withColumns({"_v": value.cast("double") + F.lit(0.0), "_k": key.cast("double") + F.lit(0.0)})
-    n = df.count()
+    n = df.count() if n is None else n
     m = int(min(max_buckets, -(-n // rows_per_bucket)))
     if m <= 1:
         return base.withColumn("_bucket", F.lit(0).cast("long")), 1
@@ -70,11 +70,11 @@ def with_order_bucket(
 
 
 def running_sums(
-    df: DataFrame, value: Column, key: Column, sums: dict[str, Column], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, value: Column, key: Column, sums: dict[str, Column], rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
 ) -> DataFrame:
     """Inclusive running sums along (value asc, key asc) over all rows."""
     cols = df.columns
-    bucketed, buckets = with_order_bucket(df.withColumns({f"_s_{k}": c for k, c in sums.items()}).withColumn("_key", key), value, F.col("_key"), rows_per_bucket)
+    bucketed, buckets = with_order_bucket(df.withColumns({f"_s_{k}": c for k, c in sums.items()}).withColumn("_key", key), value, F.col("_key"), rows_per_bucket, n=n)
     w = Window.partitionBy("_bucket").orderBy("_v", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumns({f"_l_{k}": F.sum(f"_s_{k}").over(w) for k in sums})
     if buckets == 1:
@@ -85,9 +85,11 @@ def running_sums(
     return local.join(F.broadcast(starts), "_bucket").select(*cols, *[(F.col(f"_l_{k}") + F.col(f"_o_{k}")).alias(k) for k in sums])
 
 
-def with_rank(df: DataFrame, order: Column, key: Column, out: str = "rank", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_rank(
+    df: DataFrame, order: Column, key: Column, out: str = "rank", rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
+) -> DataFrame:
     """1..n along (order asc, key asc). Negate a score to rank it from the top."""
-    return running_sums(df, order, key, {out: F.lit(1).cast("long")}, rows_per_bucket)
+    return running_sums(df, order, key, {out: F.lit(1).cast("long")}, rows_per_bucket, n)
 
 
 def quantile_group(rank: Column, n: Column | int, groups: int) -> Column:
@@ -101,7 +103,7 @@ def quantile_group(rank: Column, n: Column | int, groups: int) -> Column:
 def rank_leads(scored: DataFrame, score: str = "p_convert", key: str = "company_id", groups: int = 10, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Rank from the best score down and put the ranks into deciles."""
     n = scored.count()
-    ranked = with_rank(scored, -F.col(score), F.col(key), rows_per_bucket=rows_per_bucket)
+    ranked = with_rank(scored, -F.col(score), F.col(key), rows_per_bucket=rows_per_bucket, n=n)
     return ranked.withColumn("decile", quantile_group(F.col("rank"), n, groups))
 
 
@@ -110,8 +112,8 @@ def average_rank_share(df: DataFrame, score: str, out: str = "p_rank", rows_per_
 
     Ranks are worked out once per distinct score; rows then look theirs up.
     """
-    counts = df.groupBy(score).agg(F.count(F.lit(1)).alias("_c"))
-    n = df.count()
+    counts = cut(df.groupBy(score).agg(F.count(F.lit(1)).alias("_c")))  # read several times below
+    n = counts.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
     cum = running_sums(counts, F.col(score), F.lit(0), {"_upto": F.col("_c")}, rows_per_bucket)
     share = cum.select(score, ((F.col("_upto") - F.col("_c") + (F.col("_c") + 1) / 2) / F.lit(float(n))).alias(out))
     return lookup_join(df, share, score)
@@ -207,7 +209,7 @@ def exact_quantiles(
 
 
 def _quantiles_by_running_counts(df: DataFrame, col: str, probs: list[float], rows_per_bucket: int) -> list[float | None]:
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counts = cut(df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
     n = counts.agg(F.sum("c")).first()[0]
     if not n:
         return [None] * len(probs)

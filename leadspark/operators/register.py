@@ -17,22 +17,30 @@ CANTON = "KT"
 
 
 def normalise(events: DataFrame) -> DataFrame:
-    """Month start, upper-case canton and event type."""
+    """Month start, upper-case canton and event type.
+
+    ``publications`` says how many events a row stands for; without it each row is one.
+    """
+    n = F.col("publications") if "publications" in events.columns else F.lit(1).cast("long")
     return events.select(
         month_start(F.col("publication_date")).alias("month"),
         F.upper(F.trim("kanton")).alias("kanton"),
         F.upper("shab_id").alias("shab_id"),
+        n.alias("publications"),
     )
 
 
+def counts_by_canton(events: DataFrame) -> DataFrame:
+    return normalise(events).groupBy("month", "kanton", "shab_id").agg(F.sum("publications").alias("count"))
+
+
 def monthly_counts(events: DataFrame) -> DataFrame:
     """Counts per canton and for the country, both levels from one aggregation.
 
     The country level is rolled up from the canton counts, so rows are read once
     and no level is expanded row by row.
     """
-    by_canton = normalise(events).groupBy("month", "kanton", "shab_id").agg(F.count(F.lit(1)).alias("count"))
-    levels = by_canton.groupingSets([["month", "kanton", "shab_id"], ["month", "shab_id"]], "month", "kanton", "shab_id").agg(
+    levels = counts_by_canton(events).groupingSets([["month", "kanton", "shab_id"], ["month", "shab_id"]], "month", "kanton", "shab_id").agg(
         F.sum("count").alias("count"), F.grouping("kanton").alias("_total")
     )
     return levels.select(
@@ -113,8 +121,7 @@ def time_series(cube: DataFrame, metric: str, last_n: int = 0, geo: str = COUNTR
 
 def heat_map(cube: DataFrame, metric: str, last_n: int = 0) -> DataFrame:
     """Every canton in every visible month, 0 where there is no row."""
-    months = visible_months(cube, last_n)
     rows = dashboard_rows(cube, metric, 0, CANTON).select("kanton", "month", "count")
-    cantons = cube.where(F.col("kanton").isNotNull()).agg(F.collect_set("kanton").alias("all"))
-    grid = months.join(F.broadcast(cantons)).select("month", F.explode("all").alias("kanton"))  # one row of canton codes
+    cantons = [r[0] for r in cube.where(F.col("kanton").isNotNull()).select("kanton").distinct().collect()]  # canton codes
+    grid = visible_months(cube, last_n).withColumn("kanton", F.explode(F.array(*[F.lit(c) for c in cantons]).cast("array<string>")))
     return grid.join(rows, ["kanton", "month"], "left").fillna(0, ["count"])

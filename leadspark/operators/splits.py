@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from leadspark.operators.ranking import ROWS_PER_BUCKET, hash_ranked, with_rank
 
+MAX_DATES = 10_000
+
 
 def distinct_dates(df: DataFrame, date: str = "snapshot_date") -> DataFrame:
     return df.where(F.col(date).isNotNull()).select(date).distinct()
 
 
 def split_dates(df: DataFrame, date: str = "snapshot_date") -> list:
-    """Sorted distinct dates, fewer than three being an error. Snapshot dates are few by design."""
-    dates = [r[0] for r in distinct_dates(df, date).orderBy(date).limit(10_000).collect()]
+    """Sorted distinct dates; fewer than three, or more than ``MAX_DATES``, is an error."""
+    dates = sorted(r[0] for r in distinct_dates(df, date).take(MAX_DATES + 1))
+    if len(dates) > MAX_DATES:
+        raise ValueError(f"more than {MAX_DATES} distinct values in {date}: not a snapshot column")
     if len(dates) < 3:
         raise ValueError("need at least 3 distinct snapshot dates for train, validation and test")
     return dates

@@ -108,7 +108,7 @@ def fn_cross_feature(spark, sf):
 @query("fn_norm_case", "WITH " + REGISTER_SQL + "SELECT kanton, shab_id, count(*) AS n FROM shab GROUP BY 1, 2")
 def fn_norm_case(spark, sf):
     df = register_events(spark, sf)
-    return df.groupBy(F.upper(F.trim("kanton")).alias("kanton"), F.upper("shab_id").alias("shab_id")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.upper(F.trim("kanton")).alias("kanton"), F.upper("shab_id").alias("shab_id")).agg(F.sum("publications").alias("n"))
 
 
 @query("fn_to_number", "WITH " + COMPANIES_SQL + "SELECT company_id, TRY_CAST(postal_code AS DOUBLE) AS postal_number FROM companies")

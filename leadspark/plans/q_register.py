@@ -39,8 +39,7 @@ def _month(df):
 
 @query("agg_month_canton", CUBE_SQL + "SELECT month, kanton, hr, \"count\" FROM cube_rows WHERE geo = 'KT' AND hr <> 'NET'")
 def agg_month_canton(spark, sf):
-    counts = R.normalise(register_events(spark, sf)).groupBy("month", "kanton", "shab_id").agg(F.count(F.lit(1)).alias("count"))
-    return _month(counts).withColumnRenamed("shab_id", "hr")
+    return _month(R.counts_by_canton(register_events(spark, sf))).withColumnRenamed("shab_id", "hr")
 
 
 @query("agg_month_total", CUBE_SQL + "SELECT month, geo, kanton, hr, \"count\" FROM cube_rows WHERE hr <> 'NET'")

@@ -145,3 +145,18 @@ def agg_dist_compare(spark, sf):
     after = A.stratified_sample(before, MAX, **GROUPS)
     df = A.distribution_shift(before, after, "size_class")
     return df.select("value", *[F.round(c, 6).alias(c) for c in ("before_pct", "after_pct", "diff_points")])
+
+
+@query(
+    "fn_parse_strategy",
+    "WITH " + PANEL_SQL + """SELECT s AS strategy, r AS ratio, CAST((SELECT sum(target) FROM panel) AS BIGINT) AS minority_rows,
+  least(CAST(floor((SELECT sum(target) FROM panel) / r) AS BIGINT), (SELECT count(*) - sum(target) FROM panel)) AS majority_rows
+FROM (VALUES ('auto', 1.0::DOUBLE), ('0.5', 0.5::DOUBLE), (' 0.25 ', 0.25::DOUBLE)) v(s, r)""",
+)
+def fn_parse_strategy(spark, sf):
+    """Rows a balanced draw takes from each class under each strategy text."""
+    counts = panel(spark, sf).groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()
+    n = {r["target"]: r["n"] for r in counts}
+    parsed = [(s, {"auto": 1.0}.get(A.parse_sampling_strategy(s), A.parse_sampling_strategy(s))) for s in ("auto", "0.5", " 0.25 ")]
+    rows = [(s, float(r), n[1], min(int(n[1] / r), n[0])) for s, r in parsed]
+    return spark.createDataFrame(rows, "strategy string, ratio double, minority_rows long, majority_rows long")

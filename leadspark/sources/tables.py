@@ -162,21 +162,26 @@ companies AS (
 
 
 def register_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commercial-register publications: (publication_date, kanton, shab_id).
+    """Commercial-register publications by month: (publication_date, kanton, shab_id, publications).
 
     Orders stand in for publications: an open order is an entry, a filled one a
-    deletion, others are no event.
+    deletion, others are no event. They are counted per customer, month and type
+    before the join, so a customer with very many orders is a few rows by then.
     """
     orders = read_table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("O", "F"))
+    counted = orders.groupBy(
+        F.col("o_custkey").alias("c_custkey"), F.date_trunc("month", "o_orderdate").alias("publication_date"), "o_orderstatus"
+    ).agg(F.count(F.lit(1)).alias("publications"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        counted.join(customer, "c_custkey")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("o_orderdate").alias("publication_date"),
+            "publication_date",
             F.lower(F.concat(F.lit(" "), F.col("n_name"))).alias("kanton"),
             F.when(F.col("o_orderstatus") == "O", "hr01").otherwise("hr03").alias("shab_id"),
+            "publications",
         )
     )
 

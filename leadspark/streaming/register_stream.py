@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadspark.functions.dates import iso_date
-from leadspark.operators.register import normalise
+from leadspark.operators.register import counts_by_canton
 from leadspark.session import scratch_path
 from leadspark.sources.tables import read_table
 
@@ -40,7 +40,7 @@ def counts_once(spark: SparkSession, events: DataFrame) -> DataFrame:
     runs again after a failure writes the same result.
     """
     path = scratch_path(spark, "register-stream")
-    counts = normalise(events).groupBy("month", "kanton", "shab_id").agg(F.count(F.lit(1)).alias("count"))
+    counts = counts_by_canton(events)
 
     def publish(batch: DataFrame, version: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/counts/version={version}")
