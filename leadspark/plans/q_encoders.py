@@ -146,17 +146,43 @@ def enc_target_cv(spark, sf):
     return df.select("row_key", *[F.round(f"{c}_te", 6).alias(f"{c}_te") for c in cols])
 
 
-@query("enc_autodetect")
+MASTER_TEXT = [
+    "company_name", "postal_code", "canton", "city", "legal_form", "legal_code", "industry_code_02", "industry_code_04", "industry_code_06",
+    "industry_text_02", "industry_text_04", "industry_text_06", "headcount_band", "revenue_band", "size_class", "stock_category",
+]
+MADE_TEXT = ["company_age_bucket", "plz2", "plz3", "noga_division", "noga_group", "noga_section", "canton_noga_section"]
+MASTER_NUMBERS = ["company_id", "founding_year", "headcount", "headcount_band_order", "revenue", "revenue_band_order", "risk_class"]
+MADE_NUMBERS = [
+    "company_age_years", "company_age_log", "month_sin", "month_cos", "is_quarter_end", "is_summer", "quarter", "is_missing_headcount",
+    "headcount_log1p", "is_missing_revenue", "revenue_log1p",
+]
+
+
+def _kind_sql(cols: list[str], kind: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{kind}' AS kind, round(CAST(count(*) - count({c}) AS DOUBLE) / count(*), 6) AS null_share FROM feat" for c in cols
+    )
+
+
+@query("enc_autodetect", FEAT + _kind_sql(MASTER_TEXT + MADE_TEXT, "categorical") + " UNION ALL " + _kind_sql(MASTER_NUMBERS + MADE_NUMBERS, "numeric"))
 def enc_autodetect(spark, sf):
     df = features(spark, sf)
     found = autodetect_roles(df, exclude=("row_key", "target"))
     kinds = {c: kind for kind, cols in zip(("categorical", "numeric"), found) for c in cols}
     shares = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in kinds])
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col(c).alias("null_share")) for c, k in kinds.items()]
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.round(c, 6).alias("null_share")) for c, k in kinds.items()]
     return shares.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
-@query("prj_roles", None)
+def _role_sql() -> str:
+    r = RoleSchema()
+    roles = {c: role for role in ("numeric", "ordinal", "low_card", "high_card") for c in getattr(r, role)}
+    other = ["joined_at", "left_at", "deleted_at", "snapshot_date", "target", "row_key"]
+    cols = MASTER_TEXT + MADE_TEXT + MASTER_NUMBERS + MADE_NUMBERS + other
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{roles.get(c, 'drop')}' AS role, count({c}) AS n_values FROM feat" for c in cols)
+
+
+@query("prj_roles", FEAT + _role_sql())
 def prj_roles(spark, sf):
     """Every column with the treatment its role gives it, and how many values it holds."""
     r = RoleSchema()

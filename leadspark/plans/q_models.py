@@ -15,6 +15,7 @@ from leadspark.operators.encoders import LeadPreprocessor, LeadPreprocessorModel
 from leadspark.operators.scorers import TopKEvaluator, lift_at_k_scorer, precision_at_k_scorer, recall_at_k_scorer
 from leadspark.operators.splits import gap_rows, split_by_dates, time_folds, with_position
 from leadspark.plans.frames import PANEL_SQL, SCORED_SQL, features, panel, scored
+from leadspark.plans.q_metrics import CURVE_SQL
 from leadspark.registry import query
 from leadspark.session import cut, scratch_path
 
@@ -191,7 +192,14 @@ def cal_beta(spark, sf):
     return _calibrated(spark, sf, "beta")
 
 
-@query("met_scorers")
+@query(
+    "met_scorers",
+    CURVE_SQL + """, r AS (SELECT target, row_number() OVER (ORDER BY score DESC, row_key) AS r FROM scored)
+SELECT 'precision_at_k' AS metric, round(avg(target) FILTER (WHERE r <= 200), 6) AS value FROM r
+UNION ALL SELECT 'recall_at_k', round(sum(target) FILTER (WHERE r <= 200) / CAST(sum(target) AS DOUBLE), 6) FROM r
+UNION ALL SELECT 'lift_at_k', round(avg(target) FILTER (WHERE r <= 200) / avg(target), 6) FROM r
+UNION ALL SELECT 'average_precision', round(sum(pos / p * prec), 6) FROM c""",
+)
 def met_scorers(spark, sf):
     """Scorers bound to k = 200 on the demo score."""
     df = cut(scored(spark, sf))
@@ -201,7 +209,7 @@ def met_scorers(spark, sf):
         "lift_at_k": lift_at_k_scorer(200, score="score"),
         "average_precision": TopKEvaluator("average_precision", score="score"),
     }
-    return spark.createDataFrame([(n, s.evaluate(df)) for n, s in scorers.items()], "metric string, value double")
+    return spark.createDataFrame([(n, round(s.evaluate(df), 6)) for n, s in scorers.items()], "metric string, value double")
 
 
 @query("imp_feature_names")

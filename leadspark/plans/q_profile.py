@@ -24,7 +24,7 @@ def _rounded(df, *cols):
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
-def _union(template: str, cols: list[str]) -> str:
+def union_sql(template: str, cols: list[str]) -> str:
     return "WITH " + CURRENT_SQL + " UNION ALL ".join(template.replace("@", c) for c in cols)
 
 
@@ -33,14 +33,17 @@ def agg_overview(spark, sf):
     return P.overview(current(spark, sf))
 
 
-@query("agg_missing", _union("SELECT '@' AS \"column\", count(*) - count(@) AS missing_count, round((count(*) - count(@)) * 100.0 / count(*), 6) AS missing_percentage FROM prospects", ALL))
+MISSING_SQL = "SELECT '@' AS \"column\", count(*) - count(@) AS missing_count, round((count(*) - count(@)) * 100.0 / count(*), 6) AS missing_percentage FROM prospects"
+
+
+@query("agg_missing", union_sql(MISSING_SQL, ALL))
 def agg_missing(spark, sf):
     return _rounded(P.missing_table(current(spark, sf).select(*ALL)), "missing_percentage")
 
 
 @query(
     "agg_describe",
-    _union(
+    union_sql(
         """SELECT '@' AS "column", count(@) AS "count", round(avg(@), 6) AS mean, round(stddev_samp(@), 6) AS std, CAST(min(@) AS DOUBLE) AS min,
 round(quantile_cont(@, 0.25), 6) AS p25, round(quantile_cont(@, 0.5), 6) AS p50, round(quantile_cont(@, 0.75), 6) AS p75, CAST(max(@) AS DOUBLE) AS max FROM prospects""",
         NUMBERS,
@@ -52,7 +55,7 @@ def agg_describe(spark, sf):
 
 @query(
     "agg_numextra",
-    _union(
+    union_sql(
         """SELECT '@' AS "column", round(CAST(max(@) - min(@) AS DOUBLE), 6) AS range, count(DISTINCT @) AS distinct_values, count(*) FILTER (WHERE @ = 0) AS zeros,
 round(count(*) FILTER (WHERE @ = 0) * 100.0 / count(*), 6) AS zero_pct FROM prospects""",
         NUMBERS,
@@ -67,12 +70,12 @@ SELECT @ AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, @)
 FROM prospects WHERE @ IS NOT NULL GROUP BY @) WHERE rank <= LIMIT_N)"""
 
 
-@query("agg_topcat", _union(TOPCAT_SQL.replace("LIMIT_N", "20"), TEXTS))
+@query("agg_topcat", union_sql(TOPCAT_SQL.replace("LIMIT_N", "20"), TEXTS))
 def agg_topcat(spark, sf):
     return _rounded(P.top_categories(current(spark, sf), TEXTS, 20), "pct")
 
 
-@query("snk_text", _union(TOPCAT_SQL.replace("LIMIT_N", "20"), ["canton", "size_class", "industry_code_02"]))
+@query("snk_text", union_sql(TOPCAT_SQL.replace("LIMIT_N", "20"), ["canton", "size_class", "industry_code_02"]))
 def snk_text(spark, sf):
     """The top-20 report as written to files and read back."""
     from leadspark.operators.sinks import read_category_report, write_category_report
@@ -85,7 +88,7 @@ def snk_text(spark, sf):
 
 @query(
     "agg_dates",
-    _union(
+    union_sql(
         """SELECT '@' AS "column", count(@) AS "count", strftime(min(@), '%Y-%m-%d') AS first, strftime(max(@), '%Y-%m-%d') AS last,
 CAST(date_diff('day', min(@), max(@)) AS BIGINT) AS span_days FROM prospects""",
         DATES,
@@ -128,7 +131,7 @@ def agg_postal(spark, sf):
     return _rounded(P.postal_numbers(current(spark, sf), "postal_code"), "numeric_pct")
 
 
-@query("agg_industry", _union(TOPCAT_SQL.replace("LIMIT_N", "10"), ["industry_text_02", "industry_text_04", "industry_text_06"]))
+@query("agg_industry", union_sql(TOPCAT_SQL.replace("LIMIT_N", "10"), ["industry_text_02", "industry_text_04", "industry_text_06"]))
 def agg_industry(spark, sf):
     df = current(spark, sf)
     return _rounded(P.top_categories(df, P.industry_columns(df), 10), "pct")
