@@ -140,11 +140,23 @@ def lk_kproto(spark, sf):
     )
 
 
-@query("lk_cluster_features")
+@query(
+    "lk_cluster_features",
+    "WITH " + PANEL_SQL + PROTO_SQL + """, d AS (SELECT snapshot_date, dense_rank() OVER (ORDER BY snapshot_date DESC) AS r FROM (SELECT DISTINCT snapshot_date FROM panel)),
+tr AS (SELECT a.* FROM asg a JOIN d ON a.snapshot_date = d.snapshot_date WHERE d.r > 2),
+rates AS (SELECT cluster_id, (sum(target) + (SELECT avg(target) FROM tr) * 15) / (count(*) + 15) AS rate FROM tr GROUP BY 1)
+SELECT a.row_key, CAST(a.cluster_id AS INTEGER) AS cluster_id, round(coalesce(rate, (SELECT avg(target) FROM tr)), 6) AS cluster_conversion_rate
+FROM asg a LEFT JOIN rates ON a.cluster_id = rates.cluster_id""",
+)
 def lk_cluster_features(spark, sf):
-    train, val, _ = split_by_dates(features(spark, sf).select("row_key", "snapshot_date", "target", *NUMBERS, *TEXTS))
-    model = K.fit_cluster_rates(train, NUMBERS, TEXTS, **FIT)
-    return model.transform(val).select("row_key", "cluster_id", "cluster_conversion_rate")
+    """A cluster model with given prototypes and rates of the training dates, applied to all rows."""
+    df = _base(spark, sf)
+    p = _prototypes(df)
+    train, _, _ = split_by_dates(K.assign_clusters(df, p))
+    rates = {r["cluster_id"]: r["rate"] for r in K.cluster_rates(train).collect()}  # one row per cluster
+    overall = train.agg(F.avg("target")).first()[0]
+    model = K.ClusterRateModel(p, {"x": (0.0, 1.0), "y": (0.0, 1.0)}, rates, overall)
+    return model.transform(df).select("row_key", "cluster_id", F.round("cluster_conversion_rate", 6).alias("cluster_conversion_rate"))
 
 
 @query("lk_combined")
