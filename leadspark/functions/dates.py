@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,11 @@ def ts_literal(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def literal_like(df: DataFrame, col: str, value) -> Column:
+    """Date or timestamp literal of the column's own type, whatever the time zones of session and driver."""
+    return F.lit(str(value)).cast(df.schema[col].dataType)
+
+
 def add_months(ts: Column, months: int) -> Column:
     """Shift by whole months, clamped to month end, keeping the time of day."""
     return ts + F.make_ym_interval(F.lit(0), F.lit(months))

@@ -186,7 +186,7 @@ def random_rows(df: DataFrame, key: Column, n: int, seed: int = 42) -> DataFrame
 
 
 def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], max_distinct: int = 1_000_000, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, cols: list[str], probs: list[float], max_distinct: int = 200_000, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, nulls left out.
 

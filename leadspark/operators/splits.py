@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadspark.functions.dates import literal_like
 from leadspark.operators.ranking import ROWS_PER_BUCKET, hash_ranked, with_rank
 
 MAX_DATES = 10_000
@@ -26,18 +27,21 @@ def split_dates(df: DataFrame, date: str = "snapshot_date") -> list:
     return dates
 
 
+def on_dates(df: DataFrame, dates: list, date: str = "snapshot_date") -> DataFrame:
+    return df.where(F.col(date).isin(*[literal_like(df, date, d) for d in dates]))
+
+
 def with_split(df: DataFrame, date: str = "snapshot_date") -> DataFrame:
     """Last date is the test split, the one before validation, all earlier ones training."""
     dates = split_dates(df, date)
-    d = F.col(date)
-    return df.withColumn("split", F.when(d == F.lit(dates[-1]), "test").when(d == F.lit(dates[-2]), "val").when(d.isNotNull(), "train"))
+    d, test, val = F.col(date), literal_like(df, date, dates[-1]), literal_like(df, date, dates[-2])
+    return df.withColumn("split", F.when(d == test, "test").when(d == val, "val").when(d.isNotNull(), "train"))
 
 
 def split_by_dates(df: DataFrame, date: str = "snapshot_date") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(train, validation, test); plain date filters, so partition pruning applies."""
     dates = split_dates(df, date)
-    d = F.col(date)
-    return df.where(d.isin(dates[:-2])), df.where(d == F.lit(dates[-2])), df.where(d == F.lit(dates[-1]))
+    return on_dates(df, dates[:-2], date), on_dates(df, dates[-2:-1], date), on_dates(df, dates[-1:], date)
 
 
 def samples_per_month_gap(df: DataFrame, months_gap: int = 2, date: str = "snapshot_date") -> DataFrame:

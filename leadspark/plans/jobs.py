@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadspark.functions.dates import iso_date
+from leadspark.functions.dates import iso_date, literal_like
 from leadspark.operators import metrics as M
 from leadspark.operators import models as L
 from leadspark.operators import profile as P
@@ -84,7 +84,7 @@ def train_and_score(companies: DataFrame, spec: PanelSpec, out: str, config: Tra
         encoded = _back_to_vectors(grown).join(dates, "row_key", "left")
         last = learn.agg(F.max("snapshot_date").alias("d"), F.max("company_id").alias("c")).first()
         encoded = encoded.withColumns(
-            {"snapshot_date": F.coalesce("snapshot_date", F.lit(last["d"])), "company_id": F.coalesce("company_id", F.lit(last["c"]) - F.col("row_key"))}
+            {"snapshot_date": F.coalesce("snapshot_date", literal_like(learn, "snapshot_date", last["d"])), "company_id": F.coalesce("company_id", F.lit(last["c"]) - F.col("row_key"))}
         )
     placed = cut(with_position(encoded.select(*keep)), spread=True)
     n = placed.count()

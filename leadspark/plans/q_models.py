@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from leadspark.operators import models as L
 from leadspark.operators.encoders import LeadPreprocessor, LeadPreprocessorModel
 from leadspark.operators.scorers import TopKEvaluator, lift_at_k_scorer, precision_at_k_scorer, recall_at_k_scorer
-from leadspark.operators.splits import gap_rows, split_by_dates, time_folds, with_position
+from leadspark.operators.splits import gap_rows, on_dates, split_by_dates, time_folds, with_position
 from leadspark.plans.frames import PANEL_SQL, SCORED_SQL, features, panel, scored
 from leadspark.plans.q_metrics import CURVE_SQL
 from leadspark.registry import query
@@ -143,7 +143,7 @@ def scr_single_class(spark, sf):
     """Cantons whose latest rows have one class get the constant probability of that class."""
     df = panel(spark, sf)
     last = df.agg(F.max("snapshot_date")).first()[0]
-    known = df.where(F.col("snapshot_date") == F.lit(last)).groupBy("canton").agg(F.min("target").alias("lo"), F.max("target").alias("hi"))
+    known = on_dates(df, [last]).groupBy("canton").agg(F.min("target").alias("lo"), F.max("target").alias("hi"))
     p = F.when(F.col("lo") == F.col("hi"), L.single_class_probability(F.col("lo")))
     return known.select("canton", p.alias("p"))
 

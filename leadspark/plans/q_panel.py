@@ -10,7 +10,7 @@ from leadspark.functions.dates import add_months, iso_date
 from leadspark.functions.hashing import hash32_sql
 from leadspark.operators import panel as P
 from leadspark.operators.ranking import random_rows
-from leadspark.operators.splits import split_dates
+from leadspark.operators.splits import on_dates, split_dates
 from leadspark.plans.frames import BIG_CANTONS, CURRENT_SQL, FEATURES_SQL, PANEL_SQL, SCORED_SQL, SPEC, current, features, panel, with_demo_score
 from leadspark.registry import query
 from leadspark.sources.tables import COMPANIES_SQL, companies
@@ -175,7 +175,7 @@ SELECT row_key, company_id FROM panel WHERE snapshot_date IN (SELECT snapshot_da
 )
 def flt_dates_in(spark, sf):
     df = panel(spark, sf)
-    return df.where(F.col("snapshot_date").isin(split_dates(df)[-2:])).select("row_key", "company_id")
+    return on_dates(df, split_dates(df)[-2:]).select("row_key", "company_id")
 
 
 @query(
