@@ -69,10 +69,9 @@ def base_counts(piece: ts.Slice) -> dict[str, np.ndarray]:
     cuts = np.flatnonzero(_BREAK[piece.buf])
     begin = np.unique(np.concatenate([piece.off[:-1], cuts + 1])) if len(piece.buf) else np.empty(0, np.int64)
     begin = begin[begin < len(piece.buf)]
-    stop = np.append(begin[1:], len(piece.buf))
-    stop = stop - (_BREAK[piece.buf[stop - 1]] if len(stop) else 0)
-    first = np.searchsorted(start, begin)
-    has_word = (first < len(start)) & (start[np.minimum(first, len(start) - 1)] < stop) if len(start) else np.zeros(len(begin), bool)
+    stop = np.append(begin[1:], len(piece.buf))[: len(begin)]
+    stop = stop - _BREAK[piece.buf[stop - 1]]
+    has_word = np.append(start, len(piece.buf))[np.searchsorted(start, begin)] < stop
     begin, stop = begin[has_word], stop[has_word]
     line_doc = np.searchsorted(piece.off, begin, "right") - 1
     keys = np.unique(ts.span_hashes(sums, begin, stop) ^ ts.mix(line_doc.astype(np.uint64) + np.uint64(1)), return_index=True)
