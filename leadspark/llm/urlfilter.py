@@ -124,11 +124,12 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...], value: st
 def _grams_of(s: Column, kind: str) -> Column:
     """Character n-grams of one part, marked with the part and its bounds."""
     marked = F.concat(F.lit("^"), s, F.lit("$"))
-    each = []
-    for n in GRAM_SIZES:
+
+    def of_size(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1)))
-        each.append(F.transform(starts, lambda i, n=n: F.concat(F.lit(f"{kind}{n}:"), F.substring(marked, i, F.lit(n)))))
-    return F.concat(*each)
+        return F.transform(starts, lambda i: F.concat(F.lit(f"{kind}{n}:"), F.substring(marked, i, F.lit(n))))
+
+    return F.concat(*(of_size(n) for n in GRAM_SIZES))
 
 
 def grams(host: Column, path: Column) -> Column:
