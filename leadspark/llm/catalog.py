@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leadspark.llm import q_decontam, q_jaccard, q_linefreq, q_packing, q_sharding, q_urlfilter  # noqa: F401
+from leadspark.llm import q_decontam, q_jaccard, q_linefreq, q_packing, q_sharding, q_tokenfile, q_urlfilter  # noqa: F401
 from leadspark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
