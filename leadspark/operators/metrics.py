@@ -28,6 +28,7 @@ def positives_share(df: DataFrame, target: str = "target") -> DataFrame:
 
 def at_k(df: DataFrame, k: int, target: str = "target", score: str = "score", key: str = "row_key") -> DataFrame:
     """precision, recall and lift among the k best rows; 0 where undefined."""
+    df = df.where(is_finite(F.col(score)))
     best = top_k(df.select(key, target, score), score, key, k).agg(
         F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(F.col(target).cast("long")), F.lit(0)).alias("_tp")
     )
@@ -42,8 +43,8 @@ def at_k(df: DataFrame, k: int, target: str = "target", score: str = "score", ke
 
 
 def score_counts(df: DataFrame, target: str = "target", score: str = "score") -> DataFrame:
-    """(score, n, pos): one row per distinct score."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    """(score, n, pos): one row per distinct score. Rows without a finite score are left out, here and in all curves."""
+    return df.where(is_finite(F.col(score).cast("double"))).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("long")).alias("pos")
     )
 

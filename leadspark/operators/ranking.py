@@ -14,13 +14,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadspark.functions.features import is_finite
 from leadspark.functions.hashing import SPACE, hash32
 from leadspark.operators.lookup import lookup_join
 from leadspark.session import cut
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 2048
+#: Rows drawn for each bucket's edge, fewer where there are very many buckets.
 SAMPLE_PER_BUCKET = 200
+SAMPLE_ROWS = 4_000_000
+LEAST_PER_BUCKET = 16
 HASH_BITS = 12
 
 
@@ -35,7 +38,7 @@ def _edge_index(df: DataFrame, source: str, edges: np.ndarray, out: str) -> Data
 
 
 def with_order_bucket(
-    df: DataFrame, value: Column, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS, n: int | None = None
+    df: DataFrame, value: Column, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
 ) -> tuple[DataFrame, int]:
     """Add ``_v``, ``_k`` and ``_bucket``; the bucket never decreases along (value, key).
 
@@ -43,11 +46,14 @@ def with_order_bucket(
     """
     base = df.withColumns({"_v": value.cast("double") + F.lit(0.0), "_k": key.cast("double") + F.lit(0.0)})
     n = df.count() if n is None else n
-    m = int(min(max_buckets, -(-n // rows_per_bucket)))
+    m = -(-n // rows_per_bucket)
     if m <= 1:
         return base.withColumn("_bucket", F.lit(0).cast("long")), 1
-    share = min(1.0, SAMPLE_PER_BUCKET * m / n)
-    drawn = base.where(hash32(key, seed=7) < F.lit(int(share * SPACE))).select("_v", "_k").toPandas()
+    each = max(LEAST_PER_BUCKET, min(SAMPLE_PER_BUCKET, SAMPLE_ROWS // m))
+    share = min(1.0, each * m / n)
+    # by value and key together: a constant key, or one value for all, still gives its share of rows
+    spot = F.pmod(F.xxhash64("_v", "_k"), F.lit(SPACE))
+    drawn = base.where(spot < F.lit(int(share * SPACE))).select("_v", "_k").limit(2 * each * m).toPandas()
     drawn = drawn.sort_values(["_v", "_k"], ignore_index=True)
     if len(drawn) < m:
         picks = drawn
@@ -101,7 +107,8 @@ def quantile_group(rank: Column, n: Column | int, groups: int) -> Column:
 
 
 def rank_leads(scored: DataFrame, score: str = "p_convert", key: str = "company_id", groups: int = 10, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Rank from the best score down and put the ranks into deciles."""
+    """Rank from the best score down and put the ranks into deciles. Rows without a finite score are left out."""
+    scored = scored.where(is_finite(F.col(score)))
     n = scored.count()
     ranked = with_rank(scored, -F.col(score), F.col(key), rows_per_bucket=rows_per_bucket, n=n)
     return ranked.withColumn("decile", quantile_group(F.col("rank"), n, groups))
@@ -110,9 +117,10 @@ def rank_leads(scored: DataFrame, score: str = "p_convert", key: str = "company_
 def average_rank_share(df: DataFrame, score: str, out: str = "p_rank", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Average rank from the lowest score up, divided by the number of rows.
 
-    Ranks are worked out once per distinct score; rows then look theirs up.
+    Ranks are worked out once per distinct score; rows then look theirs up. Rows
+    without a finite score are not counted and get no rank.
     """
-    counts = cut(df.groupBy(score).agg(F.count(F.lit(1)).alias("_c")))  # read several times below
+    counts = cut(df.where(is_finite(F.col(score))).groupBy(score).agg(F.count(F.lit(1)).alias("_c")))  # read several times below
     n = counts.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
     cum = running_sums(counts, F.col(score), F.lit(0), {"_upto": F.col("_c")}, rows_per_bucket)
     share = cum.select(score, ((F.col("_upto") - F.col("_c") + (F.col("_c") + 1) / 2) / F.lit(float(n))).alias(out))

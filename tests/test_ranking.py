@@ -117,3 +117,30 @@ def test_ordered_index(spark):
     df = spark.createDataFrame([(w,) for w in words], "value string").distinct()
     got = {r["value"]: r["code"] for r in R.ordered_index(df, "value", "code").collect()}
     assert got == {w: i for i, w in enumerate(sorted(set(words)))}
+
+
+def test_constant_key_still_gives_many_buckets(spark):
+    """Distinct scores with one key for all, drawn at a share far below one."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("score"), F.lit(1).alias("c"))
+    placed, aimed = R.with_order_bucket(df, F.col("score"), F.lit(0), rows_per_bucket=4_000)
+    sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert R.SAMPLE_PER_BUCKET * aimed / 200_000 < 0.1
+    assert len(sizes) >= 50 and max(sizes) < 4 * 4_000
+    sums = R.running_sums(df, F.col("score"), F.lit(0), {"upto": F.col("c")}, rows_per_bucket=4_000)
+    order = sums.select("score", "upto").orderBy("score").toPandas()
+    assert (order["upto"].to_numpy() == range(1, 200_001)).all()
+
+
+@pytest.mark.parametrize("rows_per_bucket", [500_000, 2])
+def test_rows_without_a_score_are_left_out(spark, rows_per_bucket):
+    from leadspark.operators import metrics as M
+
+    rows = [(1, 1, 0.9), (2, 0, 0.5), (3, 0, None), (4, 1, float("nan")), (5, 1, 0.4), (6, 0, 0.1), (7, 0, 0.05)]
+    df = spark.createDataFrame(rows, "company_id long, target int, score double")
+    clean = df.where("score IS NOT NULL AND NOT isnan(score)")
+    for f in (M.average_precision, M.auc, M.pr_curve, M.roc_curve):
+        assert sorted(map(repr, f(df, rows_per_bucket=rows_per_bucket).collect())) == sorted(map(repr, f(clean, rows_per_bucket=500_000).collect()))
+    ranks = {r["company_id"]: r["rank"] for r in R.rank_leads(df, "score", rows_per_bucket=rows_per_bucket).collect()}
+    assert ranks == {1: 1, 2: 2, 5: 3, 6: 4, 7: 5}
+    share = {r["company_id"]: r["p_rank"] for r in R.average_rank_share(df, "score", rows_per_bucket=rows_per_bucket).collect()}
+    assert share[3] is None and share[1] == 1.0
