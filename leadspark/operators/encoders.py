@@ -66,29 +66,42 @@ def standardize(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, fl
 def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4, low: float = -2.0, high: float = 2.0) -> dict[str, float]:
     """Yeo-Johnson lambda of each column by maximum likelihood.
 
-    Each round is one aggregation over (column, candidate) for all columns and
-    narrows every column's interval around its best candidate.
+    Each pass is one row of plain aggregates over all columns and candidates. A
+    column's interval moves on while its best candidate is on the edge, and is
+    narrowed around it otherwise, ``rounds`` times.
     """
+    if not cols:
+        return {}
+    x = {c: F.col(c).cast("double") for c in cols}
+    totals = df.agg(*[a for i, c in enumerate(cols) for a in (F.count(x[c]).alias(f"n{i}"), F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"s{i}"))]).first()
     bounds = {c: (low, high) for c in cols}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "x").where(F.col("x").isNotNull())
-    sums = {r["column"]: r for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("shift")).collect()}
-    best: dict[str, float] = {}
-    for _ in range(rounds):
-        grids = {c: np.linspace(a, b, points) for c, (a, b) in bounds.items()}
-        at = F.create_map(*[e for c in cols for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-        tried = long.select("column", "x", F.posexplode(F.element_at(at, F.col("column"))).alias("i", "lam"))
-        spread = tried.groupBy("column", "i").agg(F.var_pop(yeo_johnson(F.col("x"), F.col("lam"))).alias("var")).collect()  # columns x points
-        found = {(r["column"], r["i"]): r["var"] for r in spread}
-        for c, total in sums.items():
-            var = np.array([found[c, i] or np.nan for i in range(points)], dtype=float)
-            like = -total["n"] / 2 * np.log(var) + (grids[c] - 1) * total["shift"]
-            if np.all(np.isnan(like)):
-                best[c] = 1.0
+    left = {c: rounds for i, c in enumerate(cols) if totals[f"n{i}"]}
+    best = dict.fromkeys(cols, 1.0)
+    for _ in range(4 * rounds):
+        live = [c for c in left if left[c]]
+        if not live:
+            break
+        grids = {c: np.linspace(*bounds[c], points) for c in live}
+        row = df.agg(*[F.var_pop(yeo_johnson(x[c], float(lam))).alias(f"{j}_{i}") for j, c in enumerate(live) for i, lam in enumerate(grids[c])]).first()
+        for j, c in enumerate(live):
+            k = cols.index(c)
+            var = np.array([row[f"{j}_{i}"] or np.nan for i in range(points)], dtype=float)
+            var[~np.isfinite(var)] = np.nan
+            if np.all(np.isnan(var)):
+                left[c] = 0
                 continue
+            like = -totals[f"n{k}"] / 2 * np.log(var) + (grids[c] - 1) * totals[f"s{k}"]
             i = int(np.nanargmax(like))
             best[c] = float(grids[c][i])
-            bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
-    return {c: best.get(c, 1.0) for c in cols}
+            a, b = bounds[c]
+            if i == 0 and left[c] == rounds:
+                bounds[c] = (a - (b - a), float(grids[c][1]))
+            elif i == points - 1 and left[c] == rounds:
+                bounds[c] = (float(grids[c][-2]), b + (b - a))
+            else:
+                bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
+                left[c] -= 1
+    return best
 
 
 def power_columns(lambdas: dict[str, float], stats: dict[str, tuple[float, float]]) -> dict[str, Column]:

@@ -36,12 +36,23 @@ BACKENDS = {
     "logit": dict(kind="logit", C=1.0, maxIter=1000),
     "bag_tree": dict(kind="tree", maxDepth=10, minInstancesPerNode=20),
 }
+#: Grids of the backends that are searched; what they do not name stays as in BACKENDS.
 SEARCH_GRID = {
     "stepSize": [round(float(10**e), 6) for e in np.linspace(-2.3, -0.7, 8)],
     "maxIter": [100, 200, 300],
     "maxDepth": [4, 5, 6],
     "minInstancesPerNode": [10, 20, 50],
 }
+BAGGING_GRID = {
+    "n_bags": [20, 30, 40],
+    "stepSize": [round(float(10**e), 6) for e in np.linspace(-2.0, -0.7, 4)],
+    "maxIter": [200, 300],
+    "maxDepth": [6, 8],
+    "minInstancesPerNode": [20, 50],
+}
+SEARCH_GRIDS = {"hgb": SEARCH_GRID, "boosted_deep": SEARCH_GRID, "two_stage": SEARCH_GRID, "hgb_bagging": BAGGING_GRID}
+#: Settings an earlier full search of the boosted trees ended with.
+KNOWN_BEST = {"hgb": {"minInstancesPerNode": 50, "maxDepth": 6, "maxIter": 300, "stepSize": 0.06963974029624322}}
 N_BAGS = 30
 SEARCH_ITERATIONS = 10
 TARGET_RECALL = 0.95
@@ -184,6 +195,17 @@ def fit_model(
     return FittedModel(kind, _estimator(kind, features, target, weight, n, seed, **params).fit(data))
 
 
+@dataclass
+class EncodedModel:
+    """A model together with the preprocessor of its own training rows; scores raw rows."""
+
+    preprocessor: object
+    model: object
+
+    def score(self, df: DataFrame, out: str = "p") -> DataFrame:
+        return self.model.score(self.preprocessor.transform(df), out).select(*df.columns, out)
+
+
 def fit_backend(df: DataFrame, backend: str, **overrides) -> FittedModel:
     return fit_model(df, **{**BACKENDS[backend], **overrides})
 
@@ -483,6 +505,38 @@ def random_search(
     return SearchResult(combos[best], mean[best], fit_model(df, kind, target=target, seed=seed, **fixed, **combos[best]), trials)
 
 
+def search_frames(
+    pairs: list[tuple[DataFrame, DataFrame]],
+    fit_of: Callable[[dict], Fit],
+    refit: Callable[[dict], object],
+    grid: dict[str, list],
+    n_iter: int = SEARCH_ITERATIONS,
+    k: int = 1000,
+    target: str = "target",
+    key: str = "row_key",
+    seed: int = 42,
+    parallelism: int = 1,
+) -> SearchResult:
+    """Average precision over (training, test) frames decides, whatever backend ``fit_of`` fits.
+
+    Each pair is encoded by a preprocessor of its own training rows beforehand, so
+    all candidates share it; ``refit`` fits the best setting on all rows.
+    """
+    combos = draw_params(grid, n_iter, seed)
+
+    def trial(c: int, f: int) -> dict:
+        train, test = pairs[f]
+        scored = cut(fit_of(combos[c])(train).score(test, "p").select(key, target, "p"))
+        ap = M.average_precision(scored, target=target, score="p").first()[0]
+        top = M.at_k(scored, k, target, "p", key).first()["precision_at_k"]
+        return {"candidate": c, "fold": f, "average_precision": float(ap), "precision_at_k": float(top)}
+
+    trials = _in_threads([lambda c=c, f=f: trial(c, f) for c in range(len(combos)) for f in range(len(pairs))], parallelism)
+    mean = {c: float(np.mean([t["average_precision"] for t in trials if t["candidate"] == c])) for c in range(len(combos))}
+    best = max(mean, key=lambda c: (mean[c], -c))
+    return SearchResult(combos[best], mean[best], refit(combos[best]), trials)
+
+
 def choose_parameters(known: dict | None, saved: Callable[[], tuple | None], search: Callable[[], SearchResult], force_search: bool = True):
     """(source, result): known parameters, else a saved model, else a search; ``force_search`` skips to the last."""
     if not force_search and known is not None:

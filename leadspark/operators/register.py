@@ -37,13 +37,15 @@ def counts_by_canton(events: DataFrame) -> DataFrame:
 def monthly_counts(events: DataFrame) -> DataFrame:
     """Counts per canton and for the country, both levels from one aggregation.
 
+    Events without a canton count for the country only.
+
     The country level is rolled up from the canton counts, so rows are read once
     and no level is expanded row by row.
     """
     levels = counts_by_canton(events).groupingSets([["month", "kanton", "shab_id"], ["month", "shab_id"]], "month", "kanton", "shab_id").agg(
         F.sum("count").alias("count"), F.grouping("kanton").alias("_total")
     )
-    return levels.select(
+    return levels.where((F.col("_total") == 1) | F.col("kanton").isNotNull()).select(
         "month",
         F.when(F.col("_total") == 1, COUNTRY).otherwise(CANTON).alias("geo"),
         "kanton",
@@ -122,6 +124,7 @@ def time_series(cube: DataFrame, metric: str, last_n: int = 0, geo: str = COUNTR
 def heat_map(cube: DataFrame, metric: str, last_n: int = 0) -> DataFrame:
     """Every canton in every visible month, 0 where there is no row."""
     rows = dashboard_rows(cube, metric, 0, CANTON).select("kanton", "month", "count")
-    cantons = [r[0] for r in cube.where(F.col("kanton").isNotNull()).select("kanton").distinct().collect()]  # canton codes
-    grid = visible_months(cube, last_n).withColumn("kanton", F.explode(F.array(*[F.lit(c) for c in cantons]).cast("array<string>")))
+    months = [r[0] for r in visible_months(cube, last_n).collect()]  # one a calendar month
+    cantons = cube.where(F.col("kanton").isNotNull()).select("kanton").distinct()
+    grid = cantons.withColumn("month", F.explode(F.array(*[F.lit(m) for m in months]).cast("array<string>")))
     return grid.join(rows, ["kanton", "month"], "left").fillna(0, ["count"])

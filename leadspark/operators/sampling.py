@@ -14,7 +14,6 @@ MAJOR_CANTONS = ("ZH", "BE", "VD", "GE", "AG", "SG", "TI", "VS", "LU", "ZG")
 MAJOR_LEGAL_FORMS = ("Einzelunternehmen", "GmbH", "Aktiengesellschaft", "Verein", "Genossenschaft")
 LARGE_SIZES = ("GROSS", "SEHR GROSS", "MITTEL")
 BIG_CANTONS = ("ZH", "BE", "VD", "GE", "AG")
-SMALL_CANTON_LIMIT = 1000
 
 
 def strata_columns(
@@ -73,10 +72,10 @@ def preserved_positives(
     target: str = "target",
     key: str = "row_key",
     big_cantons: tuple[str, ...] = BIG_CANTONS,
-    limit: int = SMALL_CANTON_LIMIT,
+    limit: int | None = None,
     keep_duplicates: bool = False,
 ) -> DataFrame:
-    """Positives of larger companies, and the first ``limit`` positives outside the big cantons.
+    """Positives of larger companies, and those outside the big cantons: all, or the first ``limit``.
 
     A null canton counts as outside. A company in both sets appears once, or
     twice with ``keep_duplicates``.
@@ -87,7 +86,8 @@ def preserved_positives(
         return large
     outside = ~F.coalesce(F.col("canton").isin(*big_cantons), F.lit(False))
     order = [c for c in ("snapshot_date",) if c in df.columns] + [key]
-    small = positives.where(outside).orderBy(*order).limit(limit)
+    small = positives.where(outside)
+    small = small if limit is None else small.orderBy(*order).limit(limit)
     both = large.unionByName(small)
     return both if keep_duplicates else both.dropDuplicates([key])
 
@@ -101,6 +101,7 @@ def business_sample(
     keep_duplicates: bool = False,
     big_cantons: tuple[str, ...] = BIG_CANTONS,
     preserve_rare_positives: bool = True,
+    limit: int | None = None,
     **groups,
 ) -> DataFrame:
     """Preserved positives plus a stratified sample of the rest within the remaining budget."""
@@ -108,7 +109,7 @@ def business_sample(
         return df
     if not preserve_rare_positives:
         return stratified_sample(df, max_samples, target, key, seed, **groups)
-    rare = cut(preserved_positives(df, target, key, big_cantons, keep_duplicates=keep_duplicates))
+    rare = cut(preserved_positives(df, target, key, big_cantons, limit, keep_duplicates))
     budget = max_samples - rare.count()
     if budget <= 0:
         return rare
@@ -166,7 +167,8 @@ def smote(
 
     Returns (key, vector, target, synthetic). Base rows take turns; neighbour and
     position between base and neighbour come from the hash, so a rerun gives the
-    same rows. ``vector`` is an array of doubles.
+    same rows. Synthetic keys are negative 62-bit hashes of base key and copy,
+    whatever the size of the keys. ``vector`` is an array of doubles.
     """
     from leadspark.functions.hashing import hash32, unit_hash
     from leadspark.operators.lookalike import nearest
@@ -188,7 +190,7 @@ def smote(
         counted = near.withColumn("_extra", F.lit(0))
     times = F.lit(each) + F.coalesce(F.col("_extra"), F.lit(0))
     copies = counted.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
-    draw = F.col(key) + F.col("_copy") * 7919
+    draw = F.pmod(F.xxhash64(key, "_copy"), F.lit(1 << 62))
     picks = copies.select(
         key,
         F.element_at("neighbour_ids", (hash32(draw, seed + 1) % k + 1).cast("int")).alias("_other"),
@@ -200,6 +202,6 @@ def smote(
     )
     point = F.zip_with(vector, "_ov", lambda a, b: a + F.col("_u") * (b - a))
     made = pairs.select(
-        (-(F.col(key) * 10000 + F.col("_copy"))).alias(key), point.alias(vector), F.lit(1).cast(df.schema[target].dataType).alias(target), F.lit(True).alias("synthetic")
+        (-F.pmod(F.xxhash64(key, "_copy"), F.lit(1 << 62)) - 1).alias(key), point.alias(vector), F.lit(1).cast(df.schema[target].dataType).alias(target), F.lit(True).alias("synthetic")
     )
     return original.unionByName(made)

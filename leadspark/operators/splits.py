@@ -84,6 +84,27 @@ def time_folds(n: int, n_splits: int = 4, gap: int = 0) -> list[TimeFold]:
     return [TimeFold(i, s - gap, s, s + size) for i, s in enumerate(starts)]
 
 
+def date_folds(dates: list, n_splits: int = 4, months_gap: int = 2, date: str = "snapshot_date") -> list[tuple[Column, Column]]:
+    """(training, test) conditions of expanding folds by date, whatever the number of rows.
+
+    Each of the last ``n_splits`` dates is tested on its own; training ends
+    ``months_gap`` months before it. Dates with nothing to train on are no fold.
+    """
+    folds = []
+    for i, d in enumerate(dates):
+        bound = F.add_months(F.lit(d).cast("date"), -months_gap)
+        if any(_months_between(d, e) >= months_gap for e in dates[:i]):
+            folds.append((F.col(date).cast("date") <= bound, F.col(date).cast("date") == F.lit(d).cast("date")))
+    if not folds:
+        raise ValueError(f"no date has training rows {months_gap} months before it")
+    return folds[-n_splits:]
+
+
+def _months_between(later, earlier) -> int:
+    """Whole months from one date to a later one."""
+    return (later.year - earlier.year) * 12 + later.month - earlier.month - (later.day < earlier.day)
+
+
 def with_position(df: DataFrame, key: str = "company_id", date: str = "snapshot_date", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """0-based position in (date, company) order."""
     day = F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))

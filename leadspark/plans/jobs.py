@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadspark.functions.dates import iso_date, literal_like
+from leadspark.functions.dates import iso_date
 from leadspark.operators import metrics as M
 from leadspark.operators import models as L
 from leadspark.operators import profile as P
@@ -17,13 +17,20 @@ from leadspark.operators.encoders import LeadPreprocessor
 from leadspark.operators.panel import PanelSpec, add_temporal_features, current_prospects, modeling_panel
 from leadspark.operators.ranking import rank_leads
 from leadspark.operators.sampling import business_sample, parse_sampling_strategy, smote, stratified_sample
-from leadspark.operators.splits import gap_rows, split_by_dates, time_folds, with_position
+from leadspark.operators.splits import date_folds, distinct_dates, split_by_dates
 from leadspark.session import cut
 
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Defaults of the training job."""
+    """Defaults of the training job.
+
+    ``max_samples`` bounds the labelled rows a model is fitted on (None: all
+    rows); ``small_canton_limit`` bounds the positives that business sampling
+    keeps outside the big cantons (None: all). Search and calibration cut their
+    folds by snapshot date, ``months_gap`` months apart, with as many folds as
+    the dates allow up to the given numbers.
+    """
 
     backend: str = "hgb"
     capacity: int = 1000
@@ -33,10 +40,12 @@ class TrainConfig:
     search_folds: int = 4
     calibration_folds: int = 3
     months_gap: int = 2
-    max_samples: int = 500_000
+    max_samples: int | None = 500_000
+    small_canton_limit: int | None = None
     business_sampling: bool = False
     n_bags: int = 30
-    known_params: dict | None = None
+    known_params: dict | None = None  # None: those that an earlier search of the backend ended with
+    use_known: bool = False
     force_search: bool = True
     holdout_validation: bool = True
     parallelism: int = 4
@@ -48,71 +57,96 @@ class TrainConfig:
 def _fit_function(config: TrainConfig, params: dict) -> L.Fit:
     """How the chosen backend fits a frame with ``features``."""
     over = {**(config.overrides or {}), **params}
+    n_bags = int(over.pop("n_bags", config.n_bags))
     if config.backend == "two_stage":
         return lambda d: L.fit_two_stage(d, stage2=lambda x: L.fit_backend(x, "two_stage_rank", **over), parallelism=config.parallelism)
     if config.backend == "stacking":
         return lambda d: L.fit_stacking(d, L.stacking_bases(pos_weight=float(L.class_weight_table(d).first()["scale_pos_weight"])), parallelism=config.parallelism)
     if config.backend == "hgb_bagging":
-        return lambda d: L.fit_bagging(d, lambda b: L.fit_backend(b, "hgb_bagging", **over), config.n_bags, parallelism=config.parallelism)
+        return lambda d: L.fit_bagging(d, lambda b: L.fit_backend(b, "hgb_bagging", **over), n_bags, parallelism=config.parallelism)
     if config.backend == "rank":
         return lambda d: L.fit_model(d, kind="rank", **{"maxIter": 100, **over})
     return lambda d: L.fit_backend(d, config.backend, **over)
 
 
+def _oversampled(encoded: DataFrame, ratio: float) -> DataFrame:
+    """Training rows with synthetic ones of the smaller class."""
+    grown = smote(encoded.select("row_key", "target", _dense("features")), ratio=ratio)
+    return _back_to_vectors(grown).select("row_key", "target", "features")
+
+
+def encode_fold(train: DataFrame, tests: list[DataFrame], config: TrainConfig) -> tuple[LeadPreprocessor, DataFrame, list[DataFrame]]:
+    """Preprocessor of the training rows alone, those rows encoded (and grown), and the test rows encoded."""
+    pre, encoded = LeadPreprocessor().fit_transform(train)
+    encoded = encoded.select("row_key", "target", "features")
+    if config.smote_ratio is not None:
+        encoded = _oversampled(encoded, float(parse_sampling_strategy(config.smote_ratio)))
+    return pre, cut(encoded, spread=True), [cut(pre.transform(t).select("row_key", "target", "features")) for t in tests]
+
+
+def encoded_fit(config: TrainConfig, params: dict) -> L.Fit:
+    """Fits the backend on raw rows: preprocessing and oversampling are part of each fit."""
+
+    def fit(rows: DataFrame) -> L.EncodedModel:
+        pre, encoded, _ = encode_fold(rows, [], config)
+        return L.EncodedModel(pre, _fit_function(config, params)(encoded))
+
+    return fit
+
+
 def train_and_score(companies: DataFrame, spec: PanelSpec, out: str, config: TrainConfig | None = None, panel: DataFrame | None = None) -> dict:
     """Panel, features, search, calibration, threshold report, gains, ranked leads.
 
     With a given ``panel`` (a cached export) no prospects are scored. Validation
-    rows stay out of training unless ``holdout_validation`` is off.
+    rows stay out of training unless ``holdout_validation`` is off. Every fold has
+    a preprocessor of its own; test rows are real ones and never shape it.
     """
     config = config or TrainConfig()
     cached = panel is not None
     frame = add_temporal_features(panel if cached else modeling_panel(companies, spec))
     train, val, test = split_by_dates(frame)
     learn = train if config.holdout_validation else train.unionByName(val)
-    if config.business_sampling:
-        learn = business_sample(learn, config.max_samples)
-    else:
-        learn = stratified_sample(learn, config.max_samples)
-    learn = cut(learn)
-
-    pre, encoded = LeadPreprocessor().fit_transform(learn)
-    keep = ["row_key", "company_id", "snapshot_date", "target", "features"]
-    if config.smote_ratio is not None:
-        grown = smote(encoded.select("row_key", "target", _dense("features")), ratio=float(parse_sampling_strategy(config.smote_ratio)))
-        dates = encoded.select("row_key", "company_id", "snapshot_date")
-        encoded = _back_to_vectors(grown).join(dates, "row_key", "left")
-        last = learn.agg(F.max("snapshot_date").alias("d"), F.max("company_id").alias("c")).first()
-        encoded = encoded.withColumns(
-            {"snapshot_date": F.coalesce("snapshot_date", literal_like(learn, "snapshot_date", last["d"])), "company_id": F.coalesce("company_id", F.lit(last["c"]) - F.col("row_key"))}
-        )
-    placed = cut(with_position(encoded.select(*keep)), spread=True)
-    n = placed.count()
-    gap = min(gap_rows(placed, config.months_gap), n // 10)
-
-    searchable = config.backend in ("hgb", "boosted_deep", "two_stage", "hgb_bagging")
+    if config.max_samples is not None:
+        if config.business_sampling:
+            learn = business_sample(learn, config.max_samples, limit=config.small_canton_limit)
+        else:
+            learn = stratified_sample(learn, config.max_samples)
+    learn = cut(learn, spread=True)
+    dates = sorted(r[0] for r in distinct_dates(learn).collect())  # bounded: split_by_dates has counted them
 
     def search():
-        if not searchable:
+        if config.backend not in L.SEARCH_GRIDS:
             return L.SearchResult({}, float("nan"), None, [])
-        return L.random_search(
-            placed, time_folds(n, config.search_folds, gap), config.search_grid, config.search_iterations, config.capacity, parallelism=config.parallelism
+        pairs = []
+        for a, b in date_folds(dates, config.search_folds, config.months_gap):
+            _, encoded, (tested,) = encode_fold(learn.where(a), [learn.where(b)], config)
+            pairs.append((encoded, tested))
+        return L.search_frames(
+            pairs,
+            lambda params: _fit_function(config, params),
+            lambda params: encoded_fit(config, params)(learn),
+            config.search_grid or L.SEARCH_GRIDS[config.backend],
+            config.search_iterations,
+            config.capacity,
+            parallelism=config.parallelism,
         )
 
-    source, found = L.choose_parameters(config.known_params, lambda: _saved_params(f"{out}/search"), search, config.force_search)
+    known = config.known_params if config.known_params is not None else L.KNOWN_BEST.get(config.backend) if config.use_known else None
+    source, found = L.choose_parameters(known, lambda: _saved_params(f"{out}/search"), search, config.force_search)
     params = found if source == "known" else found[1] if source == "saved" else found.best_params
-    if source == "search" and found.model is not None and found.model.model is not None:
-        sinks.save_model(found.model.model, f"{out}/search", found.best_params, found.best_score, config.search_iterations)
+    if source == "search" and found.model is not None and isinstance(found.model.model, L.FittedModel) and found.model.model.model is not None:
+        sinks.save_model(found.model.model.model, f"{out}/search", found.best_params, found.best_score, config.search_iterations)
 
-    fit = _fit_function(config, params)
-    folds = L.time_fold_conditions(time_folds(n, config.calibration_folds, gap))
+    fit = encoded_fit(config, params)
+    folds = date_folds(dates, config.calibration_folds, config.months_gap)
     if config.calibration == "beta":
-        model = L.fit_beta_calibrated(placed, fit, folds, parallelism=config.parallelism)
+        model = L.fit_beta_calibrated(learn, fit, folds, parallelism=config.parallelism)
     else:
-        model = L.fit_calibrated(placed, fit, folds, config.calibration, parallelism=config.parallelism)
+        model = L.fit_calibrated(learn, fit, folds, config.calibration, parallelism=config.parallelism)
+    pre, _ = LeadPreprocessor().fit_transform(learn)  # for reports; each member of the model has its own
 
     def scored(df: DataFrame) -> DataFrame:
-        return cut(model.score(pre.transform(df), "p").select("row_key", "target", "p"))
+        return cut(model.score(df, "p").select("row_key", "target", "p"))
 
     scored_val, scored_test = scored(val), scored(test)
     report = M.threshold_report(scored_val, scored_test, config.capacity, config.beta, config.calibration, score="p")
@@ -124,7 +158,7 @@ def train_and_score(companies: DataFrame, spec: PanelSpec, out: str, config: Tra
     result = {"source": source, "params": params, "model": model, "preprocessor": pre, "report": report, "gains": gains, "leads": None}
     if not cached:
         today = add_temporal_features(current_prospects(companies, spec))
-        p = model.score(pre.transform(today), "p_convert").select("company_id", "company_name", iso_date(F.col("snapshot_date")).alias("snapshot_date"), "p_convert")
+        p = model.score(today, "p_convert").select("company_id", "company_name", iso_date(F.col("snapshot_date")).alias("snapshot_date"), "p_convert")
         leads = rank_leads(cut(p))
         sinks.write_ranked_leads(leads, f"{out}/ranked_leads")
         result["leads"] = leads

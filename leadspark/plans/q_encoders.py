@@ -194,8 +194,8 @@ def prj_roles(spark, sf):
     return counts.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
-@query("enc_preprocessor")
-def enc_preprocessor(spark, sf):
+@query("enc_pipeline")
+def enc_pipeline(spark, sf):
     """Training rows through the whole preprocessor: key, label and vector."""
     train, _, _ = split_by_dates(features(spark, sf))
     _, out = E.LeadPreprocessor().fit_transform(train)

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from leadspark.operators import models as L
 from leadspark.operators.encoders import LeadPreprocessor, LeadPreprocessorModel
 from leadspark.operators.scorers import TopKEvaluator, lift_at_k_scorer, precision_at_k_scorer, recall_at_k_scorer
-from leadspark.operators.splits import gap_rows, on_dates, split_by_dates, time_folds, with_position
+from leadspark.operators.splits import on_dates, split_by_dates, time_folds, with_position
 from leadspark.plans.frames import PANEL_SQL, SCORED_SQL, features, panel, scored
 from leadspark.plans.q_metrics import CURVE_SQL
+from leadspark.plans.q_sampling import FOLD_GAP
 from leadspark.registry import query
 from leadspark.session import cut, scratch_path
 
@@ -48,7 +49,7 @@ def _gbt(d):
 def _folds(df, n_splits):
     n = df.count()
     placed = cut(with_position(df))
-    return placed, time_folds(n, n_splits, min(gap_rows(df), n // 10))
+    return placed, time_folds(n, n_splits, FOLD_GAP)
 
 
 @query("mdl_gbt")

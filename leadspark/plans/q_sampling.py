@@ -14,6 +14,8 @@ from leadspark.registry import query
 
 GROUPS = dict(major_cantons=MAJOR_CANTONS, major_forms=MAJOR_FORMS)
 MAX = 2000
+#: Rows between training and test rows; the tables are too small for the two months of the job.
+FOLD_GAP = 50
 
 SPLIT_SQL = "WITH " + PANEL_SQL + """, d AS (SELECT snapshot_date, dense_rank() OVER (ORDER BY snapshot_date DESC) AS r FROM (SELECT DISTINCT snapshot_date FROM panel)),
 split AS (SELECT p.*, CASE d.r WHEN 1 THEN 'test' WHEN 2 THEN 'val' ELSE 'train' END AS split FROM panel p JOIN d ON p.snapshot_date = d.snapshot_date)"""
@@ -36,7 +38,7 @@ def spl_gap(spark, sf):
 
 @query(
     "spl_tscv",
-    SPLIT_SQL + f""", gap AS (SELECT least({GAP_SQL}, count(*) // 10) AS gap FROM split WHERE split <> 'test'),
+    SPLIT_SQL + f""", gap AS (SELECT {FOLD_GAP} AS gap),
 pos AS (SELECT target, row_number() OVER (ORDER BY snapshot_date, company_id) - 1 AS position, count(*) OVER () AS n FROM split WHERE split <> 'test'),
 f AS (SELECT i AS fold FROM range(4) t(i)),
 marked AS (SELECT f.fold, p.target, p.position, n - (4 - f.fold) * (n // 5) AS s, n // 5 AS size, gap FROM pos p, f, gap)
@@ -48,9 +50,8 @@ def spl_tscv(spark, sf):
     train, val, _ = L.split_by_dates(panel(spark, sf))
     df = train.unionByName(val)
     n = df.count()
-    gap = min(L.gap_rows(df), n // 10)
     placed = L.with_position(df.select("company_id", "snapshot_date", "target"))
-    folds = L.time_folds(n, 4, gap)
+    folds = L.time_folds(n, 4, FOLD_GAP)
     marks = F.array(
         *[
             F.struct(F.lit(f.fold).cast("long").alias("fold"), F.when(f.train(), "train").when(f.test(), "test").alias("part"))

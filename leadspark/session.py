@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="leadspark-")
     if not sc.getCheckpointDir():

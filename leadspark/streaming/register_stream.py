@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadspark.functions.dates import iso_date
+from leadspark.operators.lookup import BROADCAST_ROWS
 from leadspark.operators.register import counts_by_canton
 from leadspark.session import scratch_path
 from leadspark.sources.tables import read_table
@@ -21,10 +22,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders*.parquet").parquet(sf_dir)
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cantons = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    if cantons.count() <= BROADCAST_ROWS:  # then no customer's orders meet in one task
+        cantons = F.broadcast(cantons)
     return (
         orders.where(F.col("o_orderstatus").isin("O", "F"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(cantons, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("o_orderdate").alias("publication_date"),
             F.col("n_name").alias("kanton"),
@@ -53,6 +56,9 @@ def counts_once(spark: SparkSession, events: DataFrame) -> DataFrame:
         .start()
     )
     q.awaitTermination()
+    shape = "month string, kanton string, hr string, count long"
+    if q.lastProgress is None or not any(p["numInputRows"] for p in q.recentProgress):
+        return spark.createDataFrame([], shape)  # nothing has arrived
     versions = spark.read.parquet(f"{path}/counts")
     newest = versions.agg(F.max("version")).first()[0]
     out = versions.where(F.col("version") == newest).drop("version")

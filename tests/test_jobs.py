@@ -98,3 +98,36 @@ def test_missing_model(spark, tmp_path):
 
 def test_shared_folder_is_taken_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_test_labels_do_not_reach_training_features(spark):
+    """Other labels in a test fold leave the fold's training rows and its preprocessor as they were; no synthetic row is tested."""
+    from leadspark.operators.panel import add_temporal_features, modeling_panel
+    from leadspark.operators.splits import date_folds, distinct_dates
+
+    frame = add_temporal_features(modeling_panel(companies(spark, "/root/testdata/sf0.001"), SPEC))
+    dates = sorted(r[0] for r in distinct_dates(frame).collect())
+    train, test = date_folds(dates, 2, 2)[-1]
+    config = jobs.TrainConfig(smote_ratio="0.6")
+    flipped = frame.withColumn("target", F.when(test, 1 - F.col("target")).otherwise(F.col("target")).cast("int"))
+    seen = []
+    for df in (frame, flipped):
+        _, encoded, (tested,) = jobs.encode_fold(df.where(train), [df.where(test)], config)
+        seen.append((sorted(map(repr, encoded.collect())), sorted(repr(r["features"]) for r in tested.collect())))
+        assert encoded.where("row_key < 0").count() > 0 and tested.where("row_key < 0").count() == 0
+    assert seen[0] == seen[1]
+
+
+def test_events_without_a_canton_count_for_the_country(spark):
+    more = events(spark).unionByName(events(spark).limit(1).withColumn("kanton", F.lit(None).cast("string")))
+    cube = R.monthly_cube(more)
+    assert cube.where("geo = 'KT' AND kanton IS NULL").count() == 0
+    assert cube.where("geo = 'CH' AND hr <> 'NET'").agg(F.sum("count")).first()[0] == more.count()
+
+
+def test_stream_without_input_gives_no_rows(spark, tmp_path):
+    from leadspark.streaming.register_stream import counts_once
+
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("publication_date timestamp_ntz, kanton string, shab_id string").parquet(str(tmp_path / "in"))
+    assert counts_once(spark, stream).collect() == []

@@ -19,7 +19,6 @@ def test_matches_sql(spark, sf, con, name):
 
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
-    assert not [n for n in QUERIES if "pipeline" in n]
 
 
 def test_entry_points(spark):

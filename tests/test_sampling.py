@@ -132,3 +132,21 @@ def test_gap_is_clamped(spark):
     assert L.gap_rows(df) == 100
     _, df = panel(spark, 900)
     assert L.gap_rows(df) == 600
+
+
+def test_smote_takes_very_large_keys(spark):
+    rng = np.random.default_rng(0)
+    rows = [(10**16 + i, int(i < 20), [float(x) for x in rng.normal(size=2)]) for i in range(520)]
+    out = A.smote(spark.createDataFrame(rows, "row_key long, target int, features array<double>"), ratio=0.1).toPandas()
+    assert out["synthetic"].sum() == 30 and not out["row_key"].duplicated().any() and (out[out["synthetic"]]["row_key"] < 0).all()
+
+
+def test_date_folds_keep_the_months_between(spark):
+    from datetime import datetime
+
+    dates = [datetime(2023, m, 1) for m in (1, 4, 5, 9)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(dates)], "id long, snapshot_date timestamp_ntz")
+    parts = [([r["id"] for r in df.where(a).collect()], [r["id"] for r in df.where(b).collect()]) for a, b in L.date_folds(dates, 4, 2)]
+    assert [(sorted(a), b) for a, b in parts] == [([0], [1]), ([0], [2]), ([0, 1, 2], [3])]
+    with pytest.raises(ValueError):
+        L.date_folds(dates[:1], 4, 2)
