@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
@@ -63,41 +64,73 @@ def standardize(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, fl
 # ---- power transform ----------------------------------------------------------------------------
 
 
-def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4, low: float = -2.0, high: float = 2.0) -> dict[str, float]:
+def _yeo_johnson_numpy(x: np.ndarray, lam: float) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        up = np.log1p(np.abs(x)) if abs(lam) < 1e-9 else ((np.abs(x) + 1) ** lam - 1) / lam
+        down = -np.log1p(np.abs(x)) if abs(2 - lam) < 1e-9 else -((1 + np.abs(x)) ** (2 - lam) - 1) / (2 - lam)
+        return np.where(x >= 0, up, down)
+
+
+def _power_moments(df: DataFrame, grids: dict[str, np.ndarray]) -> dict[tuple[str, int], tuple[float, float]]:
+    """Number of values and population variance of each column at each candidate, in one pass.
+
+    Every task sends back one row of moments for each column, candidate and
+    batch; no input row is repeated.
+    """
+    cols = list(grids)
+
+    def partial(batches):
+        for batch in batches:
+            found = []
+            for c in cols:
+                x = batch.column(c).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)]
+                for i, lam in enumerate(grids[c]):
+                    y = _yeo_johnson_numpy(x, float(lam))
+                    mean = float(y.mean()) if len(y) else 0.0
+                    found.append((c, i, len(y), mean, float(((y - mean) ** 2).sum())))
+            names = ["column", "i", "n", "mean", "square"]
+            yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*found)))), pa.schema([("column", pa.string()), ("i", pa.int32()), ("n", pa.int64()), ("mean", pa.float64()), ("square", pa.float64())]))
+
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(partial, "column string, i int, n long, mean double, square double")
+    n, m = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.nullif(F.sum("n"), F.lit(0).cast("long"))
+    rows = parts.where("n > 0").groupBy("column", "i").agg(n.alias("n"), m.alias("mean"), F.sum(F.col("square") + F.col("n") * F.col("mean") * F.col("mean")).alias("total"))
+    return {(r["column"], r["i"]): (r["n"], r["total"] / r["n"] - r["mean"] ** 2) for r in rows.collect()}  # columns x points
+
+
+def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4, low: float = -2.0, high: float = 2.0, widenings: int = 3) -> dict[str, float]:
     """Yeo-Johnson lambda of each column by maximum likelihood.
 
-    Each pass is one row of plain aggregates over all columns and candidates. A
-    column's interval moves on while its best candidate is on the edge, and is
-    narrowed around it otherwise, ``rounds`` times.
+    Each round tries a grid of candidates for all columns in one pass. While a
+    column's best candidate is on the edge its interval moves out, each time
+    twice as far, ``widenings`` times at most (values of two kinds have no peak);
+    then it is narrowed around the best one ``rounds`` times.
     """
     if not cols:
         return {}
     x = {c: F.col(c).cast("double") for c in cols}
-    totals = df.agg(*[a for i, c in enumerate(cols) for a in (F.count(x[c]).alias(f"n{i}"), F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"s{i}"))]).first()
-    bounds = {c: (low, high) for c in cols}
-    left = {c: rounds for i, c in enumerate(cols) if totals[f"n{i}"]}
+    shifts = df.agg(*[F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    shift = {c: shifts[f"s{i}"] for i, c in enumerate(cols)}
+    bounds = dict.fromkeys(cols, (low, high))
+    left, wide = dict.fromkeys(cols, rounds), dict.fromkeys(cols, widenings)
     best = dict.fromkeys(cols, 1.0)
-    for _ in range(4 * rounds):
-        live = [c for c in left if left[c]]
-        if not live:
-            break
+    while live := [c for c in cols if left[c]]:
         grids = {c: np.linspace(*bounds[c], points) for c in live}
-        row = df.agg(*[F.var_pop(yeo_johnson(x[c], float(lam))).alias(f"{j}_{i}") for j, c in enumerate(live) for i, lam in enumerate(grids[c])]).first()
-        for j, c in enumerate(live):
-            k = cols.index(c)
-            var = np.array([row[f"{j}_{i}"] or np.nan for i in range(points)], dtype=float)
-            var[~np.isfinite(var)] = np.nan
+        found = _power_moments(df, grids)
+        for c in live:
+            n = max((found.get((c, i), (0, 0.0))[0] for i in range(points)), default=0)
+            var = np.array([found.get((c, i), (0, np.nan))[1] for i in range(points)], dtype=float)
+            var[~np.isfinite(var) | (var <= 0)] = np.nan
             if np.all(np.isnan(var)):
                 left[c] = 0
                 continue
-            like = -totals[f"n{k}"] / 2 * np.log(var) + (grids[c] - 1) * totals[f"s{k}"]
+            like = -n / 2 * np.log(var) + (grids[c] - 1) * shift[c]
             i = int(np.nanargmax(like))
             best[c] = float(grids[c][i])
             a, b = bounds[c]
-            if i == 0 and left[c] == rounds:
-                bounds[c] = (a - (b - a), float(grids[c][1]))
-            elif i == points - 1 and left[c] == rounds:
-                bounds[c] = (float(grids[c][-2]), b + (b - a))
+            if i in (0, points - 1) and wide[c] and left[c] == rounds:
+                wide[c] -= 1
+                bounds[c] = (a - 2 * (b - a), float(grids[c][1])) if i == 0 else (float(grids[c][-2]), b + 2 * (b - a))
             else:
                 bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
                 left[c] -= 1
