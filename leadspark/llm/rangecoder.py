@@ -24,7 +24,7 @@ BLOCK = 2048
 LANES = 2048
 #: Bits of weight of an id's count against one part of the uniform share.
 COUNT_BITS = 5
-SLOT_BITS = (10, 11)
+SLOT_BITS = (9, 10)
 RATE = 1 / 20
 MOST = 0.985
 NONE = 0xFFFF
@@ -43,16 +43,20 @@ def _renewals(n: int) -> set[int]:
     return out
 
 
+_NEXT = np.array([1, 2, 3, 3, 1, 1, 1, 1], np.int64)  # streak after a hit
+
+
 class _Model:
-    """Predictions of all blocks (lanes) that are coded in step."""
+    """Predictions of all blocks (lanes) that are coded in step; arrays of two rows are orders 1 and 2."""
 
     def __init__(self, lanes: int, length: int, vocabulary: int):
         self.vocabulary = vocabulary
-        self.slots = [np.full(lanes << bits, NONE | _EMPTY << 16, np.int32) for bits in SLOT_BITS]
-        self.base = [np.arange(lanes, dtype=np.int64) << bits for bits in SLOT_BITS]
-        chance = np.tile(np.array([0.3, 0.5, 0.6, 0.7, 0, 0, 0, 0]), lanes)
-        self.chance = [chance.copy() for _ in SLOT_BITS]
-        self.odds = np.arange(lanes, dtype=np.int64) * 8
+        one, two = (1 << b for b in SLOT_BITS)
+        lane = np.arange(lanes, dtype=np.int64)
+        self.slots = np.full(lanes * (one + two), NONE | _EMPTY << 16, np.int64)
+        self.base = np.stack([lane * (one + two), lane * (one + two) + one])
+        self.chance = np.tile(np.array([0.3, 0.5, 0.6, 0.7, 0, 0, 0, 0]), 2 * lanes)
+        self.odds = np.stack([lane * 8, (lane + lanes) * 8])
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.n = 0
 
@@ -61,32 +65,24 @@ class _Model:
         self.base_total = (self.n << COUNT_BITS) + self.vocabulary
         one = self.last[:m] * 40503
         two = (one + self.before[:m] * 30103) * 48271
-        contexts = ((one & 0xFFFF) >> (16 - SLOT_BITS[0]), (two >> 5) & ((1 << SLOT_BITS[1]) - 1))
-        self.spot, self.named, self.streak, self.kind, self.p, part = [], [], [], [], [], []
-        for base, slots, chance, context in zip(self.base, self.slots, self.chance, contexts):
-            spot = base[:m] + context
-            held = slots.take(spot)
-            streak = held >> 16
-            kind = self.odds[:m] + streak
-            p = chance.take(kind)
-            self.spot.append(spot)
-            self.named.append(held & NONE)
-            self.streak.append(streak)
-            self.kind.append(kind)
-            self.p.append(p)
-            part.append((p / (1 - p) * self.base_total).astype(np.int64))
-        same = self.named[0] == self.named[1]
-        self.one = part[0] * ~same
-        self.two = part[1] + (part[0] - self.one)
-        self.high = self.two + self.one
+        self.spot = self.base[:, :m].copy()
+        self.spot[0] += (one >> (16 - SLOT_BITS[0])) & ((1 << SLOT_BITS[0]) - 1)
+        self.spot[1] += (two >> 5) & ((1 << SLOT_BITS[1]) - 1)
+        held = self.slots.take(self.spot)
+        self.named = held & NONE
+        self.streak = held >> 16
+        self.kind = self.odds[:, :m] + self.streak
+        self.p = self.chance.take(self.kind)
+        part = (self.p / (1 - self.p) * self.base_total).astype(np.int64)
+        self.one = part[0] * (self.named[0] != self.named[1])
+        self.high = part[0] + part[1]
+        self.two = self.high - self.one
         self.total = self.high + self.base_total
 
     def update(self, m: int, ids: np.ndarray) -> None:
-        for slots, chance, spot, named, streak, kind, p in zip(self.slots, self.chance, self.spot, self.named, self.streak, self.kind, self.p):
-            hit = named == ids
-            chance[kind] = np.minimum(p + (hit - p) * RATE, MOST)
-            longer = ((streak + 1) & 3) | ((streak == 3) * 3)
-            slots[spot] = ids | (longer * hit) << 16
+        hit = self.named == ids
+        self.chance[self.kind] = np.minimum(self.p + (hit - self.p) * RATE, MOST)
+        self.slots[self.spot] = ids | (_NEXT.take(self.streak) * hit) << 16
         self.before[:m], self.last[:m] = self.last[:m], ids
 
     def spans(self, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
