@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from leadspark.session import scratch_path
 
 MAX_ROUNDS = 60
+#: Links a task works on, and least number of tasks: the graph is much smaller than the corpus.
+LINKS_PER_TASK = 1_000_000
+LEAST_TASKS = 8
 
 
 def _store(df: DataFrame, label: str) -> DataFrame:
@@ -16,17 +19,18 @@ def _store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks)
+    moved = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+    return moved.coalesce(tasks).distinct().coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = down.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
     moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return moved.coalesce(tasks).unionByName(least.select("a", F.col("m").alias("b"))).distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,9 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     ``spark.checkpoint.dir``, which cuts the lineage.
     """
     now = _store(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    tasks = max(LEAST_TASKS, -(-now.count() // LINKS_PER_TASK))
     mark = None
     for _ in range(MAX_ROUNDS):
-        now = _store(_small_star(_large_star(now)), "stars")
+        now = _store(_small_star(_large_star(now, tasks), tasks), "stars")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break

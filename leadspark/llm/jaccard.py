@@ -42,11 +42,13 @@ ORDERS = 3
 STAR_ROUNDS = 2
 #: A group of up to so many documents with a token is compared in all pairs at once.
 SMALL_GROUP = 6
+#: Up to so many documents with a token, those without a possible partner are dropped.
+PROBED = 1_024
 #: A task reports tokens that so many documents of one of its slices have.
-LOCAL_DF = 4
-#: Most tokens known as frequent (8 MB at most in each task); the others count as rare.
-MAX_FREQUENT = 1 << 19
-COUNT_TOKENS = 2_000_000
+LOCAL_DF = 2
+#: Most tokens known as frequent (4 MB in each task); the others count as rare.
+MAX_FREQUENT = 1 << 18
+COUNT_TOKENS = 1_500_000
 ROWS_PER_TASK = 1_000_000
 BITMAP_BITS = 1 << 24
 
@@ -156,7 +158,15 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _frequent(counts: DataFrame) -> Frequent:
-    top = counts.groupBy("token").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "token").limit(MAX_FREQUENT).toPandas()
+    """The most frequent tokens: all from some count on, as many as the list may hold."""
+    total = _stored(counts.groupBy("token").agg(F.sum("df").alias("df")), "df")
+    room, least = MAX_FREQUENT, None
+    for r in total.groupBy("df").count().orderBy(F.desc("df")).toLocalIterator():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["df"]
+    top = total.filter(F.col("df") >= (least if least is not None else 1 << 62)).toPandas()
     return Frequent(top["token"].to_numpy(np.int64).view(np.uint64), top["df"].to_numpy(np.int64))
 
 
@@ -189,9 +199,13 @@ def _prefixes(texts: DataFrame, frequent) -> DataFrame:
 
 
 def _may_link(na, pa_, nb, pb) -> np.ndarray:
-    """Length and position filters for a token at places ``pa_`` and ``pb`` of sets of ``na`` and ``nb`` tokens."""
+    """Length and position filters for a token at places ``pa_`` and ``pb`` of sets of ``na`` and ``nb`` tokens.
+
+    They hold for the first token that two similar sets share, which is enough:
+    the pair comes up there, and no more can be shared than is left behind it.
+    """
     long = DEN * np.minimum(na, nb) >= NUM * np.maximum(na, nb)
-    best = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
+    best = np.minimum(na - pa_, nb - pb)
     return long & (best * (NUM + DEN) >= NUM * (na + nb))
 
 
@@ -211,19 +225,34 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a partition dealt by token: the rows of tokens that more than one node has, each (token, node) once."""
+    """Of a partition dealt by token: the rows that some other node's row may link with, each (token, node) once.
+
+    In groups of more than PROBED nodes all rows count as such.
+    """
     token, node, n, pos = _whole(batches, ["token", "node", "n", "pos"])
     order = np.lexsort((node, token))
     token, node = token[order], node[order]
+    if not len(order):
+        return
     new = np.ones(len(order), bool)
     new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
     order, token = order[new], token[new]
-    shared = np.zeros(len(token), bool)
-    shared[1:] |= token[1:] == token[:-1]
-    shared[:-1] |= token[1:] == token[:-1]
-    order = order[shared]
-    cols = [token[shared], node[new][shared], n[order], pos[order]]
-    for at in range(0, len(order), 100_000):
+    cols = [token, node[new], n[order], pos[order]]
+    by_size = np.lexsort((cols[2], token))
+    cols = token, _, n, pos = [c[by_size] for c in cols]
+    head = np.append(True, token[1:] != token[:-1])
+    size = np.diff(np.append(np.flatnonzero(head), len(token)))
+    fits = np.repeat(size > PROBED, size)
+    live = np.flatnonzero(~fits)
+    for d in range(1, PROBED):
+        live = live[live + d < len(token)]
+        live = live[(token[live] == token[live + d]) & (DEN * n[live] >= NUM * n[live + d])]
+        if not len(live):
+            break
+        hit = live[_may_link(n[live], pos[live], n[live + d], pos[live + d])]
+        fits[hit] = fits[hit + d] = True
+    cols = [c[fits] for c in cols]
+    for at in range(0, len(cols[0]), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[at : at + 100_000])) for c in cols], names=["token", "node", "n", "pos"])
 
 
@@ -287,14 +316,14 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return out.astype(np.uint32)
 
 
-def _sets(texts: DataFrame, wanted) -> DataFrame:
-    """(node, tokens) of the documents whose node may be among the wanted ones."""
+def _sets(texts: DataFrame, wanted, frequent) -> DataFrame:
+    """(node, n, lead, tokens) of the documents whose node may be among the wanted ones; ``lead`` has the further orders' prefixes."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known = wanted.value, set()
+        bits, order, known = wanted.value, frequent.value, set()
         for batch in batches:
             for piece in ts.slices(batch.column("text")):
-                nodes, sets = [], []
+                nodes, sets, lead = [], [], []
                 for _, tokens in shingle_sets(piece):
                     node = node_of(tokens)
                     if node is None or node in known:
@@ -304,33 +333,66 @@ def _sets(texts: DataFrame, wanted) -> DataFrame:
                         known.add(node)
                         nodes.append(node)
                         sets.append(tokens.tobytes())
+                        lead.append(leads(tokens, order).tobytes())
                 if nodes:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "tokens"])
+                    size = pa.array([len(s) // 8 for s in sets], pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), size, pa.array(lead, pa.binary()), pa.array(sets, pa.binary())], names=["node", "n", "lead", "tokens"])
 
-    return texts.select("text").mapInArrow(scan, "node long, tokens binary")
+    return texts.select("text").mapInArrow(scan, "node long, n int, lead binary, tokens binary")
 
 
-def similar(x: np.ndarray, y: np.ndarray, order: Frequent) -> bool:
-    """Prefix filters of the further orders, then the sets themselves."""
-    for k in range(1, ORDERS):
-        if not np.isin(order.prefix(x, k), order.prefix(y, k), assume_unique=True).any():
+def leads(tokens: np.ndarray, order: Frequent) -> np.ndarray:
+    """Prefixes of a set under all orders but the first, one after the other."""
+    return np.concatenate([order.prefix(tokens, k) for k in range(1, ORDERS)])
+
+
+def leads_meet(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> bool:
+    """Whether two sets share a prefix token under each further order, early enough in both."""
+    p, q = prefix_length(nx), prefix_length(ny)
+    for k in range(ORDERS - 1):
+        own, other = x[k * p : (k + 1) * p], y[k * q : (k + 1) * q]
+        shared = np.flatnonzero(np.isin(own, other, assume_unique=True))
+        if not len(shared):
+            return False
+        i = int(shared[0])  # the first one that both share, in their common order
+        if not _may_link(nx, i, ny, int(np.flatnonzero(other == own[i])[0])):
             return False
+    return True
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both * DEN >= NUM * (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, frequent) -> DataFrame:
-    """The pairs whose sets are similar."""
+def similar(x: np.ndarray, y: np.ndarray, order: Frequent) -> bool:
+    """The further orders' filters, then the sets themselves."""
+    return leads_meet(leads(x, order), len(x), leads(y, order), len(y)) and alike(x, y)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = frequent.value
+
+def _tokens(cell: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), np.uint64)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets are similar. Whole sets travel only for pairs that pass the prefix filters of all orders."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("x"), batch.column("nx").to_pylist(), batch.column("y"), batch.column("ny").to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array([leads_meet(_tokens(x), nx, _tokens(y), ny) for x, nx, y, ny in rows], pa.bool_()))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
-            ok = [similar(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), order) for p, q in zip(x, y)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array([alike(_tokens(x), _tokens(y)) for x, y in zip(batch.column("x"), batch.column("y"))], pa.bool_()))
+
+    def with_both(rows: DataFrame, cols: dict[str, str]) -> DataFrame:
+        for end, mark in (("a", "x"), ("b", "y")):
+            rows = rows.join(sets.select(F.col("node").alias(end), *(F.col(c).alias(name + mark) for c, name in cols.items())), end)
+        return rows
 
-    left, right = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    near = with_both(pairs, {"n": "n", "lead": ""}).select("a", "b", "x", "nx", "y", "ny").mapInArrow(meet, "a long, b long")
+    return with_both(near, {"tokens": ""}).select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -348,7 +410,7 @@ def _groups(docs: DataFrame) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // ROWS_PER_TASK))
     shared = _stored(_prefixes(texts, frequent).repartition(parts, "token").mapInArrow(_group_rows, "token long, node long, n int, pos int"), "shared")
     wanted = sc.broadcast(_bitmap(shared.select("node")))
-    sets = _stored(_sets(texts, wanted).join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = _stored(_sets(texts, wanted, frequent).join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     edges, comps = None, None
     for step in range(STAR_ROUNDS + 1):
@@ -358,7 +420,7 @@ def _groups(docs: DataFrame) -> DataFrame:
             labelled = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         propose = _star_pairs(step + 1) if step < STAR_ROUNDS else _cross_pairs
         pairs = labelled.repartition(parts, "token").mapInArrow(propose, "a long, b long").distinct()
-        found = _stored(_verified(pairs, sets, frequent), "links")
+        found = _stored(_verified(pairs, sets), "links")
         edges = found if edges is None else edges.unionByName(found)
         comps = components(edges)
 
