@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ASCII_SPACE = bytes([9, 10, 11, 12, 13, 32])
 
 _rng = np.random.Generator(np.random.PCG64(20240611))

@@ -19,8 +19,8 @@ import numpy as np
 
 from leadspark.llm import textscan as ts
 
-#: Entries of a worker's table of chunks; it starts anew beyond them (about 35 bytes each).
-MAX_CHUNKS = 3_000_000
+#: Entries of a worker's table of chunks; it starts anew beyond them (about 25 bytes each).
+MAX_CHUNKS = 1_500_000
 
 _SPACE = np.isin(np.arange(256), list(ts.ASCII_SPACE))
 # lead bytes of the blocks with further white space: the character after a boundary must be visible for certain
@@ -73,7 +73,7 @@ class Chunks:
         at = self.used + np.cumsum(size) - size
         self.used += len(flat)
         order = np.argsort(keys)
-        self.runs.append((keys[order], at[order], size[order]))
+        self.runs.append((keys[order], at[order].astype(np.int32), size[order].astype(np.int32)))
         while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) > len(self.runs[-2][0]):
             a, b = self.runs.pop(), self.runs.pop()
             merged = [np.concatenate(x) for x in zip(a, b)]
