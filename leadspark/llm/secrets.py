@@ -6,8 +6,12 @@ sample of each kind, least hashes first, becomes a prefix tree of symbols whose
 statistically compatible states are merged (red and blue states, Hoeffding
 bound) into a probabilistic automaton. Every further candidate in the corpus -
 a run of credential characters with letters and digits - is then scored by its
-likelihood under each automaton against that of random characters; candidates whose format is likely enough add spans of the kind
-``format``. Base spans always stay.
+likelihood under each automaton twice: against random characters, per symbol,
+and against words (runs of letters and digits of word length that seldom change
+between cases and digits), in total. Mixed-case formats look like random
+characters in themselves, so only the second can tell them apart. Candidates
+whose format is likely enough by either add spans of the kind ``format``. Base
+spans always stay.
 
 Texts are read once: the scan stores base spans and candidates, and training
 and scoring work on those.
@@ -49,6 +53,8 @@ LONGEST = 256
 ALPHA = 0.01
 #: Least log-likelihood ratio per symbol of a flagged candidate, against random symbols.
 LEAST_GAIN = 0.5
+#: A total log-likelihood ratio of this much against words counts as one per symbol against random symbols.
+TOTAL = 10.0
 REDACTED = "[secret]"
 
 
@@ -170,11 +176,49 @@ class Automaton:
 _NOISE = {"h": 16 / 67, "x": 36 / 67, "X": 36 / 67, "m": 62 / 67}
 
 
-def gain(automata: list[Automaton], word: str) -> float:
-    """Best log-likelihood ratio per symbol of the word's format against noise."""
-    s = symbols(word)
+#: Words as noise: all kinds of runs alike, one of the six other characters between runs; a run ends at each symbol with this probability.
+_RUN_ENDS = 1 / 6
+_KINDS_OF_RUNS, _OTHERS, _CAPITALS = 4, 6, 26
+#: Lower case, upper case and digits: their shares in a random run of each kind, and how a word goes on after each of them.
+_RANDOM = {"h": (6 / 16, 0, 10 / 16), "x": (26 / 36, 0, 10 / 36), "X": (0, 26 / 36, 10 / 36), "m": (26 / 62, 26 / 62, 10 / 62)}
+_WORDS = {k: ((0.95, 0.95, 0.05), (0.95, 0.95, 0.05), (0.3, 0.3, 0.7)) for k in "hxX"} | {"m": ((0.83, 0.12, 0.05), (0.9, 0.07, 0.03), (0.2, 0.2, 0.6))}
+_CHANGES = {k: [[math.log(p / q) if p else 0.0 for p, q in zip(_RANDOM[k], row)] for row in _WORDS[k]] for k in _WORDS}
+_SAME = re.compile(r"([hxXm])\1*|.", re.S)
+
+
+def _word_noise(s: str) -> float:
+    """Log-likelihood of a format among words."""
+    total = 0.0
+    for m in _SAME.finditer(s):
+        if m[1]:
+            total += (len(m[0]) - 1) * math.log(1 - _RUN_ENDS) + math.log(_RUN_ENDS / _KINDS_OF_RUNS)
+        else:
+            total -= math.log(_CAPITALS if m[0].isalpha() else _OTHERS)
+    return total
+
+
+def changes(word: str) -> float:
+    """Log-likelihood ratio of how cases and digits follow each other in the word's runs: random against words."""
+    at = m.end() if (m := _TAG.match(word)) else 0
+    total = 0.0
+    for m in _RUN.finditer(word, at):
+        table = _CHANGES[_made_of(m[0])]
+        sort = [2 if c.isdigit() else c.isupper() for c in m[0]]
+        total += sum(table[a][b] for a, b in zip(sort, sort[1:]))
+    return total
+
+
+def _format_gains(automata: list[Automaton], s: str) -> tuple[float, float]:
+    """Best log-likelihood ratios of a format: per symbol against random characters, in total against words."""
     noise = sum(math.log(_NOISE.get(c, 1 / 67)) for c in s)
-    return max(((a.log_likelihood(s) - noise) / len(s) for a in automata), default=-math.inf)
+    best = max((a.log_likelihood(s) for a in automata), default=-math.inf)
+    return (best - noise) / len(s), best - _word_noise(s)
+
+
+def gain(automata: list[Automaton], word: str) -> float:
+    """Best log-likelihood ratio of the word's format, per symbol against random characters or in total against words."""
+    each, total = _format_gains(automata, symbols(word))
+    return max(each, (total + changes(word)) / TOTAL)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -232,13 +276,14 @@ def train(found: DataFrame, sample: int = SAMPLE) -> list[Automaton]:
 
 
 def _chosen(automata: list[Automaton], more: list[list[dict]], least_gain: float) -> list[list[dict]]:
-    known: dict[str, bool] = {}
+    known: dict[str, tuple[float, float]] = {}
 
     def flagged(word: str) -> bool:
         form = symbols(word)
         if form not in known:
-            known[form] = gain(automata, word) >= least_gain
-        return known[form]
+            known[form] = _format_gains(automata, form)
+        each, total = known[form]
+        return each >= least_gain or total > -math.inf and (total + changes(word)) / TOTAL >= least_gain
 
     return [[x for x in own if flagged(x["word"])] for own in more]
 

@@ -81,6 +81,41 @@ def test_unlabelled_secret_of_a_known_format_is_added(spark):
     assert all(r["n_format"] == 0 for i, r in rows.items() if i < 80)
 
 
+MIXED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def mixed_formats(rng):
+    """Mixed-case token, prefixed token, base64 with slashes and padding, dotted token."""
+    return (
+        word(rng, MIXED, 24),
+        "ghp_" + word(rng, MIXED, 36),
+        word(rng, MIXED + "+/", 40),
+        word(rng, MIXED + "+/", 42) + "==",
+        ".".join(word(rng, MIXED, n) for n in (36, rng.randint(40, 44), 43)),
+    )
+
+
+def test_mixed_case_base64_and_dotted_formats_are_told_from_words():
+    rng = random.Random(8)
+    train = [secrets.Automaton([secrets.symbols(w) for _ in range(200) for w in mixed_formats(rng)])]
+    held = list(zip(*(mixed_formats(rng) for _ in range(100))))
+    words = ["get", "User", "Name", "By", "Index", "Response", "Handler", "Factory", "Config", "parse", "Table", "Stream"]
+    camel = lambda n: "".join(rng.choice(words) for _ in range(n))
+    other = [(camel(6) + "12")[-24:] for _ in range(100)] + [f"{camel(4)}.{camel(3)}2.{camel(3)}" for _ in range(100)] + [f"src/{camel(3)}/{camel(3)}/v{i}" for i in range(100)]
+    for same in held:
+        assert secrets.held_out_accuracy(train, same, other) > 0.9
+
+
+def test_unlabelled_mixed_case_secrets_are_added_and_redacted(spark):
+    rng = random.Random(4)
+    texts = [f"set token={w} there" for _ in range(60) for w in mixed_formats(rng)[:2]]
+    bare = mixed_formats(rng)[:2]
+    df = docs(spark, [*texts, *(f"see {w} here" for w in bare), "see getUserNameByIndex99 here"])
+    rows = {r["doc_id"]: r["spans"] for r in secrets.find(df).collect()}
+    assert [rows[120], rows[121], rows[122]] == ["format:4:28", "format:4:44", ""]
+    assert {r["text"] for r in secrets.redact(df).collect() if 120 <= r["doc_id"] <= 121} == {"see [secret] here"}
+
+
 def test_redaction(spark):
     rng = random.Random(2)
     texts = [*corpus(rng), None, "", PROSE]
