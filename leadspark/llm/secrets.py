@@ -5,7 +5,8 @@ fixed patterns. The credentials they find are the labelled ones: a bounded
 sample of each kind, least hashes first, becomes a prefix tree of symbols whose
 statistically compatible states are merged (red and blue states, Hoeffding
 bound) into a probabilistic automaton. Every further candidate in the corpus -
-a run of credential characters with letters and digits - is then scored by its
+a run of credential characters with letters and digits, and what is left of it
+outside base spans - is then scored by its
 likelihood under each automaton twice: against random characters, per symbol,
 and against words (runs of letters and digits of word length that seldom change
 between cases and digits), in total. Mixed-case formats look like random
@@ -232,16 +233,50 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
     return [(a, b, KINDS[k], w) for a, b, k, w in sorted(out)]
 
 
+def _is_candidate(word: str) -> bool:
+    return len(word) >= LEAST_CANDIDATE and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, word) of runs of credential characters with a letter and a digit."""
     out = []
     for m in CANDIDATE.finditer(text):
         word = m[0].rstrip(".=-_/+") if m[0][-1] == "." else m[0]
-        if len(word) >= LEAST_CANDIDATE and any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
+        if _is_candidate(word):
             out.append((m.start(), m.start() + len(word), word))
     return out
 
 
+def with_parts(text: str, found: list[tuple[int, int, str]], base: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str]]:
+    """Candidates by start: those not inside base spans, and the parts of those outside base spans, without the character that joins them."""
+    out, spans, first = [], [], 0
+    for a, b, *_ in base:
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
+        else:
+            spans.append([a, b])
+    for a, b, word in found:
+        while first < len(spans) and spans[first][1] <= a:
+            first += 1
+        cut, k = [], first
+        while k < len(spans) and spans[k][0] < b:
+            cut.append(spans[k])
+            k += 1
+        if not cut:
+            out.append((a, b, word))
+            continue
+        if cut[0][0] <= a and b <= cut[0][1]:
+            continue
+        out.append((a, b, word))
+        starts, ends = [a, *(q for _, q in cut)], [*(p for p, _ in cut), b]
+        for i, (p, q) in enumerate(zip(starts, ends)):
+            p += i > 0 and p < q and not text[p].isalnum()
+            q -= i < len(cut) and p < q and not text[q - 1].isalnum()
+            if _is_candidate(text[p:q]):
+                out.append((p, q, text[p:q]))
+    return out
+
+
 _SPAN = "struct<start:int,end:int,kind:string,word:string>"
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("word", pa.string())]))
 
@@ -251,8 +286,7 @@ def _find(texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
     for t in texts:
         own = base_spans(t) if t else []
         base.append([dict(zip(("start", "end", "kind", "word"), x)) for x in own])
-        free = [x for x in candidates(t) if not any(x[0] < b and a < x[1] for a, b, _, _ in own)] if t else []
-        more.append([{"start": a, "end": b, "kind": "format", "word": w} for a, b, w in free])
+        more.append([{"start": a, "end": b, "kind": "format", "word": w} for a, b, w in (with_parts(t, candidates(t), own) if t else [])])
     return pa.array(base, _SPAN_TYPE), pa.array(more, _SPAN_TYPE)
 
 

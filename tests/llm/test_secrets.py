@@ -116,6 +116,27 @@ def test_unlabelled_mixed_case_secrets_are_added_and_redacted(spark):
     assert {r["text"] for r in secrets.redact(df).collect() if 120 <= r["doc_id"] <= 121} == {"see [secret] here"}
 
 
+def test_runs_that_overlap_base_spans_are_scored_whole_and_in_parts(spark):
+    rng = random.Random(6)
+    key = lambda: "-".join(word(rng, HEXES, n) for n in (32, 8, 8))
+    pair = "AKIA" + word(rng, CAPS, 16) + "/" + word(rng, MIXED, 40)
+    texts = [f"set token={w} there" for _ in range(40) for w in (key(), word(rng, MIXED, 40))] + [f"see {key()} here", f"see {pair} here"]
+    df = docs(spark, texts)
+    rows = {r["doc_id"]: r["spans"] for r in secrets.find(df).collect()}
+    assert sorted(rows[80].split(",")) == ["format:4:54", "hex:4:36"]
+    assert sorted(rows[81].split(",")) == ["access:4:24", "format:25:65"]
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert got[80] == "see [secret] here" and got[81] == "see [secret]/[secret] here"
+
+
+def test_parts_by_hand():
+    text = "aaaaaaaaaaaaaaa1-XX/bbbbbbbbbbbbbbb2+YY"
+    whole = (0, len(text), text)
+    base = [(17, 19, "access", "XX"), (37, 39, "access", "YY")]
+    assert secrets.with_parts(text, [whole], base) == [whole, (0, 16, text[:16]), (20, 36, text[20:36])]
+    assert secrets.with_parts(text, [whole], [(0, 30, "hex", ""), (20, 39, "hex", "")]) == []
+
+
 def test_redaction(spark):
     rng = random.Random(2)
     texts = [*corpus(rng), None, "", PROSE]
