@@ -5,8 +5,10 @@ comments, menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments have no text; where such a part stands outside the article, it leaves
 empty lines. Text lengths are summed over sliding windows of lines. Text begins
 where the sums surge and ends where they dive to nothing; of several such
-stretches the one with the most text is kept. Where a page marks its article,
-lines outside count as empty, and surge and dive are the article's bounds.
+stretches the one with the most text is kept. Stretches that only removed parts
+or link lists separate are one if the text on both sides belongs to the same
+container. Where a page marks its article, lines outside count as empty, and
+surge and dive are the article's bounds.
 
 Edge cases: a null or empty page has an empty text; unclosed and unknown
 elements, broken tags and comments are read as browsers do; repeated rows give
@@ -42,6 +44,9 @@ MARKS = frozenset(
 )
 PLAIN = frozenset("with has no without content main page".split())
 ARTICLE = frozenset("article main".split())
+#: Blocks of running text, and blocks that can stand for parts of one text.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption".split())
+_CELLS = frozenset("td th tr".split())
 _NEVER = frozenset("html body".split())
 # an open element of these ends where a block begins in the same block
 _AUTO = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
@@ -50,12 +55,23 @@ _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
+@dataclass(eq=False)
+class Block:
+    """An open block, for telling which lines have the same container."""
+
+    name: str
+    attributes: str
+    parent: Block | None
+    depth: int
+
+
 @dataclass
 class Line:
     text: str
     inside: bool
     heading: bool = False
     linked: int = 0
+    block: Block | None = None
 
 
 def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
@@ -87,6 +103,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     out: list[Line] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, unwanted, article
+    block = Block("body", "", None, 0)
     unwanted = articles = links = linked = 0
     heading = marked = False
 
@@ -95,17 +112,19 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts = []
         if text:
-            out.append(Line(text, articles > 0, heading, min(linked, len(text))))
+            out.append(Line(text, articles > 0, heading, min(linked, len(text)), block))
         if gap and not articles:
             out.extend(Line("", False) for _ in range(WINDOW))
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal unwanted, articles, links, heading
+        nonlocal unwanted, articles, links, heading, block
         while len(stack) > to:
             name, bad, art = stack.pop()
             if name in BLOCKS:
                 end_line(gap=bad)
+                if name not in _NEVER:
+                    block = block.parent
             if art:
                 articles -= 1
                 if not articles:
@@ -166,7 +185,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             continue
         bad = _unwanted(name, attributes, articles > 0)
         art = not bad and not unwanted and _is_article(name, attributes)
-        if bad and not unwanted:
+        if bad and not unwanted and name in BLOCKS:
             end_line(gap=True)
         if art:
             marked = True
@@ -174,6 +193,8 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         unwanted += bad
         links += name == "a"
         stack.append((name, bad, art))
+        if name in BLOCKS and name not in _NEVER:
+            block = Block(name, attributes.strip(), block, block.depth + 1)
     pop(0)
     end_line()
     return out, marked
@@ -186,6 +207,53 @@ def window_sums(lengths: np.ndarray, k: int = WINDOW) -> np.ndarray:
     return total[np.minimum(i + (k + 1) // 2, len(lengths))] - total[np.maximum(i - k // 2, 0)]
 
 
+def _below(a: Block, b: Block) -> tuple[Block, Block | None, Block | None]:
+    """The innermost container of both blocks, and its children that hold each (none: the text stands in it directly)."""
+    x = y = None
+    while a is not b:
+        if a.depth >= b.depth:
+            x, a = a, a.parent
+        else:
+            y, b = b, b.parent
+    return a, x, y
+
+
+def _same_text(left: Line, right: Line, strong: bool) -> bool:
+    """Whether two lines belong to one text, where only removed parts or links stand between; ``strong`` if both sides have much text."""
+    top, x, y = _below(left.block, right.block)
+    flat = all(c is None or c.name in PROSE or c is own.block for c, own in ((x, left), (y, right)))
+    if flat and (strong or top.depth or all(c is not None and c.name in PROSE for c in (x, y))):
+        return True
+    if not strong:
+        return False
+    same = x is not None and y is not None and x.name == y.name and x.name not in _CELLS and (x.name == "section" or x.attributes == y.attributes)
+    return same or all(c is None or c.name in PROSE or c.name == "section" or c is own.block for c, own in ((x, left), (y, right)))
+
+
+def _joined(stretches: list[tuple[int, int]], lines: list[Line], lengths: np.ndarray, sums: np.ndarray) -> list[tuple[int, int]]:
+    """Neighbouring stretches of one text as one, with what lies between them."""
+    out: list[tuple[int, int, int, bool]] = []  # start, end, last line with text, strong
+    for a, b in stretches:
+        some = np.flatnonzero(lengths[a:b]) + a
+        strong = bool((sums[some] >= SURGE).any())
+        first, last = int(some[0]), int(some[-1])
+        spot = None
+        if out and _same_text(lines[out[-1][2]], lines[first], out[-1][3] and strong):
+            spot = len(out) - 1
+        elif strong:
+            # a strong stretch also joins the strong one before weak ones
+            before = next((i for i in range(len(out) - 1, -1, -1) if out[i][3]), None)
+            if before is not None and _same_text(lines[out[before][2]], lines[first], True):
+                spot = before
+        if spot is None:
+            out.append((a, b, last, strong))
+        else:
+            start, strong = out[spot][0], strong or out[spot][3]
+            del out[spot:]
+            out.append((start, b, last, strong))
+    return [(a, b) for a, b, *_ in out]
+
+
 def main_text(page: str | None) -> str:
     """Blocks between surge and dive, joined by newlines."""
     lines, marked = lines_of(page or "")
@@ -197,15 +265,23 @@ def main_text(page: str | None) -> str:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], sums > 0, [0]])))
     if not len(edge):
         return ""
-    stretches = list(zip(edge[::2], edge[1::2]))
+    stretches = [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2])]
+    if not marked:
+        stretches = _joined(stretches, lines, lengths, sums)
     best = max(stretches, key=lambda s: (int(lengths[s[0] : s[1]].sum()), -s[0]))
     own = list(range(*best))
     if not marked:
         strong = [i for i in own if sums[i] >= SURGE and lengths[i]]
         if strong:
-            first = strong[0]
-            while first > best[0] and lines[first - 1].heading:
-                first -= 1
+            first = at = strong[0]
+            # headings and short lines of the same text go before it
+            while at > best[0]:
+                at -= 1
+                x = lines[at]
+                if x.text and not (x.heading or lengths[at] and _same_text(x, lines[first], False)):
+                    break
+                if x.text:
+                    first = at
             own = list(range(first, best[1]))  # the dive ends the stretch
     return "\n".join(lines[i].text for i in own if lines[i].text and (lines[i].inside or not marked))
 

@@ -31,6 +31,42 @@ def test_surge_and_dive_without_a_marked_article():
     assert "Home" not in text and "Log in" not in text and "someone" not in text
 
 
+LONG = "This paragraph number %d is long enough for the window sums to notice, whatever else may stand around it here."
+
+
+def test_parts_within_an_unmarked_article_lose_none_of_it():
+    cuts = (
+        '<div class="ad"><p>Buy</p></div>',
+        '<div class="share">Share</div>',
+        '<form class="newsletter"><p>Your mail</p></form>',
+        "<aside><p>See also</p></aside>",
+        '<div class="ad">Buy</div><p>Short.</p><div class="ad">Buy</div>',
+    )
+    for cut in cuts:
+        for top, end in (('<div id="content">', "</div>"), ("", "")):
+            page = f"<body><div class=menu>x</div>{top}<p>By us.</p><p>In May.</p><p>Today.</p><h2>Part</h2><p>{LONG % 1}</p>{cut}<p>{LONG % 2}</p><p>{LONG % 3}</p>{cut}<p>The end.</p>{end}<div class=footer>f</div><div>&copy; someone</div>"
+            short = ["Short."] if "Short" in cut else []
+            want = ["By us.", "In May.", "Today.", "Part", LONG % 1, *short, LONG % 2, LONG % 3, *short, "The end."]
+            assert htmltext.main_text(page).split("\n") == want, (cut, top)
+
+
+def test_sections_and_boxes_around_an_advert_are_one_text():
+    for a in ("section", "div class=part"):
+        parts = [f"<{a}><h3>Part {i}</h3><p>{LONG % i}</p><p>Yes.</p></{a.split()[0]}>" for i in range(3)]
+        text = htmltext.main_text("<body><div id=all>" + "<div class=ad>Buy</div>".join(parts) + "</div>")
+        assert text.split("\n") == [x for i in range(3) for x in (f"Part {i}", LONG % i, "Yes.")]
+    text = htmltext.main_text(f"<body><div id=text><p>{LONG % 1}</p><p>{LONG % 2}</p></div><div class=ad>Buy</div><div id=more><p>{LONG % 3}</p></div>")
+    assert text.split("\n") == [LONG % 1, LONG % 2]
+
+
+def test_link_lists_and_inline_marks_do_not_cut_an_unmarked_article():
+    refs = "".join(f"<li><a href={i}>Reference {i}</a>" for i in range(6))
+    text = htmltext.main_text(f"<body><div id=c><p>{LONG % 1}</p><ul>{refs}</ul><p>{LONG % 2}</p></div>")
+    assert text.split("\n") == [LONG % 1, *(f"Reference {i}" for i in range(6)), LONG % 2]
+    for page in ("<body><p>%s</p>", "<article><p>%s</p></article>"):
+        assert htmltext.main_text(page % f'{LONG % 1} <span class="share">Tell</span> {LONG % 2}') == f"{LONG % 1} {LONG % 2}"
+
+
 def test_broken_pages():
     for page in ("", None, "<", "<p", "<!--", "<script>", "a < b", "</p></div>", "<p class='x", '<a href="' * 50, "<div>" * 3000 + "deep", "&#xZ; &bogus; &#0;", "<title>x"):
         assert isinstance(htmltext.main_text(page), str)
