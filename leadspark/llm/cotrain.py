@@ -8,8 +8,10 @@ pseudo-labels train the other. Each view is then calibrated
 on labelled rows kept aside, the calibrated log-odds of both are weighted on
 those rows, and all documents are scored.
 
-Training uses bounded samples: at most LABELLED labelled documents and POOL
-unlabelled ones, least hashes of doc_id first. Scoring covers every row.
+In every round both views score the whole unlabelled table as a Spark job, and
+the surest documents are told by a histogram over all of it. Only the rows that
+fit a classifier are bounded: LABELLED labelled ones, and LENT pseudo-labelled
+ones a view, drawn by hash from all that are lent.
 
 Edge cases: a null or empty text, source, language or length has features of
 its own; a doc_id that is labelled in both ways counts by its mean; without
@@ -20,7 +22,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,13 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadspark.llm import textscan as ts
+from leadspark.session import scratch_path
 
-#: Most labelled and unlabelled documents that training sees.
+#: Most labelled rows that fit a classifier, and most pseudo-labelled ones.
 LABELLED = 6_000
-POOL = 4_000
+LENT = 4_000
 ROUNDS = 4
-#: Share of the pool that each view labels for the other in a round.
+#: Share of the unlabelled documents that each view labels for the other in a round, beside as many for each round before.
 SHARE = 0.05
+#: Steps of the histogram for each unit of log-odds, and the greatest log-odds.
+STEPS = 64
+MOST_ODDS = 30
 #: Least calibrated probability of a pseudo-label; a view that is never so sure lends none.
 CONFIDENT = 0.95
 #: Every so many labelled rows are kept aside for calibration.
@@ -177,37 +183,49 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in (*odds, both))
 
 
+Calibration = tuple[np.ndarray, np.ndarray]
+#: From both views, their calibrations, the number of the round and the share of good labels: features and labels that train each view.
+Lender = Callable[[list[View], Calibration, int, float], list[tuple[np.ndarray, np.ndarray]]]
+SURE = float(np.log(CONFIDENT / (1 - CONFIDENT)))
+
+
 def co_train(x: np.ndarray, m: np.ndarray, y: np.ndarray, px: np.ndarray, pm: np.ndarray, rounds: int = ROUNDS, share: float = SHARE) -> CoTrained:
     """From labelled (x, m, y) and unlabelled (px, pm) features of the two views."""
-    prior = float(y.mean()) if len(y) else 0.5
-    aside = np.arange(len(y)) % HELD_OUT == 0
-    if min((y[aside] == c).sum() for c in (0, 1)) < 2 or min((y[~aside] == c).sum() for c in (0, 1)) < 2:
-        return CoTrained(None, None, None, None, prior)
-    tx, tm, ty = x[~aside], m[~aside], y[~aside]
     lent: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0)) for _ in (0, 1)]
     free = [np.ones(len(px), bool) for _ in (0, 1)]
-    views = [View.fit(tx, ty), View.fit(tm, ty)]
-    held = (x[aside], m[aside])
-
-    def calibrated() -> tuple[np.ndarray, np.ndarray]:
-        return tuple(_logistic(v.margin(h)[:, None], y[aside]) for v, h in zip(views, held))
 
-    for _ in range(rounds if len(px) else 0):
-        for k, (pool, c) in enumerate(zip((px, pm), calibrated())):
+    def lend(views: list[View], calibration: Calibration, _: int, prior: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        for k, (pool, c) in enumerate(zip((px, pm), calibration)):
             # view k labels for the other one, in the proportion of the labels
             odds = views[k].margin(pool) * c[0] + c[1]
-            sure = np.log(CONFIDENT / (1 - CONFIDENT))
             order = np.argsort(odds, kind="stable")
             n = int(len(pool) * share)
-            bad = [i for i in order if free[k][i] and odds[i] <= -sure][: max(1, round(n * (1 - prior)))]
-            good = [i for i in order[::-1] if free[k][i] and odds[i] >= sure][: max(1, round(n * prior))]
+            bad = [i for i in order if free[k][i] and odds[i] <= -SURE][: max(1, round(n * (1 - prior)))]
+            good = [i for i in order[::-1] if free[k][i] and odds[i] >= SURE][: max(1, round(n * prior))]
             picked, label = np.array([*bad, *good], np.int64), np.concatenate([np.zeros(len(bad)), np.ones(len(good))])
             free[k][picked] = False
             lent[1 - k] = (np.concatenate([lent[1 - k][0], picked]), np.concatenate([lent[1 - k][1], label]))
-        views = [
-            View.fit(np.vstack([own, pool[ids]]), np.concatenate([ty, labels]))
-            for own, pool, (ids, labels) in ((tx, px, lent[0]), (tm, pm, lent[1]))
-        ]
+        return [(pool[ids], labels) for pool, (ids, labels) in zip((px, pm), lent)]
+
+    return co_train_with(x, m, y, lend, rounds if len(px) else 0)
+
+
+def co_train_with(x: np.ndarray, m: np.ndarray, y: np.ndarray, lend: Lender, rounds: int = ROUNDS) -> CoTrained:
+    """From labelled (x, m, y) features of the two views and what ``lend`` gives in each round."""
+    prior = float(y.mean()) if len(y) else 0.5
+    aside = np.arange(len(y)) % HELD_OUT == 0
+    if min((y[aside] == c).sum() for c in (0, 1)) < 2 or min((y[~aside] == c).sum() for c in (0, 1)) < 2:
+        return CoTrained(None, None, None, None, prior)
+    tx, tm, ty = x[~aside], m[~aside], y[~aside]
+    views = [View.fit(tx, ty), View.fit(tm, ty)]
+    held = (x[aside], m[aside])
+
+    def calibrated() -> Calibration:
+        return tuple(_logistic(v.margin(h)[:, None], y[aside]) for v, h in zip(views, held))
+
+    for r in range(rounds):
+        lent = lend(views, calibrated(), r + 1, prior)
+        views = [View.fit(np.vstack([own, more]), np.concatenate([ty, labels])) for own, (more, labels) in zip((tx, tm), lent)]
     calibration = calibrated()
     held = [v.margin(h)[:, None] for v, h in zip(views, held)]
     odds = np.hstack([h * c[0] + c[1] for h, c in zip(held, calibration)])
@@ -237,21 +255,86 @@ def _features(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray,
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(p.lo, p.hi - p.lo) for c in ("spot", "y")), rows(x), rows(m)], names=["spot", "y", "x", "m"])
 
     picked = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
-    got = picked.mapInArrow(run, "spot long, y double, x binary, m binary").orderBy("spot").toPandas()
+    got = picked.mapInArrow(run, "spot long, y double, x binary, m binary").toPandas().sort_values("spot")
     table = lambda c, width: np.frombuffer(b"".join(got[c]), np.float32).reshape(-1, width)
     return table("x", TEXT_WIDTH), table("m", META_WIDTH), got["y"].to_numpy(np.float64)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    """Model from bounded samples of labelled and of unlabelled documents."""
+def _steps(odds: np.ndarray) -> np.ndarray:
+    """How sure log-odds are, in steps: positive for good, negative for bad, 0 for what is not sure."""
+    size = np.minimum(np.abs(odds), MOST_ODDS)
+    return np.where(size >= SURE, np.sign(odds) * (1 + np.floor((size - SURE) * STEPS)), 0).astype(np.int32)
+
+
+def _surest(steps: DataFrame, column: str, counts: dict[int, int], sign: int, quota: int, most: int) -> DataFrame | None:
+    """At most ``most`` rows drawn by hash from the ``quota`` surest ones of a sign."""
+    found = sorted((s * sign for s in counts if s * sign > 0), reverse=True)
+    quota = min(quota, sum(counts[s * sign] for s in found))
+    if not quota:
+        return None
+    step = F.col(column) * sign
+    if quota <= most:
+        return steps.filter(step > 0).orderBy(step.desc(), "spot").limit(quota)
+    before = 0
+    for s in found:
+        if before + counts[s * sign] >= quota:
+            break
+        before += counts[s * sign]
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(1_000_000 * (quota - before) / counts[s * sign])
+    return steps.filter((step > s) | (step == s) & part).orderBy("spot").limit(most)
+
+
+def table_lender(rows: DataFrame, known: DataFrame, lent: int = LENT, share: float = SHARE) -> Lender:
+    """Lends from all ``rows`` that have no label in ``known``; each round scores the whole table anew."""
+    spark = rows.sparkSession
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def lend(views: list[View], calibration: Calibration, r: int, prior: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        model = spark.sparkContext.broadcast((views, calibration))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            views, calibration = model.value
+            for batch in batches:
+                for p, *both in _views(batch):
+                    steps = [pa.array(_steps(v.margin(f) * c[0] + c[1])) for v, f, c in zip(views, both, calibration)]
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(p.lo, p.hi - p.lo), *steps], names=["doc_id", "s0", "s1"])
+
+        path = scratch_path(spark, "cotrain")
+        scored = rows.filter(F.col("doc_id").isNotNull()).mapInArrow(score, f"doc_id {kind}, s0 int, s1 int")
+        scored.groupBy("doc_id").agg(F.min("s0").alias("s0"), F.min("s1").alias("s1")).join(known, "doc_id", "left_anti").withColumn("spot", F.xxhash64("doc_id")).write.parquet(path)
+        steps = spark.read.parquet(path)
+        labels: list[dict[int, float]] = []
+        ids = {}
+        for column in ("s0", "s1"):
+            counts = {s: n for s, n in steps.groupBy(column).count().collect()}
+            n, own = sum(counts.values()) * share * r, {}
+            for sign, part in ((-1, 1 - prior), (1, prior)):
+                picked = _surest(steps, column, counts, sign, max(1, round(n * part)), max(1, round(lent * part)))
+                for d, s in picked.select("doc_id", "spot").collect() if picked is not None else []:
+                    own[s], ids[s] = float(sign > 0), d
+            labels.append(own)
+        if not ids:
+            return [(np.empty((0, w), np.float32), np.empty(0)) for w in (TEXT_WIDTH, META_WIDTH)]
+        given = spark.createDataFrame([(d, s, None) for s, d in ids.items()], f"doc_id {kind}, spot long, y double")
+        features = _features(rows, given)[:2]
+        spots = sorted(ids)
+        out = []
+        for k, f in enumerate(features):  # what the other view has labelled trains this one
+            own = labels[1 - k]
+            out.append((f[[s in own for s in spots]], np.array([own[s] for s in spots if s in own])))
+        return out
+
+    return lend
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, lent: int = LENT) -> CoTrained:
+    """Model from a bounded sample of labelled documents and all unlabelled ones."""
     rows = _inputs(docs)
     spot = F.xxhash64("doc_id").alias("spot")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("y"))
     given = rows.select("doc_id").join(known, "doc_id", "left_semi").distinct().join(known, "doc_id").select("doc_id", spot, "y").orderBy("spot").limit(labelled)
-    others = rows.select("doc_id").filter(F.col("doc_id").isNotNull()).join(known, "doc_id", "left_anti").distinct().select("doc_id", spot, F.lit(None).cast("double").alias("y")).orderBy("spot").limit(pool)
     x, m, y = _features(rows, given)
-    px, pm, _ = _features(rows, others)
-    return co_train(x, m, y, px, pm)
+    return co_train_with(x, m, y, table_lender(rows, known, lent))
 
 
 def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", least: float = LEAST) -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -47,6 +49,32 @@ def test_held_out_accuracy_on_the_table(spark):
     assert good.kept.mean() > 0.97 and bad.kept.mean() < 0.25
 
 
+@pytest.mark.parametrize("most", [10_000, 100])
+def test_pseudo_labels_come_from_the_whole_unlabelled_table(spark, most):
+    n = 5_000  # more than any fixed pool held before
+    rng = np.random.default_rng(4)
+    weak = rng.random(n)
+    texts = [" ".join("@#" if rng.random() < w else f"word{rng.integers(40)}" for _ in range(12)) for w in weak]
+    df = cotrain._inputs(docs(spark, texts))
+    known = spark.createDataFrame([(i, float(weak[i] < 0.5)) for i in range(400)], "doc_id long, y double")
+    x = cotrain.text_view(next(ts.slices(pa.array(texts, pa.string()))))
+    m = cotrain.meta_view([f"src{i % 3}" for i in range(n)], ["en"] * n, np.array([float(len(t)) for t in texts]))
+    y = (weak[:400] < 0.5).astype(float)
+    views = [cotrain.View.fit(x[:400], y), cotrain.View.fit(m[:400], y)]
+    calibration = (np.array([3.0, 0.0]), np.array([0.0, 0.0]))  # the second view is never sure
+    (gx, gy), (gm, gl) = cotrain.table_lender(df, known, most, 0.1)(views, calibration, 2, 0.5)
+    assert len(gx) == len(gy) == 0
+    odds = views[0].margin(x[400:]) * 3
+    order = np.argsort(odds)
+    assert (odds[order[[460, -460]]] * [-1, 1] > cotrain.SURE).all()
+    want = {0.0: m[400:][order[:460]], 1.0: m[400:][order[-460:]]}
+    for c, rows in want.items():
+        got = Counter(r.tobytes() for r in gm[gl == c])
+        assert got.total() == min(460, most // 2)
+        # the same rows but for ties in the last step
+        assert (got - Counter(r.tobytes() for r in rows)).total() <= 10
+
+
 def test_views_do_not_depend_on_the_slice():
     texts = [PROSE, "", None, "A B! c", "x" * 5000, "é é é\n\n1 2"]
     whole = cotrain.text_view(next(ts.slices(pa.array(texts, pa.string()))))
