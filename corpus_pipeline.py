@@ -16,8 +16,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return linefreq.keep(docs)
+    """Documents that the quality rules reject go, and so do the common lines of all others."""
+    return linefreq.clean(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,14 +95,26 @@ def base_counts(piece: ts.Slice) -> dict[str, np.ndarray]:
     return out
 
 
+def line_key(line: bytes) -> tuple[int, int]:
+    """Hash and number of words of a normalised line; a line without a word has neither."""
+    parts = line.translate(_FOLD).split()
+    return (int.from_bytes(hashlib.md5(b" ".join(parts), usedforsecurity=False).digest()[:8], "big") if parts else 0), len(parts)
+
+
+def without(text: str, lines: set[int]) -> str:
+    """The text without the lines of these (signed) hashes."""
+    sign = lambda k: k - (1 << 64) if k >> 63 else k
+    keys = ((x, line_key(x)) for x in text.encode().split(b"\n"))
+    return b"\n".join(x for x, (k, n) in keys if not n or sign(k) not in lines).decode()
+
+
 def line_entries(text: bytes) -> list[tuple[int, int, int]]:
     """Each distinct normalised line of a text: its hash, the least hash among the other lines, its words over all repeats."""
     found: dict[int, int] = {}
     for line in text.split(b"\n"):
-        parts = line.translate(_FOLD).split()
-        if parts:
-            key = int.from_bytes(hashlib.md5(b" ".join(parts), usedforsecurity=False).digest()[:8], "big")
-            found[key] = found.get(key, 0) + len(parts)
+        key, n = line_key(line)
+        if n:
+            found[key] = found.get(key, 0) + n
     low = sorted(found)[:2]
     return [(k, low[0] if k != low[0] else low[1] if len(low) > 1 else k, v) for k, v in found.items()]
 
@@ -134,13 +146,8 @@ def _keyed(docs: DataFrame, host: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("host"), F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"), F.col("text").cast("string").alias("text"))
 
 
-def judge(docs: DataFrame, host: str = "source", common_docs: int = COMMON_DOCS, common_per_mille: int = COMMON_PER_MILLE, keep_pct: int = KEEP_PCT) -> DataFrame:
-    """One row per row of ``docs``: base counts, words in common lines, and the verdict.
-
-    ``k1`` and ``k2`` hash the text, so that equal texts can be told outside.
-    Texts are read once; the scan's counts and line hashes are stored below
-    ``spark.checkpoint.dir`` and all later steps read those.
-    """
+def _judged(docs: DataFrame, host: str = "source", common_docs: int = COMMON_DOCS, common_per_mille: int = COMMON_PER_MILLE, keep_pct: int = KEEP_PCT) -> tuple[DataFrame, DataFrame]:
+    """Verdicts by row number, and each row's common lines."""
     spark = docs.sparkSession
     keyed = _keyed(docs, host)
     kinds = {f.name: f.dataType.simpleString() for f in keyed.schema}
@@ -159,18 +166,30 @@ def judge(docs: DataFrame, host: str = "source", common_docs: int = COMMON_DOCS,
         .filter(F.col("line_docs") > common_docs)
     )
     common = seen.join(sizes, "host").filter(F.col("line_docs") * 1000 > F.col("host_docs") * common_per_mille).select("host", "line")
-    lost = lines.join(common, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("lost"))
+    hits = lines.join(common, ["host", "line"])
+    lost = hits.groupBy("row").agg(F.sum("words").alias("lost"))
 
     n_common = F.coalesce("lost", F.lit(0).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return (
+    verdicts = (
         rows.drop("lines")
         .join(lost, "row", "left")
         .withColumn("n_common_words", n_common)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & ((F.col("n_words") - F.col("n_common_words")) * 100 >= F.col("n_words") * keep_pct))
-        .drop("lost", "row")
+        .drop("lost")
     )
+    return verdicts, hits
+
+
+def judge(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
+    """One row per row of ``docs``: base counts, words in common lines, and the verdict.
+
+    ``k1`` and ``k2`` hash the text, so that equal texts can be told outside.
+    Texts are read once; the scan's counts and line hashes are stored below
+    ``spark.checkpoint.dir`` and all later steps read those.
+    """
+    return _judged(docs, host, **limits)[0].drop("row")
 
 
 def keep(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
@@ -178,3 +197,30 @@ def keep(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
     bad = judge(docs, host, **limits).filter(~F.col("kept")).select("host", "k1", "k2").distinct()
     same = [F.coalesce(F.col(host).cast("string"), F.lit("\x00")) == bad["host"], F.xxhash64("text") == bad["k1"], F.hash("text") == bad["k2"]]
     return docs.join(bad, same, "left_anti")
+
+
+def clean(docs: DataFrame, host: str = "source", n_chars: str | None = "n_chars", **limits: int) -> DataFrame:
+    """The rows that :func:`keep` keeps, without common lines in ``text``; ``n_chars``, if there is such a column, follows."""
+    verdicts, hits = _judged(docs, host, **limits)
+    texts = verdicts.groupBy("host", "k1", "k2").agg(F.min("row").alias("row"), F.min("kept").alias("kept"), F.max("n_common_words").alias("n"))
+    cuts = hits.groupBy("row").agg(F.collect_set("line").alias("cut"))
+    fate = texts.filter(~F.col("kept") | (F.col("n") > 0)).join(cuts, "row", "left").select("host", "k1", "k2", "kept", "cut")
+    keys = [F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("host"), F.xxhash64("text").alias("k1"), F.hash("text").alias("k2")]
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), *keys).join(fate, ["host", "k1", "k2"], "left").filter(F.coalesce("kept", F.lit(True))).select("doc", "cut")
+    at = docs.columns.index("text")
+    count = docs.columns.index(n_chars) if n_chars in docs.columns else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column("doc")
+            cols, names = doc.flatten(), [f.name for f in doc.type]
+            lines = batch.column("cut").to_pylist()
+            if any(lines):
+                old = cols[at].to_pylist()
+                new = [without(t, set(own)) if own else t for t, own in zip(old, lines)]
+                cols[at] = pa.array(new, cols[at].type)
+                if count is not None:
+                    cols[count] = pa.array([len(t) if own else c for t, own, c in zip(new, lines, cols[count].to_pylist())], cols[count].type)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return rows.mapInArrow(cut, docs.schema)

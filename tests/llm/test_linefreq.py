@@ -62,6 +62,22 @@ def test_common_lines_go_and_depleted_documents_with_them(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(range(61)) and kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_clean_texts_lack_common_lines(spark):
+    footer = "Subscribe to our letter of 2024 and share this page with all of your friends today please do"
+    texts = [prose(i, 30) + "\n\n" + footer.replace("2024", str(1990 + i)) + "\né " + letters(i) for i in range(60)] + [footer + "\nok " + letters(7), prose(2000)]
+    df = cluttered(docs(spark, [*texts, texts[0]], ["h"] * 63))
+    got = linefreq.clean(df)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert got.columns == df.columns and set(rows) == {*range(60), 61, 62}
+    for i in [*range(60), 62]:
+        k = i % 62
+        assert rows[i]["text"] == prose(k, 30) + "\n\né " + letters(k) and rows[i]["n_chars"] == len(rows[i]["text"])
+    assert rows[61]["text"] == prose(2000)
+    plain = cluttered(awkward(spark))
+    assert sorted(map(repr, linefreq.clean(plain).collect())) == sorted(map(repr, linefreq.keep(plain).collect()))
+    assert linefreq.clean(plain.limit(0)).count() == 0
+
+
 def test_copies_and_near_copies_do_not_make_their_lines_common(spark):
     lines = [prose(5000 + k) for k in range(10)]
     near = ["\n".join([*lines, prose(i)]) for i in range(80)]
