@@ -42,10 +42,10 @@ def with_order_bucket(
 ) -> tuple[DataFrame, int]:
     """Add ``_v``, ``_k`` and ``_bucket``; the bucket never decreases along (value, key).
 
-    ``value`` must be finite; ``n`` is the row count where it is known. Returns the frame and the number of buckets aimed at.
+    Rows without a finite value are left out; ``n`` is the row count where it is known. Returns the frame and the number of buckets aimed at.
     """
-    base = df.withColumns({"_v": value.cast("double") + F.lit(0.0), "_k": key.cast("double") + F.lit(0.0)})
-    n = df.count() if n is None else n
+    base = df.withColumns({"_v": value.cast("double") + F.lit(0.0), "_k": key.cast("double") + F.lit(0.0)}).where(is_finite(F.col("_v")))
+    n = base.count() if n is None else n
     m = -(-n // rows_per_bucket)
     if m <= 1:
         return base.withColumn("_bucket", F.lit(0).cast("long")), 1
@@ -78,7 +78,7 @@ def with_order_bucket(
 def running_sums(
     df: DataFrame, value: Column, key: Column, sums: dict[str, Column], rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
 ) -> DataFrame:
-    """Inclusive running sums along (value asc, key asc) over all rows."""
+    """Inclusive running sums along (value asc, key asc) over all rows with a finite value."""
     cols = df.columns
     bucketed, buckets = with_order_bucket(df.withColumns({f"_s_{k}": c for k, c in sums.items()}).withColumn("_key", key), value, F.col("_key"), rows_per_bucket, n=n)
     w = Window.partitionBy("_bucket").orderBy("_v", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -94,7 +94,7 @@ def running_sums(
 def with_rank(
     df: DataFrame, order: Column, key: Column, out: str = "rank", rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
 ) -> DataFrame:
-    """1..n along (order asc, key asc). Negate a score to rank it from the top."""
+    """1..n along (order asc, key asc); rows without a finite value are left out. Negate a score to rank it from the top."""
     return running_sums(df, order, key, {out: F.lit(1).cast("long")}, rows_per_bucket, n)
 
 
@@ -128,8 +128,8 @@ def average_rank_share(df: DataFrame, score: str, out: str = "p_rank", rows_per_
 
 
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """The k best rows; ties go to the lower key."""
-    return df.orderBy(F.col(score).desc(), F.col(key).asc()).limit(max(int(k), 0))
+    """The k best rows with a finite score; ties go to the lower key."""
+    return df.where(is_finite(F.col(score))).orderBy(F.col(score).desc(), F.col(key).asc()).limit(max(int(k), 0))
 
 
 def hash_ranked(df: DataFrame, key: Column, seed: int, groups: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, out: str = "hash_rank") -> DataFrame:

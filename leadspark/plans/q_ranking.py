@@ -93,11 +93,11 @@ WHERE target = 1 AND canton NOT IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_
 )
 def lim_head(spark, sf):
     """The first 1000 positives outside the big cantons."""
-    from leadspark.operators.sampling import SMALL_CANTON_LIMIT
+    from leadspark.operators.sampling import preserved_positives
     from leadspark.plans.frames import BIG_CANTONS
 
-    rows = panel(spark, sf).where((F.col("target") == 1) & ~F.coalesce(F.col("canton").isin(*BIG_CANTONS), F.lit(False)))
-    return rows.orderBy("snapshot_date", "row_key").limit(SMALL_CANTON_LIMIT).select("row_key", "canton")
+    rows = panel(spark, sf).select("row_key", "canton", "target", "snapshot_date")  # without a size class only cantons decide
+    return preserved_positives(rows, big_cantons=tuple(BIG_CANTONS), limit=1000).select("row_key", "canton")
 
 
 @query("topk_scores", RANKED + "SELECT row_key, score, CAST(target AS BIGINT) AS target FROM ranked WHERE rank <= 1000")

@@ -144,3 +144,12 @@ def test_rows_without_a_score_are_left_out(spark, rows_per_bucket):
     assert ranks == {1: 1, 2: 2, 5: 3, 6: 4, 7: 5}
     share = {r["company_id"]: r["p_rank"] for r in R.average_rank_share(df, "score", rows_per_bucket=rows_per_bucket).collect()}
     assert share[3] is None and share[1] == 1.0
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10, 10**6])
+def test_values_that_are_not_finite_are_left_out_whatever_the_number_of_buckets(spark, rows_per_bucket):
+    values = [None, float("nan"), float("inf"), float("-inf")] + [i / 7 for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(values)), "key long, v double")
+    got = R.with_rank(df, -F.col("v"), F.col("key"), rows_per_bucket=rows_per_bucket).orderBy("rank").toPandas()
+    assert got["key"].tolist() == list(range(63, 3, -1)) and got["rank"].tolist() == list(range(1, 61))
+    assert [r["key"] for r in R.top_k(df, "v", "key", 2).collect()] == [63, 62]
