@@ -6,12 +6,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadspark.functions.features import or_missing
 from leadspark.functions.hashing import SPACE, hash32
 from leadspark.operators.encoders import standardize
+from leadspark.operators.metric_index import BLOCK_ROWS, NEAR_SCHEMA, QUERY_ROWS, MetricIndex, top_k
 from leadspark.schema import autodetect_roles
 from leadspark.session import cut
 
@@ -24,8 +26,6 @@ MAX_CELLS = 100
 MAX_PROBES = 10
 
 BROADCAST_VALUES = 4_000_000
-BLOCK_ROWS = 20_000
-QUERY_ROWS = 50_000
 
 
 # ---- clusters of mixed columns ------------------------------------------------------------------
@@ -178,36 +178,11 @@ def probe_count(cells: int) -> int:
     return min(MAX_PROBES, cells)
 
 
-def _top(queries: np.ndarray, index: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """k smallest distances (and ids) per query row; ties go to the lower id."""
-    k = min(k, len(ids))
-    out_d, out_i = np.empty((len(queries), k)), np.empty((len(queries), k), dtype=np.int64)
-    norms = (index * index).sum(axis=1)
-    step = max(1, 4_000_000 // max(1, len(ids)))
-    for s in range(0, len(queries), step):
-        q = queries[s : s + step]
-        d2 = (q * q).sum(axis=1)[:, None] + norms[None, :] - 2 * q @ index.T
-        if own is not None:
-            d2[own[s : s + step, None] == ids[None, :]] = np.inf
-        near = min(len(ids), k + 8)
-        pick = np.argpartition(d2, near - 1, axis=1)[:, :near]
-        diff = index[pick] - q[:, None, :]
-        exact = np.sqrt(np.maximum((diff * diff).sum(axis=2), 0))
-        exact[~np.isfinite(np.take_along_axis(d2, pick, axis=1))] = np.inf
-        order = np.lexsort((ids[pick], exact), axis=1)[:, :k]
-        out_d[s : s + step] = np.take_along_axis(exact, order, axis=1)
-        out_i[s : s + step] = np.take_along_axis(ids[pick], order, axis=1)
-    return out_d, out_i
-
-
 def _result(keys, d: np.ndarray, i: np.ndarray) -> pd.DataFrame:
     ok = np.isfinite(d)
     return pd.DataFrame({"_q": keys, "distances": [r[m] for r, m in zip(d, ok)], "neighbour_ids": [r[m] for r, m in zip(i, ok)]})
 
 
-_NEAR_SCHEMA = "_q long, distances array<double>, neighbour_ids array<long>"
-
-
 def nearest(
     queries: DataFrame,
     index: DataFrame,
@@ -220,12 +195,14 @@ def nearest(
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
     probes: int | None = None,
+    work: Accumulator | None = None,
 ) -> DataFrame:
     """(query key, distances, neighbour_ids): the k nearest indexed rows of every query.
 
-    Exact unless ``probes`` limits the search to that many nearest cells. An index whose values fit ``broadcast_values`` goes to every task. A larger one
-    is cut into cells and blocks of bounded size, and a query visits only cells
-    that can still hold one of its k nearest.
+    Exact unless ``probes`` limits the search to that many nearest of the coarse
+    cells. An index whose values fit ``broadcast_values`` goes to every task; a
+    larger one is searched by :class:`MetricIndex`. ``work`` counts the distances
+    that its queries take.
     """
     idx = index.select(F.col(index_key).cast("long").alias("_i"), F.col(vector).cast("array<double>").alias("_x"))
     qs = queries.select(F.col(query_key).cast("long").alias("_q"), F.col(vector).cast("array<double>").alias("_y"))
@@ -233,8 +210,10 @@ def nearest(
     n, d = int(shape["n"]), int(shape["d"] or 0)
     if probes is None and n * d <= broadcast_values:
         found = _nearest_broadcast(qs, idx, k, exclude_self)
+    elif probes is None:
+        found = MetricIndex(idx, n, d, k, block_rows, query_rows, work=work).search(qs, exclude_self)
     else:
-        found = _nearest_cells(qs, idx, n, k, exclude_self, block_rows, query_rows, probes)
+        found = _nearest_probed(qs, idx, n, k, exclude_self, block_rows, query_rows, probes)
     return found.withColumnRenamed("_q", query_key)
 
 
@@ -251,72 +230,47 @@ def _nearest_broadcast(qs: DataFrame, idx: DataFrame, k: int, exclude_self: bool
                 yield _result(b["_q"], empty, empty.astype(np.int64))
                 continue
             keys = b["_q"].to_numpy(dtype=np.int64)
-            yield _result(b["_q"], *_top(np.array(b["_y"].tolist(), dtype=float), x, ids, keys if exclude_self else None, k))
+            yield _result(b["_q"], *top_k(np.array(b["_y"].tolist(), dtype=float), x, ids, keys if exclude_self else None, k))
 
-    return qs.mapInPandas(search, _NEAR_SCHEMA)
+    return qs.mapInPandas(search, NEAR_SCHEMA)
 
 
-def _nearest_cells(qs: DataFrame, idx: DataFrame, n: int, k: int, exclude_self: bool, block_rows: int, query_rows: int, probes: int | None) -> DataFrame:
+def _nearest_probed(qs: DataFrame, idx: DataFrame, n: int, k: int, exclude_self: bool, block_rows: int, query_rows: int, probes: int) -> DataFrame:
+    """Approximate: of at most MAX_CELLS coarse cells a query visits the ``probes`` nearest."""
     spark = qs.sparkSession
-    cells = cell_count(n)
-    centres = idx.orderBy(hash32(F.col("_i"), 11), "_i").limit(cells).select("_x").toPandas()  # at most MAX_CELLS rows
-    c = np.array(centres["_x"].tolist(), dtype=float)
-    held = spark.sparkContext.broadcast(c)
+    centres = idx.orderBy(hash32(F.col("_i"), 11), "_i").limit(cell_count(n)).select("_x").toPandas()  # at most MAX_CELLS rows
+    held = spark.sparkContext.broadcast(np.array(centres["_x"].tolist(), dtype=float))
 
-    def place(batches):
-        centre = held.value
-        for b in batches:
-            if len(b) == 0:
-                continue
-            d, i = _top(np.array(b["_x"].tolist(), dtype=float), centre, np.arange(len(centre)), None, 1)
-            yield b.assign(_cell=i[:, 0].astype("int32"), _r=d[:, 0])
-
-    placed = cut(idx.mapInPandas(place, "_i long, _x array<double>, _cell int, _r double"))
-    # Per cell: size, radius, and its k + 1 rows closest to the centre, which bound every query's k-th distance.
-    closest = Window.partitionBy("_cell").orderBy("_r", "_i")
-    inner = placed.select("_cell", "_r", "_i").withColumn("_n", F.row_number().over(closest)).where(F.col("_n") <= k + 1)
-    near = {r["_cell"]: np.array(r["rs"]) for r in inner.groupBy("_cell").agg(F.collect_list("_r").alias("rs")).collect()}
-    sizes = {r["_cell"]: (int(r["n"]), float(r["radius"])) for r in placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_r").alias("radius")).collect()}
-    used = np.array(sorted(sizes))
-    radius = np.array([sizes[j][1] for j in used])
-    bounds_cell = np.concatenate([np.full(len(near[j]), a) for a, j in enumerate(used)])
-    bounds_r = np.concatenate([near[j] for j in used])
-    kk = min(k + int(exclude_self), len(bounds_r))
-
-    def visit(batches):
-        centre = held.value[used]
-        for b in batches:
-            if len(b) == 0:
-                continue
-            y = np.array(b["_y"].tolist(), dtype=float)
-            d = np.sqrt(np.maximum(((y[:, None, :] - centre[None, :, :]) ** 2).sum(axis=2), 0))
-            limit = np.partition(d[:, bounds_cell] + bounds_r[None, :], kk - 1, axis=1)[:, kk - 1]
-            go = d - radius[None, :] <= limit[:, None] * (1 + 1e-9) + 1e-9
-            if probes is not None and probes < d.shape[1]:
-                go &= d <= np.partition(d, probes - 1, axis=1)[:, probes - 1 : probes]
-            rows, at = np.nonzero(go)
-            yield pd.DataFrame({"_q": b["_q"].to_numpy()[rows], "_y": [y[r] for r in rows], "_cell": used[at].astype("int32")})
+    def nearest_cells(key: str, value: str, count: int):
+        def run(batches):
+            centre = held.value
+            for b in batches:
+                if len(b):
+                    i = top_k(np.array(b[value].tolist(), dtype=float), centre, np.arange(len(centre)), None, count)[1]
+                    rows = np.repeat(np.arange(len(b)), i.shape[1])
+                    yield pd.DataFrame({key: b[key].to_numpy()[rows], value: b[value].to_numpy()[rows], "_cell": i.ravel().astype("int32")})
+
+        return run
 
-    visits = cut(qs.mapInPandas(visit, "_q long, _y array<double>, _cell int"))
-    load = {r["_cell"]: int(r["n"]) for r in visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per cell
+    placed = cut(idx.mapInPandas(nearest_cells("_i", "_x", 1), "_i long, _x array<double>, _cell int"))
+    visits = cut(qs.mapInPandas(nearest_cells("_q", "_y", probes), "_q long, _y array<double>, _cell int"))
 
-    def per_cell(values: dict[int, int]) -> Column:
-        return F.element_at(F.create_map(*[F.lit(int(x)) for kv in values.items() for x in kv]), F.col("_cell"))
+    def parts(df: DataFrame, rows: int, out: str) -> DataFrame:
+        return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(out))
 
-    blocks = per_cell({int(j): -(-sizes[j][0] // block_rows) for j in used})
-    chunks = per_cell({int(j): max(1, -(-load.get(j, 0) // query_rows)) for j in used})
+    plan = F.broadcast(cut(parts(placed, block_rows, "_blocks").join(parts(visits, query_rows, "_chunks"), "_cell")))  # at most MAX_CELLS rows
 
-    def slot(key: str, seed: int, parts: Column) -> Column:
-        return F.floor(hash32(F.col(key), seed) * parts / F.lit(SPACE)).cast("int")
+    def slot(key: str, seed: int, count: str) -> Column:
+        return F.floor(hash32(F.col(key), seed) * F.col(count) / F.lit(SPACE)).cast("int")
 
-    left = visits.select("_q", "_y", "_cell", slot("_q", 3, chunks).alias("_chunk"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
-    right = placed.select("_i", "_x", "_cell", slot("_i", 5, blocks).alias("_block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"))
+    left = visits.join(plan, "_cell").select("_q", "_y", "_cell", slot("_q", 3, "_chunks").alias("_chunk"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    right = placed.join(plan, "_cell").select("_i", "_x", "_cell", slot("_i", 5, "_blocks").alias("_block"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"))
 
     def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({"_q": pd.Series([], dtype="int64"), "distance": pd.Series([], dtype=float), "id": pd.Series([], dtype="int64")})
         keys = a["_q"].to_numpy(dtype=np.int64)
-        d, i = _top(np.array(a["_y"].tolist(), dtype=float), np.array(b["_x"].tolist(), dtype=float), b["_i"].to_numpy(dtype=np.int64), keys if exclude_self else None, k)
+        d, i = top_k(np.array(a["_y"].tolist(), dtype=float), np.array(b["_x"].tolist(), dtype=float), b["_i"].to_numpy(dtype=np.int64), keys if exclude_self else None, k)
         ok = np.isfinite(d)
         return pd.DataFrame({"_q": np.repeat(keys, d.shape[1])[ok.ravel()], "distance": d[ok], "id": i[ok]})
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadspark.operators import lookalike as K
+from leadspark.operators import metric_index as MI
 
 
 def points(spark, n=400, d=3, seed=0):
@@ -99,3 +100,40 @@ def test_combined_features(spark):
 def test_cell_rule():
     assert [K.cell_count(n) for n in (5, 100, 400, 10**6)] == [10, 10, 20, 100]
     assert K.probe_count(100) == 10 and K.probe_count(4) == 4
+
+
+def clustered(spark, n, groups, d=6, seed=3):
+    """Points around ``groups`` places, as many to a place whatever n."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(groups, d))[rng.integers(0, groups, n)] * 20 + rng.normal(size=(n, d))
+    return x, spark.createDataFrame(pd.DataFrame({"row_key": np.arange(n), "v": x.tolist()}))
+
+
+def test_distances_per_query_grow_far_slower_than_the_index(spark):
+    q = 100
+    per_query = {}
+    for n in (1_000, 16_000):
+        x, df = clustered(spark, n, n // 100)
+        work = spark.sparkContext.accumulator(0)
+        got = K.nearest(df.where(F.col("row_key") < q), df, "v", "row_key", "row_key", 5, broadcast_values=0, block_rows=500, work=work).toPandas().sort_values("row_key")
+        np.testing.assert_allclose(np.array(got["distances"].tolist()), brute(x[:q], x, 5), atol=1e-9)
+        per_query[n] = work.value / q
+    # sixteen times the rows: with the square root of them four times the distances, all of them would be sixteen times
+    assert per_query[16_000] < 6 * per_query[1_000] and per_query[16_000] < 16_000 / 8
+
+
+def test_hot_cell_is_split_and_ties_go_to_the_lower_id(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(300)] + [(300 + i, [float(i), 0.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_key long, v array<double>")
+    got = K.nearest(df.where("row_key >= 290"), df, "v", "row_key", "row_key", 4, broadcast_values=0, block_rows=50, query_rows=20).toPandas().sort_values("row_key")
+    want = K.nearest(df.where("row_key >= 290"), df, "v", "row_key", "row_key", 4).toPandas().sort_values("row_key")
+    assert [list(r) for r in got["neighbour_ids"]] == [list(r) for r in want["neighbour_ids"]]
+    assert list(got["neighbour_ids"].iloc[0]) == [0, 1, 2, 3]
+    index = MI.MetricIndex(df.select(F.col("row_key").alias("_i"), F.col("v").alias("_x")), 340, 2, 4, block_rows=50)
+    parts = dict(enumerate(index.parts.tolist()))
+    largest = max(r["n"] / parts[r["_unit"]] for r in index.rows.groupBy("_unit").agg(F.count(F.lit(1)).alias("n")).collect())
+    assert largest <= 50
+
+
+def test_index_cells_grow_with_the_square_root_up_to_the_bound():
+    assert [MI.index_cells(n, 64) for n in (0, 100, 10**6, 10**10, 10**12)] == [1, 10, 1000, 62_500, 62_500]
