@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Matrices
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadspark.functions.features import clip01, is_finite
+from leadspark.operators.isotonic import interpolate, pools
+from leadspark.operators.ranking import ROWS_PER_BUCKET
 
 # Methods, the least number of scores for beta calibration, and its clamp.
 METHODS = ("isotonic", "sigmoid", "beta")
@@ -25,11 +26,12 @@ CLAMP = 1e-9
 
 @dataclass
 class IsotonicCalibrator:
-    model: object
+    """Pools of an isotonic fit; they stay a table."""
+
+    pools: DataFrame
 
     def apply(self, df: DataFrame, score: str, out: str) -> DataFrame:
-        model = self.model.copy().setFeaturesCol(score).setPredictionCol(out)
-        return model.transform(df).withColumn(out, clip01(F.col(out)))
+        return interpolate(df, score, self.pools, out).withColumn(out, clip01(F.col(out)))
 
 
 @dataclass
@@ -62,9 +64,8 @@ def _counts(df: DataFrame, score: str, target: str) -> DataFrame:
     )
 
 
-def fit_isotonic(df: DataFrame, score: str = "p", target: str = "target") -> IsotonicCalibrator:
-    data = _counts(df, score, target).select(F.col("s").alias("features"), (F.col("pos") / F.col("n")).alias("label"), F.col("n").alias("weight"))
-    return IsotonicCalibrator(IsotonicRegression(weightCol="weight").fit(data))
+def fit_isotonic(df: DataFrame, score: str = "p", target: str = "target", rows_per_bucket: int = ROWS_PER_BUCKET) -> IsotonicCalibrator:
+    return IsotonicCalibrator(pools(_counts(df, score, target), rows_per_bucket))
 
 
 def _logistic(data: DataFrame, kind: str) -> LogisticCalibrator:

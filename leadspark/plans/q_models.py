@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from leadspark.operators import models as L
+from leadspark.operators.calibration import fit_isotonic
 from leadspark.operators.encoders import LeadPreprocessor, LeadPreprocessorModel
 from leadspark.operators.scorers import TopKEvaluator, lift_at_k_scorer, precision_at_k_scorer, recall_at_k_scorer
 from leadspark.operators.splits import on_dates, split_by_dates, time_folds, with_position
@@ -183,6 +184,22 @@ def cal_isotonic(spark, sf):
     return _calibrated(spark, sf, "isotonic")
 
 
+#: The fit by its max-min formula: the greatest over all starts of the least over all ends of the mean between them.
+MAX_MIN_SQL = """, c AS (SELECT score AS s, count(*) AS n, sum(target) AS p FROM scored GROUP BY 1),
+cum AS (SELECT s, sum(n) OVER w AS n, sum(p) OVER w AS p, sum(n) OVER w - n AS n0, sum(p) OVER w - p AS p0 FROM c WINDOW w AS (ORDER BY s)),
+means AS (SELECT a.s AS a, b.s AS b, (b.p - a.p0) / CAST(b.n - a.n0 AS DOUBLE) AS m FROM cum a JOIN cum b ON a.s <= b.s),
+least AS (SELECT a, b AS s, min(m) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM means),
+fit AS (SELECT s, max(m) AS q FROM least GROUP BY s)
+SELECT row_key, round(q, 6) AS p FROM scored JOIN fit ON scored.score = fit.s"""
+
+
+@query("cal_isotonic_fit", "WITH " + SCORED_SQL + MAX_MIN_SQL)
+def cal_isotonic_fit(spark, sf):
+    """The demo score calibrated on all rows; its thousand values lie in some sixty buckets."""
+    rows = cut(scored(spark, sf).select("row_key", "target", "score"))
+    return fit_isotonic(rows, "score", rows_per_bucket=16).apply(rows, "score", "p").select("row_key", F.round("p", 6).alias("p"))
+
+
 @query("cal_sigmoid")
 def cal_sigmoid(spark, sf):
     return _calibrated(spark, sf, "sigmoid")
