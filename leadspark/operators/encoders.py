@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -71,11 +72,33 @@ def _yeo_johnson_numpy(x: np.ndarray, lam: float) -> np.ndarray:
         return np.where(x >= 0, up, down)
 
 
-def _power_moments(df: DataFrame, grids: dict[str, np.ndarray]) -> dict[tuple[str, int], tuple[float, float]]:
+@dataclass(frozen=True)
+class _PowerScale:
+    """How candidates of a column are computed so that digits are not lost far from 0.
+
+    For values of one ``sign`` the power of 1 + |x| is taken relative to that of the
+    mean logarithm ``log``; the factor left out cancels in the likelihood. Values of
+    both signs are taken as they are, around the transform of their ``mean``.
+    """
+
+    sign: int
+    log: float
+    mean: float
+
+    def transform(self, x: np.ndarray, lam: float) -> np.ndarray:
+        if not self.sign:
+            return _yeo_johnson_numpy(x, lam) - _yeo_johnson_numpy(np.array([self.mean]), lam)[0]
+        power = lam if self.sign > 0 else 2 - lam
+        z = np.log1p(np.abs(x)) - self.log
+        with np.errstate(over="ignore"):
+            return self.sign * (z if abs(power) < 1e-9 else np.expm1(power * z) / power)
+
+
+def _power_moments(df: DataFrame, grids: dict[str, np.ndarray], scales: dict[str, _PowerScale]) -> dict[tuple[str, int], tuple[float, float]]:
     """Number of values and population variance of each column at each candidate, in one pass.
 
-    Every task sends back one row of moments for each column, candidate and
-    batch; no input row is repeated.
+    Every task sends back one row of centred moments for each column, candidate
+    and batch; they are merged around the centre of the column's scale.
     """
     cols = list(grids)
 
@@ -86,16 +109,19 @@ def _power_moments(df: DataFrame, grids: dict[str, np.ndarray]) -> dict[tuple[st
                 x = batch.column(c).to_numpy(zero_copy_only=False)
                 x = x[~np.isnan(x)]
                 for i, lam in enumerate(grids[c]):
-                    y = _yeo_johnson_numpy(x, float(lam))
-                    mean = float(y.mean()) if len(y) else 0.0
-                    found.append((c, i, len(y), mean, float(((y - mean) ** 2).sum())))
+                    y = scales[c].transform(x, float(lam))
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        mean = float(y.mean()) if len(y) else 0.0
+                        found.append((c, i, len(y), mean, float(((y - mean) ** 2).sum())))
             names = ["column", "i", "n", "mean", "square"]
             yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*found)))), pa.schema([("column", pa.string()), ("i", pa.int32()), ("n", pa.int64()), ("mean", pa.float64()), ("square", pa.float64())]))
 
     parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(partial, "column string, i int, n long, mean double, square double")
-    n, m = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.nullif(F.sum("n"), F.lit(0).cast("long"))
-    rows = parts.where("n > 0").groupBy("column", "i").agg(n.alias("n"), m.alias("mean"), F.sum(F.col("square") + F.col("n") * F.col("mean") * F.col("mean")).alias("total"))
-    return {(r["column"], r["i"]): (r["n"], r["total"] / r["n"] - r["mean"] ** 2) for r in rows.collect()}  # columns x points
+    rows = parts.where("n > 0").groupBy("column", "i").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("first"), F.sum("square").alias("within"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("between")
+    )
+    # the centre lies among the values, so the square of the mean is no larger than the variance and can be taken off
+    return {(r["column"], r["i"]): (r["n"], (r["within"] + max(r["between"] - r["first"] ** 2 / r["n"], 0.0)) / r["n"]) for r in rows.collect()}  # columns x points
 
 
 def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4, low: float = -2.0, high: float = 2.0, widenings: int = 3) -> dict[str, float]:
@@ -103,37 +129,49 @@ def fit_power(df: DataFrame, cols: list[str], points: int = 9, rounds: int = 4,
 
     Each round tries a grid of candidates for all columns in one pass. While a
     column's best candidate is on the edge its interval moves out, each time
-    twice as far, ``widenings`` times at most (values of two kinds have no peak);
-    then it is narrowed around the best one ``rounds`` times.
+    twice as far, ``widenings`` times at most (values of two kinds have no peak),
+    and a warning says so where that was not enough; then it is narrowed around
+    the best one ``rounds`` times.
     """
     if not cols:
         return {}
-    x = {c: F.col(c).cast("double") for c in cols}
-    shifts = df.agg(*[F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    shift = {c: shifts[f"s{i}"] for i, c in enumerate(cols)}
+    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    named = {"n": F.count, "low": F.min, "high": F.max, "mean": F.avg}
+    sums = df.agg(
+        *[f(x[c]).alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in named.items()],
+        *[F.avg(F.log1p(F.abs(x[c]))).alias(f"log{i}") for i, c in enumerate(cols)],
+        *[F.avg(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"signed{i}") for i, c in enumerate(cols)],
+    ).first()
+    scales, slope = {}, {}
+    for i, c in enumerate(cols):
+        sign = 0 if not sums[f"n{i}"] else 1 if sums[f"low{i}"] >= 0 else -1 if sums[f"high{i}"] <= 0 else 0
+        scales[c] = _PowerScale(sign, sums[f"log{i}"] or 0.0, sums[f"mean{i}"] or 0.0)
+        slope[c] = 0.0 if sign else sums[f"signed{i}"] or 0.0  # relative to the mean logarithm the Jacobian is constant
     bounds = dict.fromkeys(cols, (low, high))
     left, wide = dict.fromkeys(cols, rounds), dict.fromkeys(cols, widenings)
     best = dict.fromkeys(cols, 1.0)
     while live := [c for c in cols if left[c]]:
         grids = {c: np.linspace(*bounds[c], points) for c in live}
-        found = _power_moments(df, grids)
+        found = _power_moments(df, grids, scales)
         for c in live:
-            n = max((found.get((c, i), (0, 0.0))[0] for i in range(points)), default=0)
             var = np.array([found.get((c, i), (0, np.nan))[1] for i in range(points)], dtype=float)
             var[~np.isfinite(var) | (var <= 0)] = np.nan
             if np.all(np.isnan(var)):
                 left[c] = 0
                 continue
-            like = -n / 2 * np.log(var) + (grids[c] - 1) * shift[c]
+            like = -np.log(var) / 2 + (grids[c] - 1) * slope[c]
             i = int(np.nanargmax(like))
             best[c] = float(grids[c][i])
             a, b = bounds[c]
-            if i in (0, points - 1) and wide[c] and left[c] == rounds:
+            edge = i in (0, points - 1) and left[c] == rounds
+            if edge and wide[c]:
                 wide[c] -= 1
                 bounds[c] = (a - 2 * (b - a), float(grids[c][1])) if i == 0 else (float(grids[c][-2]), b + 2 * (b - a))
-            else:
-                bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
-                left[c] -= 1
+                continue
+            if edge:
+                warnings.warn(f"the likelihood of {c} has no peak up to lambda {best[c]:.4g}", stacklevel=2)
+            bounds[c] = (float(grids[c][max(i - 1, 0)]), float(grids[c][min(i + 1, points - 1)]))
+            left[c] -= 1
     return best
 
 
