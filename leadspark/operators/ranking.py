@@ -9,6 +9,8 @@ split further along the key.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from leadspark.functions.features import is_finite
 from leadspark.functions.hashing import SPACE, hash32
 from leadspark.operators.lookup import lookup_join
-from leadspark.session import cut
+from leadspark.session import cut, scratch_path
 
 ROWS_PER_BUCKET = 500_000
 #: Rows drawn for each bucket's edge, fewer where there are very many buckets.
@@ -25,6 +27,10 @@ SAMPLE_PER_BUCKET = 200
 SAMPLE_ROWS = 4_000_000
 LEAST_PER_BUCKET = 16
 HASH_BITS = 12
+#: Quantile search: values that one rank's last interval may hold, sketched values of an interval, and the sketch's accuracy.
+KEPT_VALUES = 2_000
+STEPS = 128
+ACCURACY = 4_096
 
 
 def _double_array(values: np.ndarray) -> Column:
@@ -193,52 +199,108 @@ def random_rows(df: DataFrame, key: Column, n: int, seed: int = 42) -> DataFrame
     return hash_quota(df, key, seed, [], n)
 
 
-def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], max_distinct: int = 200_000, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column, nulls left out.
-
-    Columns with a bounded number of distinct values use the exact ``percentile``
-    aggregate, all in one pass. The others run through distributed running counts
-    over their distinct values, so no task holds a whole column.
+@dataclass
+class _Search:
+    """Where the value of one rank lies: between ``outer`` bounds (None: open), after ``base`` values, with a narrower guess to be counted."""
+
+    rank: int
+    outer: tuple[float | None, float | None] = (None, None)
+    base: int = 0
+    size: int = 0
+    guess: tuple[float, float] | None = None
+    value: float | None = None
+
+    def inside(self, x: Column) -> Column:
+        lo, hi = self.guess or self.outer
+        cond = x.isNotNull() if lo is None else x > F.lit(lo)
+        return cond if hi is None else cond & (x < F.lit(hi))
+
+    def measures(self, x: Column, keep: int, accuracy: int) -> dict[str, Column]:
+        inside = F.when(self.inside(x), x)
+        if self.guess is None and 0 < self.size <= keep:
+            return {"all": F.sort_array(F.collect_list(inside))}  # at most ``keep`` values, counted before
+        edges = F.percentile_approx(inside, F.array(*(F.lit(i / STEPS) for i in range(STEPS + 1))), F.lit(accuracy))
+        out = {"in": F.count(inside), "edges": edges}
+        if self.guess is not None:
+            lo, hi = self.guess
+            after = x.isNotNull() if self.outer[0] is None else x > F.lit(self.outer[0])
+            out |= {"below": F.count(F.when(after & (x < F.lit(lo)), x)), "low": F.count(F.when(x == F.lit(lo), x)), "high": F.count(F.when(x == F.lit(hi), x))}
+        return out
+
+    def take(self, row: dict, margin: int) -> None:
+        """Narrow the search by what was counted; a sketched value may be ``margin`` steps off."""
+        if "all" in row:
+            self.value = row["all"][self.rank - self.base]
+            return
+        if self.guess is not None:
+            lo, hi = self.guess
+            self.guess = None
+            at = self.base + row["below"]
+            if self.rank < at:
+                self.outer, self.size = (self.outer[0], lo), row["below"]
+                return
+            if self.rank < at + row["low"]:
+                self.value = lo
+                return
+            at += row["low"]
+            if self.rank >= at + row["in"]:
+                if lo == hi or self.rank >= at + row["in"] + row["high"]:
+                    past = row["high"] if lo != hi else 0
+                    self.outer, self.base = (hi, self.outer[1]), at + row["in"] + past
+                    self.size = 0
+                else:
+                    self.value = hi
+                return
+            self.outer, self.base = (lo, hi), at
+        self.size = row["in"]
+        edges = row["edges"]
+        if edges and self.size:
+            step = (self.rank - self.base) * STEPS // self.size
+            self.guess = (edges[max(step - margin, 0)], edges[min(step + margin + 1, STEPS)])
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keep: int = KEPT_VALUES, accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of each column; nulls and NaN are left out.
+
+    Each needed rank is sought in an interval of values. A round is one
+    aggregation for all columns: it counts what lies below, on and between the
+    ends of each interval and sketches the values between, which gives the next
+    interval, a few hundredths of the rows. A rank is found on an end, or among
+    at most ``keep`` values; sketches only steer, counts decide.
     """
     if not cols:
         return {}
-    probe = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    narrow = [c for c in cols if (probe[c] or 0) <= max_distinct]
+    spark = df.sparkSession
+    path = scratch_path(spark, "quantiles")
+    number = {c: F.col(c).cast("double") for c in cols}
+    df.select(*[F.when(~F.isnan(x), x + F.lit(0.0)).alias(f"c{i}") for i, x in enumerate(number.values())]).write.parquet(path)  # read once a round
+    stored = spark.read.parquet(path)
+    sizes = stored.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
     found: dict[str, list[float | None]] = {}
-    if narrow:
-        at = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), at).alias(c) for c in narrow]).first()
-        found.update({c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in narrow})
-    for c in (c for c in cols if c not in narrow):
-        found[c] = _quantiles_by_running_counts(df, c, probs, rows_per_bucket)
+    searches: dict[str, dict[int, _Search]] = {}
+    for i, c in enumerate(cols):
+        n = sizes[f"c{i}"]
+        ranks = {r for p in probs for r in (int(np.floor(p * (n - 1))), int(np.ceil(p * (n - 1))))} if n else set()
+        searches[c] = {r: _Search(r, size=n) for r in ranks}
+    while live := [(i, s) for i, c in enumerate(cols) for s in searches[c].values() if s.value is None]:
+        # ranks that are still sought in the same place share their measures
+        places = {(i, s.outer, s.guess, s.size): s for i, s in live}
+        measures = {at: s.measures(F.col(f"c{at[0]}"), keep, accuracy) for at, s in places.items()}
+        names = {at: f"m{j}_" for j, at in enumerate(measures)}
+        row = stored.agg(*[m.alias(names[at] + name) for at, own in measures.items() for name, m in own.items()]).first()
+        for i, s in live:
+            at = (i, s.outer, s.guess, s.size)
+            s.take({name: row[names[at] + name] for name in measures[at]}, 1 + STEPS // accuracy)
+    for i, c in enumerate(cols):
+        n, own = sizes[f"c{i}"], searches[c]
+        found[c] = []
+        for p in probs:
+            x = p * (n - 1)
+            lo, hi = (own[int(f(x))].value for f in (np.floor, np.ceil)) if n else (None, None)
+            found[c].append(None if lo is None else lo if lo == hi else lo + (hi - lo) * (x - np.floor(x)))
     return found
 
 
-def _quantiles_by_running_counts(df: DataFrame, col: str, probs: list[float], rows_per_bucket: int) -> list[float | None]:
-    counts = cut(df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    n = counts.agg(F.sum("c")).first()[0]
-    if not n:
-        return [None] * len(probs)
-    cum = running_sums(counts, F.col("v"), F.lit(0), {"upto": F.col("c")}, rows_per_bucket)
-    spots = sorted({int(np.floor(p * (n - 1))) for p in probs} | {int(np.ceil(p * (n - 1))) for p in probs})
-    hit = F.lit(False)
-    for s in spots:
-        hit = hit | ((F.col("upto") > s) & (F.col("upto") - F.col("c") <= s))
-    rows = cum.where(hit).select("v", "c", "upto").collect()  # at most two rows per probability
-
-    def at(s: int) -> float:
-        return next(r["v"] for r in rows if r["upto"] - r["c"] <= s < r["upto"])
-
-    out = []
-    for p in probs:
-        x = p * (n - 1)
-        lo, hi = at(int(np.floor(x))), at(int(np.ceil(x)))
-        out.append(lo + (hi - lo) * (x - np.floor(x)))
-    return out
-
-
 def ordered_index(distinct: DataFrame, col: str, out: str, partitions: int = 32) -> DataFrame:
     """0-based position of each row in the order of ``col``, for values of any type.
 

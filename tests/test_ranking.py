@@ -153,3 +153,27 @@ def test_values_that_are_not_finite_are_left_out_whatever_the_number_of_buckets(
     got = R.with_rank(df, -F.col("v"), F.col("key"), rows_per_bucket=rows_per_bucket).orderBy("rank").toPandas()
     assert got["key"].tolist() == list(range(63, 3, -1)) and got["rank"].tolist() == list(range(1, 61))
     assert [r["key"] for r in R.top_k(df, "v", "key", 2).collect()] == [63, 62]
+
+
+@pytest.mark.parametrize("keep, accuracy", [(2_000, 4_096), (20, 200)])
+def test_quantiles_of_awkward_columns_in_rounds(spark, keep, accuracy):
+    rng = np.random.default_rng(2)
+    n = 1_001
+    cols = {
+        "heavy tail": np.exp(rng.normal(0, 60, n)),
+        "two values": np.where(np.arange(n) < 500, 1.0, 2.0),
+        "hot value": np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n)),
+        "constant": np.full(n, -3.0),
+        "all different": rng.permutation(n) / 7,
+        "infinite ends": np.concatenate([[-np.inf] * 3, rng.normal(size=n - 6), [np.inf] * 3]),
+    }
+    pdf = pd.DataFrame({c: rng.permutation(v) for c, v in cols.items()})
+    holed = pdf.mask(rng.random(pdf.shape) < 0.1)
+    probs = [0.0, 0.25, 0.5, 0.999]
+    got = R.exact_quantiles(spark.createDataFrame(holed).repartition(5), list(cols), probs, keep, accuracy)
+    for c in cols:
+        v = np.sort(holed[c].dropna().to_numpy())
+        x = np.array(probs) * (len(v) - 1)
+        lo, hi = v[np.floor(x).astype(int)], v[np.ceil(x).astype(int)]
+        want = [a if a == b else a + (b - a) * (y - np.floor(y)) for a, b, y in zip(lo, hi, x)]
+        np.testing.assert_allclose(got[c], want, rtol=1e-12, err_msg=c)
