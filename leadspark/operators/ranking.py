@@ -26,7 +26,9 @@ ROWS_PER_BUCKET = 500_000
 SAMPLE_PER_BUCKET = 200
 SAMPLE_ROWS = 4_000_000
 LEAST_PER_BUCKET = 16
-HASH_BITS = 12
+#: Quotas: bits of the hash by which slices are cut at a time, and rows that the last slice of a group may hold.
+HASH_BITS = (12, 12, 8)
+EDGE_ROWS = 200_000
 #: Quantile search: values that one rank's last interval may hold, sketched values of an interval, and the sketch's accuracy.
 KEPT_VALUES = 2_000
 STEPS = 128
@@ -159,37 +161,70 @@ def hash_ranked(df: DataFrame, key: Column, seed: int, groups: list[str], rows_p
     return joined.withColumn(out, F.col("_r") + F.col("_o")).select(*df.columns, out)
 
 
-def hash_quota(df: DataFrame, key: Column, seed: int, groups: list[str], quotas: DataFrame | int) -> DataFrame:
+def _quota_cuts(base: DataFrame, groups: list[str], quotas: DataFrame | int, bits: tuple[int, ...], edge_rows: int) -> DataFrame:
+    """Per group: the hash slice ``_lo`` to ``_hi`` in which the quota ``_q`` ends, and the ``_below`` rows before it.
+
+    The slice is cut finer, by so many bits at a time, until it holds at most ``edge_rows`` rows in every group.
+    """
+    counted, width = base, SPACE >> bits[0]
+    place = F.floor(F.col("_h") / F.lit(width)).cast("long")
+    upto = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = None
+    for level, more in enumerate(bits):
+        sizes = counted.groupBy(*groups, place.alias("_slice")).agg(F.count(F.lit(1)).alias("_c"))
+        running = sizes.withColumn("_upto", F.sum("_c").over(upto))  # at most 2 ** bits rows per group
+        if cuts is None:
+            known = quotas.select(*groups, F.col("quota").cast("long").alias("_q"), F.lit(0).cast("long").alias("_base")) if groups else None
+            running = running.join(known, groups) if groups else running.withColumns({"_q": F.lit(int(quotas)).cast("long"), "_base": F.lit(0).cast("long")})
+        else:
+            known = cuts.select(*groups, "_q", F.col("_below").alias("_base"))
+            running = running.join(known, groups) if groups else running.crossJoin(F.broadcast(known))  # one row
+        within = F.col("_upto") + F.col("_base") <= F.col("_q")
+        found = running.groupBy(*groups).agg(
+            F.coalesce(F.min(F.when(~within, F.col("_slice"))), F.lit(1 << sum(bits[: level + 1]))).cast("long").alias("_slice"),
+            (F.coalesce(F.max(F.when(within, F.col("_upto"))), F.lit(0)) + F.max("_base")).alias("_below"),
+            F.max("_q").alias("_q"),
+            F.coalesce(F.min_by("_c", F.when(~within, F.col("_slice"))), F.lit(0)).alias("_edge"),
+        )
+        found = found.select(*groups, (F.col("_slice") * width).alias("_lo"), ((F.col("_slice") + 1) * width).alias("_hi"), "_below", "_q", "_edge")
+        # a group whose quota was not reached has its cut at the end of the slice that was counted
+        cuts = cut(found if cuts is None else _within(found, cuts, groups))
+        largest = cuts.agg(F.max("_edge")).first()[0] or 0
+        if level + 1 == len(bits) or largest <= edge_rows:
+            return cuts
+        width >>= bits[level + 1]
+        edge = lookup_join(base, cuts.select(*groups, "_lo", "_hi"), groups, "inner") if groups else base.crossJoin(F.broadcast(cuts.select("_lo", "_hi")))  # one row
+        counted = edge.where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi"))).select(*groups, "_h")
+        place = F.floor(F.col("_h") / F.lit(width)).cast("long")
+
+
+def _within(found: DataFrame, cuts: DataFrame, groups: list[str]) -> DataFrame:
+    """The finer cuts, and the old ones of groups that have no rows in their slice; no cut leaves its old slice."""
+    old = cuts.select(*groups, F.col("_lo").alias("_a"), F.col("_hi").alias("_b"), F.col("_below").alias("_old"), F.col("_q").alias("_oq"))
+    both = old.join(found, groups, "left") if groups else old.join(found, how="left")
+    lo = F.least(F.coalesce("_lo", "_b"), F.col("_b"))
+    return both.select(*groups, lo.alias("_lo"), F.least(F.coalesce("_hi", "_b"), F.col("_b")).alias("_hi"), F.coalesce("_below", "_old").alias("_below"), F.col("_oq").alias("_q"), F.coalesce("_edge", F.lit(0)).alias("_edge"))
+
+
+def hash_quota(df: DataFrame, key: Column, seed: int, groups: list[str], quotas: DataFrame | int, bits: tuple[int, ...] = HASH_BITS, edge_rows: int = EDGE_ROWS) -> DataFrame:
     """The rows with the lowest hash in each group, exactly as many as its quota.
 
     ``quotas`` has the group columns and ``quota``, or is one number where there
-    are no groups. Only the hash slice in which a quota ends is ordered; all other
-    rows are kept or dropped by their slice alone, without a shuffle. A group
-    without a quota keeps nothing.
+    are no groups. Only the hash slice in which a quota ends is ordered, and that
+    slice is refined until it holds at most ``edge_rows`` rows; all other rows
+    are kept or dropped by their hash alone, without a shuffle. A group without a
+    quota keeps nothing.
     """
-    slices = 1 << HASH_BITS
     base = df.withColumns({"_h": hash32(key, seed), "_key": key})
-    base = base.withColumn("_slice", F.shiftright("_h", 32 - HASH_BITS))
-    sizes = base.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = sizes.withColumn("_upto", F.sum("_c").over(upto))  # at most 4096 rows per group
-    if groups:
-        running = running.join(quotas.select(*groups, F.col("quota").cast("long").alias("_q")), groups)
-    else:
-        running = running.withColumn("_q", F.lit(int(quotas)).cast("long"))
-    cuts = running.groupBy(*groups).agg(
-        F.coalesce(F.min(F.when(F.col("_upto") > F.col("_q"), F.col("_slice"))), F.lit(slices)).alias("_cut"),
-        F.coalesce(F.max(F.when(F.col("_upto") <= F.col("_q"), F.col("_upto"))), F.lit(0)).alias("_below"),
-        F.max("_q").alias("_q"),
-    )
+    cuts = _quota_cuts(base, groups, quotas, bits, edge_rows).drop("_edge")
     if groups:
         marked = lookup_join(base, cuts, groups, "inner")
     else:
         one = cuts.first()
-        marked = base.withColumns({c: F.lit(one[c] or 0) for c in ("_cut", "_below", "_q")})
-    sure = marked.where(F.col("_slice") < F.col("_cut"))
-    edge = marked.where(F.col("_slice") == F.col("_cut"))
-    w = Window.partitionBy(*groups, "_slice").orderBy("_h", "_key")
+        marked = base.withColumns({c: F.lit((one[c] if one else 0) or 0) for c in ("_lo", "_hi", "_below", "_q")})
+    sure = marked.where(F.col("_h") < F.col("_lo"))
+    edge = marked.where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
+    w = Window.partitionBy(*groups, "_lo").orderBy("_h", "_key")
     edge = edge.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_q") - F.col("_below"))
     return sure.select(*df.columns).unionByName(edge.select(*df.columns))
 

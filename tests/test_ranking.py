@@ -177,3 +177,17 @@ def test_quantiles_of_awkward_columns_in_rounds(spark, keep, accuracy):
         lo, hi = v[np.floor(x).astype(int)], v[np.ceil(x).astype(int)]
         want = [a if a == b else a + (b - a) * (y - np.floor(y)) for a, b, y in zip(lo, hi, x)]
         np.testing.assert_allclose(got[c], want, rtol=1e-12, err_msg=c)
+
+
+@pytest.mark.parametrize("bits, edge_rows", [((2, 2, 2, 26), 10), ((4, 28), 0)])
+def test_quotas_are_exact_when_slices_are_refined(spark, bits, edge_rows):
+    rows = [(i, "hot" if i % 3 else f"g{i % 5}") for i in range(4_000)]
+    df = spark.createDataFrame(rows, "key long, g string")
+    quotas = spark.createDataFrame([("hot", 1_234), ("g0", 0), ("g1", 10**6), ("g2", 1)], "g string, quota long")
+    got = R.hash_quota(df, F.col("key"), 5, ["g"], quotas, bits, edge_rows)
+    ranked = R.hash_ranked(df, F.col("key"), 5, ["g"]).join(quotas, "g").where("hash_rank <= quota").select("key", "g")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ranked.collect()))
+    one = {r["key"] for r in R.hash_quota(df, F.col("key"), 5, [], 777, bits, edge_rows).collect()}
+    assert one == {r["key"] for r in R.hash_ranked(df, F.col("key"), 5, []).where("hash_rank <= 777").collect()}
+    base = df.withColumns({"_h": R.hash32(F.col("key"), 5), "_key": F.col("key")})
+    assert R._quota_cuts(base, ["g"], quotas, (2, 2, 2, 2, 24), 20).agg(F.max("_edge")).first()[0] <= 20
