@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadspark.functions.dates import iso_date, month_start
+from leadspark.session import cut
 
 # Event types, the difference of both, and the two geographic levels.
 ENTRY = "HR01"
@@ -123,6 +124,7 @@ def time_series(cube: DataFrame, metric: str, last_n: int = 0, geo: str = COUNTR
 
 def heat_map(cube: DataFrame, metric: str, last_n: int = 0) -> DataFrame:
     """Every canton in every visible month, 0 where there is no row."""
+    cube = cut(cube)  # one row a month, canton and type; read three times below
     rows = dashboard_rows(cube, metric, 0, CANTON).select("kanton", "month", "count")
     months = [r[0] for r in visible_months(cube, last_n).collect()]  # one a calendar month
     cantons = cube.where(F.col("kanton").isNotNull()).select("kanton").distinct()
