@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadspark.functions.features import MISSING, or_missing, yeo_johnson
-from leadspark.operators.lookup import BROADCAST_ROWS, lookup_join
+from leadspark.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_SALT, fitting_parts, lookup_join, salted_join
 from leadspark.operators.panel import add_company_features
 from leadspark.operators.ranking import exact_quantiles, ordered_index
 from leadspark.operators.splits import stratified_folds
@@ -305,20 +305,37 @@ def fit_target_encoding(df: DataFrame, cols: list[str], target: str = "target",
     return category_stats(df, cols, target).select("column", "value", enc.alias("encoding")), (pos / n if n else 0.0)
 
 
-def apply_target_encoding(df: DataFrame, cols: list[str], table: DataFrame, prior: float, suffix: str = "_te", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add one encoded column per category column; an unseen value gets the prior."""
-    fixed = cut(table)
-    small = fixed.count() <= max_rows
-    for c in cols:
-        part = fixed.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("encoding").alias("_e"))
-        df = df.withColumn("_v", or_missing(F.col(c))).join(F.broadcast(part) if small else part, "_v", "left")
-        df = df.withColumn(f"{c}{suffix}", F.coalesce("_e", F.lit(prior))).drop("_v", "_e")
+def _add_encodings(df: DataFrame, cols: list[str], fixed: DataFrame, more: list[str], suffix: str, max_rows: int, max_bytes: int, rows_per_salt: int) -> DataFrame:
+    """One column ``<c><suffix>`` per category column from a stored (column, value, ..., encoding) table.
+
+    The parts of the table that fit are broadcast, all in one plan; each wider
+    part shuffles alone, for which the frame so far is stored.
+    """
+    small = fitting_parts(fixed, "column", max_rows, max_bytes)
+    for c in sorted(cols, key=lambda c: c not in small):
+        part = fixed.where(F.col("column") == c).select(F.col("value").alias("_v"), *more, F.col("encoding").alias(f"{c}{suffix}"))
+        keyed = df.withColumn("_v", or_missing(F.col(c)))
+        if c in small:
+            df = keyed.join(F.broadcast(part), ["_v", *more], "left").drop("_v")
+        else:
+            df = salted_join(cut(keyed), part, ["_v", *more], "left", rows_per_salt).drop("_v")
     return df
 
 
+def apply_target_encoding(
+    df: DataFrame, cols: list[str], table: DataFrame, prior: float, suffix: str = "_te", max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """Add one encoded column per category column; an unseen value gets the prior."""
+    known = cut(table.where(F.col("column").isin(*cols)).select("column", "value", "encoding"))
+    out = _add_encodings(df, cols, known, [], suffix, max_rows, max_bytes, rows_per_salt)
+    filled = {f"{c}{suffix}": F.coalesce(F.col(f"{c}{suffix}"), F.lit(prior)) for c in cols}
+    return out.select(*[c for c in out.columns if c not in filled], *[filled[f"{c}{suffix}"].alias(f"{c}{suffix}") for c in cols])
+
+
 def cross_fitted_encoding(
     df: DataFrame, cols: list[str], target: str = "target", key: str = "row_key", folds: int = CROSS_FIT_FOLDS, seed: int = 42, suffix: str = "_te",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Encode each row from the other folds.
 
@@ -342,12 +359,8 @@ def cross_fitted_encoding(
 
     enc = F.when(F.col("on") > 0, shrunk(F.nullif("on", F.lit(0.0)), F.col("op"), by_fold(0), by_fold(1))).otherwise(by_fold(1) / by_fold(0))
     fixed = cut(out.select("column", "value", "fold", enc.alias("encoding")))
-    small = fixed.count() <= max_rows
-    result = folded
-    for c in cols:
-        part = fixed.where(F.col("column") == c).select(F.col("value").alias("_v"), "fold", F.col("encoding").alias(f"{c}{suffix}"))
-        result = result.withColumn("_v", or_missing(F.col(c))).join(F.broadcast(part) if small else part, ["_v", "fold"], "left").drop("_v")
-    return result.drop("fold")
+    result = _add_encodings(folded, cols, fixed, ["fold"], suffix, max_rows, max_bytes, rows_per_salt).drop("fold")
+    return result.select(*[c for c in result.columns if c not in {f"{x}{suffix}" for x in cols}], *[f"{c}{suffix}" for c in cols])
 
 
 # ---- label index --------------------------------------------------------------------------------
