@@ -54,7 +54,11 @@ def curve(df: DataFrame, target: str = "target", score: str = "score", rows_per_
 
     The counts are stored first: the source is read once, whatever follows.
     """
-    counts = cut(score_counts(df, target, score))
+    return _running(cut(score_counts(df, target, score)), rows_per_bucket)
+
+
+def _running(counts: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Stored (score, n, pos) counts with counts at or above each score and the totals."""
     totals = counts.agg(F.sum("n").alias("n"), F.sum("pos").alias("p")).first()
     cum = running_sums(
         counts, -F.col("score"), F.lit(0), {"n_above": F.col("n"), "tp": F.col("pos")}, rows_per_bucket
@@ -83,10 +87,13 @@ def pr_curve(df: DataFrame, **kw) -> DataFrame:
     return points.unionByName(end)
 
 
+def _precision_step() -> Column:
+    return (F.col("pos") / F.nullif(F.col("total_pos").cast("double"), F.lit(0.0))) * (F.col("tp") / F.col("n_above"))
+
+
 def average_precision(df: DataFrame, **kw) -> DataFrame:
     """Step-wise area under the precision-recall curve."""
-    step = (F.col("pos") / F.nullif(F.col("total_pos").cast("double"), F.lit(0.0))) * (F.col("tp") / F.col("n_above"))
-    return curve(df, **kw).agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))
+    return curve(df, **kw).agg(F.coalesce(F.sum(_precision_step()), F.lit(0.0)).alias("average_precision"))
 
 
 def roc_curve(df: DataFrame, **kw) -> DataFrame:
@@ -128,13 +135,16 @@ def youden_threshold(df: DataFrame, **kw) -> DataFrame:
 
 def best_fbeta(df: DataFrame, beta: float = 2.0, **kw) -> DataFrame:
     """Threshold with the highest F-beta; the lowest such threshold on ties, 0.5 without rows."""
+    threshold, f = _best_fbeta(beta)
+    return curve(df, **kw).agg(threshold.alias("threshold"), f.alias("f_beta"))
+
+
+def _best_fbeta(beta: float) -> tuple[Column, Column]:
+    """Aggregates over a curve: the threshold with the highest F-beta, and that value."""
     b2 = beta * beta
-    c = curve(df, **kw)
     p, r = F.col("tp") / F.col("n_above"), _recall()
     f = (1 + b2) * (p * r) / (b2 * p + r + EPS)
-    return c.select("score", f.alias("f")).agg(
-        F.coalesce(F.max_by("score", F.struct("f", -F.col("score"))), F.lit(0.5)).alias("threshold"), F.max("f").alias("f_beta")
-    )
+    return F.coalesce(F.max_by("score", F.struct(f.alias("f"), (-F.col("score")).alias("s"))), F.lit(0.5)), F.max(f)
 
 
 def recall_threshold(df: DataFrame, target_recall: float = 0.95, **kw) -> DataFrame:
@@ -264,42 +274,130 @@ def cumulative_gains(df: DataFrame, target: str = "target", score: str = "score"
     )
 
 
-def metric_block(df: DataFrame, k: int, beta: float, fbeta_threshold: float, topk_threshold: float, **kw) -> DataFrame:
-    """All report metrics of one split as a one-row nested frame."""
-    key = kw.get("key", "row_key")
-    target, score = kw.get("target", "target"), kw.get("score", "score")
-    ts = dict(target=target, score=score)
-    parts = [
-        average_precision(df, **ts).withColumnRenamed("average_precision", "ap"),
-        at_k(df, k, key=key, **ts).select("precision_at_k"),
-        at_threshold(df, fbeta_threshold, beta, **ts).select(F.struct("*").alias("fbeta_metrics")),
-        at_threshold(df, topk_threshold, beta, **ts).select(F.struct("*").alias("topk_metrics")),
-        brier(df, **ts),
-        ece_at_k(df, k, key=key, **ts).withColumnRenamed("ece", "ece_at_k"),
-    ]
-    values: dict = {}
-    fields = []
-    for part in parts:  # one row each, so only scalars reach the driver
-        row = part.first()
-        values.update({f.name: row[f.name] for f in part.schema.fields})
-        fields += part.schema.fields
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    return df.sparkSession.createDataFrame([tuple(values[f.name] for f in fields)], schema)
-
-
-def threshold_report(validation: DataFrame, test: DataFrame, k: int, beta: float, calibration: str, **kw) -> DataFrame:
-    """Thresholds chosen on validation and both splits' metrics at them, as one nested row."""
-    ts = {c: kw[c] for c in ("target", "score") if c in kw}
-    t_f = best_fbeta(validation, beta, **ts).first()["threshold"]
-    t_k = top_k_threshold(validation, k, ts.get("score", "score")).first()["threshold"]
-    blocks = {name: metric_block(df, k, beta, t_f, t_k, **kw) for name, df in (("validation", validation), ("test", test))}
+# ---- the report ---------------------------------------------------------------------------------
+
+
+def counts_between(counts: DataFrame, thresholds: list[float], group: str, n: str = "n", pos: str = "pos", score: str = "score") -> DataFrame:
+    """(group, level, n, pos): rows that reach exactly ``level`` of the ascending thresholds, from one pass.
+
+    The range join of scores with thresholds is a band number per row of counts, so
+    rows meet their band and not every threshold; at most one row a group and band
+    is left. Rows without a finite score reach none.
+    """
+    steps = F.array(*[F.lit(float(t)) for t in thresholds])
+    level = F.when(is_finite(F.col(score)), F.size(F.filter(steps, lambda t: F.col(score) >= t))).otherwise(F.lit(0))
+    return counts.groupBy(group, level.alias("level")).agg(F.sum(n).alias("n"), F.sum(pos).alias("pos"))
+
+
+def _at(reached: tuple[int, int], everything: tuple[int, int], threshold: float, beta: float) -> dict:
+    """Precision, recall and F-beta from (rows, positives) at or above a threshold and in total."""
+    (hit, tp), (n, p) = reached, everything
+    precision, recall = tp / max(hit, 1), tp / max(p, 1)
+    b2 = beta * beta
+    return {
+        "threshold": float(threshold), "precision": precision, "recall": recall,
+        "f_beta": (1 + b2) * (precision * recall) / max(b2 * precision + recall, EPS),
+        "support": n, "positives": p, "predicted_positives": hit,
+    }
+
+
+def threshold_metrics(counts: DataFrame, thresholds: dict[str, float], beta: float, group: str = "split") -> dict[str, dict[str, dict]]:
+    """``at_threshold`` of every group at every named threshold, from stored (group, score, n, pos) counts."""
+    steps = sorted(set(thresholds.values()))
+    bands: dict[str, list] = {}
+    for r in counts_between(counts, steps, group).collect():  # at most groups x (thresholds + 1) rows
+        bands.setdefault(r[group], []).append((r["level"], r["n"], r["pos"]))
+
+    def reached(rows, level):
+        return sum(n for at, n, _ in rows if at >= level), sum(p for at, _, p in rows if at >= level)
+
+    return {
+        g: {name: _at(reached(rows, steps.index(t) + 1), reached(rows, 0), t, beta) for name, t in thresholds.items()}
+        for g, rows in bands.items()
+    }
+
+
+def report_counts(splits: dict[str, DataFrame], target: str = "target", score: str = "score") -> DataFrame:
+    """(split, score, n, pos) of all splits, stored; rows without a score keep a row of their own."""
+    parts = [df.select(F.lit(name).alias("split"), F.col(score).cast("double").alias("score"), F.col(target).cast("long").alias("y")) for name, df in splits.items()]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return cut(rows.groupBy("split", "score").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")))
+
+
+def _kth_score(cum: DataFrame, k: int) -> tuple[float, int] | None:
+    """The score at which the k best rows end, and how many of its rows belong to them; None without rows or with k <= 0."""
+    row = F.struct("n_above", "score", "n")
+    past, last = cum.agg(F.min(F.when(F.col("n_above") >= k, row)), F.max(row)).first()
+    if k <= 0 or last is None:
+        return None
+    end = past or last
+    return end["score"], min(k, end["n_above"]) - (end["n_above"] - end["n"])
+
+
+def _block(cum: DataFrame, end: tuple[float, int] | None, tied: int, at: dict[str, dict], bins: int) -> tuple:
+    """All report metrics of one split from its running counts; ``tied`` are the positives taken from the last score."""
+    s, hits, misses = F.col("score"), F.col("pos"), F.col("n") - F.col("pos")
+    wrong, late = F.sum(hits * (s - 1) * (s - 1)), F.sum(misses * s * s)
+    ap = F.coalesce(F.sum(_precision_step()), F.lit(0.0))
+    all_n, all_p = F.sum("n"), F.sum("pos")
+    none = F.lit(0)
+    whole = cum.agg(ap, (wrong + late) / F.nullif(all_n, none), wrong / F.nullif(all_p, none), late / F.nullif(all_n - all_p, none)).first()
+    precision, ece = 0.0, None
+    if end is not None:
+        last = s == F.lit(end[0])
+        taken, positives = F.when(last, F.lit(end[1])).otherwise(F.col("n")), F.when(last, F.lit(tied)).otherwise(hits)
+        bin_no = F.when((s >= 0) & (s <= 1), F.least(F.floor(s * bins), F.lit(bins - 1)))
+        groups = cum.where(s >= F.lit(end[0])).groupBy(bin_no.alias("bin")).agg(F.sum(taken).alias("n"), F.sum(taken * s).alias("p"), F.sum(positives).alias("y")).collect()
+        total = sum(g["n"] for g in groups)
+        precision = sum(g["y"] for g in groups) / total
+        ece = sum(abs(g["p"] - g["y"]) for g in groups if g["bin"] is not None) / total
+    return whole[0], precision, tuple(at["fbeta"].values()), tuple(at["topk"].values()), *whole[1:], ece
+
+
+_AT = T.StructType(
+    [T.StructField(c, T.DoubleType()) for c in ("threshold", "precision", "recall", "f_beta")]
+    + [T.StructField(c, T.LongType()) for c in ("support", "positives", "predicted_positives")]
+)
+_BLOCK = T.StructType(
+    [T.StructField("ap", T.DoubleType()), T.StructField("precision_at_k", T.DoubleType()), T.StructField("fbeta_metrics", _AT), T.StructField("topk_metrics", _AT)]
+    + [T.StructField(c, T.DoubleType()) for c in ("brier", "brier_pos", "brier_neg", "ece_at_k")]
+)
+
+
+def threshold_report(validation: DataFrame, test: DataFrame, k: int, beta: float, calibration: str, bins: int = 10, **kw) -> DataFrame:
+    """Thresholds chosen on validation and both splits' metrics at them, as one nested row.
+
+    Both splits collapse to one stored table of counts per score, and everything
+    comes from it. Rows are read once more for the score at which a split's k best
+    rows end only, where the key decides which of them belong. Rows without a
+    finite score count in ``support`` alone.
+    """
+    target, score, key = kw.get("target", "target"), kw.get("score", "score"), kw.get("key", "row_key")
+    splits = {"validation": validation, "test": test}
+    counts = report_counts(splits, target, score)
+    sums = {name: cut(_running(counts.where((F.col("split") == name) & is_finite(F.col("score"))).drop("split"))) for name in splits}
+    ends = {name: _kth_score(cum, int(k)) for name, cum in sums.items()}
+    t_f = sums["validation"].agg(_best_fbeta(beta)[0]).first()[0]
+    t_k = ends["validation"][0] if ends["validation"] else 1.0
+    at = threshold_metrics(counts, {"fbeta": t_f, "topk": t_k}, beta)
+    empty = {name: _at((0, 0), (0, 0), t, beta) for name, t in (("fbeta", t_f), ("topk", t_k))}
+
+    def tied(name: str) -> int:
+        if ends[name] is None:
+            return 0
+        end, n = ends[name]
+        picked = splits[name].where(F.col(score).cast("double") == F.lit(end)).select(key, target).orderBy(key).limit(n)  # n <= k
+        return picked.agg(F.coalesce(F.sum(F.col(target).cast("long")), F.lit(0))).first()[0]
+
+    blocks = [_block(sums[name], ends[name], tied(name), at.get(name, empty), bins) for name in splits]
     fields = [
         T.StructField("calibration_method", T.StringType()),
         T.StructField("fbeta_beta", T.DoubleType()),
         T.StructField("fbeta_threshold", T.DoubleType()),
         T.StructField("top_k_threshold", T.DoubleType()),
         T.StructField("k", T.LongType()),
-        *[T.StructField(name, block.schema) for name, block in blocks.items()],
+        *[T.StructField(name, _BLOCK) for name in splits],
     ]
-    row = (calibration, float(beta), float(t_f), float(t_k), int(k), *[block.first() for block in blocks.values()])
-    return validation.sparkSession.createDataFrame([row], T.StructType(fields))
+    return validation.sparkSession.createDataFrame([(calibration, float(beta), float(t_f), float(t_k), int(k), *blocks)], T.StructType(fields))

@@ -161,21 +161,78 @@ def met_gains(spark, sf):
     return M.cumulative_gains(scored(spark, sf)).select("decile", "n", "positives", "cum_positives")
 
 
-@query("met_report")
-def met_report(spark, sf):
-    """Thresholds from the validation split, metrics of both splits, as one nested row."""
+def _at_sql(split: str, t: str, prefix: str) -> str:
+    """Columns of one split at one threshold."""
+    hit, tp = f"count(*) FILTER (WHERE score >= {t})", f"count(*) FILTER (WHERE score >= {t} AND target = 1)"
+    prec, rec = f"{tp} / CAST(greatest({hit}, 1) AS DOUBLE)", f"{tp} / CAST(greatest(sum(target), 1) AS DOUBLE)"
+    return f"""round(any_value({t}), 6) AS {split}_{prefix}_threshold, round({prec}, 6) AS {split}_{prefix}_precision, round({rec}, 6) AS {split}_{prefix}_recall,
+  round(5 * ({prec}) * ({rec}) / greatest(4 * ({prec}) + {rec}, 1e-12), 6) AS {split}_{prefix}_f_beta, count(*) AS {split}_{prefix}_support,
+  CAST(sum(target) AS BIGINT) AS {split}_{prefix}_positives, {hit} AS {split}_{prefix}_predicted_positives"""
+
+
+def _split_sql(s: str) -> str:
+    """Tables of one split: its curve, its k best rows, and its one row of metrics."""
+    return f"""{s}_g AS (SELECT score, count(*) AS n, CAST(sum(target) AS DOUBLE) AS pos FROM {s} GROUP BY score),
+{s}_c AS (SELECT score, pos, sum(pos) OVER w / sum(n) OVER w AS prec, sum(pos) OVER w / sum(pos) OVER () AS rec, pos / sum(pos) OVER () AS step FROM {s}_g
+  WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+{s}_k AS (SELECT * FROM {s} ORDER BY score DESC, row_key LIMIT {K}),
+{s}_b AS (SELECT count(*) AS n, abs(avg(score) - avg(target)) AS gap FROM {s}_k GROUP BY least(floor(score * 10), 9))"""
+
+
+def _block_sql(s: str) -> str:
+    e = "(score - target) * (score - target)"
+    return f"""{s}_m AS (SELECT (SELECT round(sum(step * prec), 6) FROM {s}_c) AS {s}_ap, (SELECT round(avg(target), 6) FROM {s}_k) AS {s}_precision_at_k,
+  {_at_sql(s, 't_f', 'fbeta_metrics')}, {_at_sql(s, 't_k', 'topk_metrics')},
+  round(avg({e}), 6) AS {s}_brier, round(avg({e}) FILTER (WHERE target = 1), 6) AS {s}_brier_pos, round(avg({e}) FILTER (WHERE target = 0), 6) AS {s}_brier_neg,
+  (SELECT round(sum(n * gap) / sum(n), 6) FROM {s}_b) AS {s}_ece_at_k FROM {s}, t)"""
+
+
+REPORT_SQL = (
+    "WITH " + SCORED_SQL + f""",
+dates AS (SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date DESC) AS r FROM (SELECT DISTINCT snapshot_date FROM scored)),
+validation AS (SELECT s.* FROM scored s JOIN dates USING (snapshot_date) WHERE r = 2),
+test AS (SELECT s.* FROM scored s JOIN dates USING (snapshot_date) WHERE r = 1),
+{_split_sql('validation')}, {_split_sql('test')},
+t AS (SELECT (SELECT score FROM validation_c ORDER BY 5.0::DOUBLE * (prec * rec) / (4.0::DOUBLE * prec + rec + 1e-12::DOUBLE) DESC, score LIMIT 1) AS t_f, (SELECT min(score) FROM validation_k) AS t_k),
+{_block_sql('validation')}, {_block_sql('test')}
+SELECT 'none' AS calibration_method, CAST({BETA} AS DOUBLE) AS fbeta_beta, round(t_f, 6) AS fbeta_threshold, round(t_k, 6) AS top_k_threshold, CAST({K} AS BIGINT) AS k, validation_m.*, test_m.*
+FROM t, validation_m, test_m"""
+)
+
+
+def _flat(report):
+    """The nested report as one flat row, numbers rounded."""
+
+    def leaves(schema, path, name):
+        for f in schema.fields:
+            at, label = f"{path}{f.name}", f"{name}{f.name}"
+            if hasattr(f.dataType, "fields"):
+                yield from leaves(f.dataType, f"{at}.", f"{label}_")
+            else:
+                yield (F.round(at, 6) if f.dataType.typeName() == "double" else F.col(at)).alias(label)
+
+    return report.select(*leaves(report.schema, "", ""))
+
+
+def _report(spark, sf):
     from leadspark.operators.splits import split_by_dates
 
     _, val, test = split_by_dates(scored(spark, sf))
     return M.threshold_report(val, test, K, BETA, "none")
 
 
-@query("snk_report")
+@query("met_report", REPORT_SQL)
+def met_report(spark, sf):
+    """Thresholds from the validation split, metrics of both splits."""
+    return _flat(_report(spark, sf))
+
+
+@query("snk_report", REPORT_SQL)
 def snk_report(spark, sf):
-    """The report as a JSON document, written and read back."""
+    """The nested report as a JSON document, written and read back."""
     from leadspark.operators.sinks import write_report
     from leadspark.session import scratch_path
 
-    path = scratch_path(spark, "report")
-    write_report(met_report(spark, sf), path)
-    return spark.read.text(path)
+    path, report = scratch_path(spark, "report"), _report(spark, sf)
+    write_report(report, path)
+    return _flat(spark.read.schema(report.schema).json(path))

@@ -120,3 +120,28 @@ def test_time_folds():
     assert [(f.train_end, f.test_start, f.test_end) for f in folds] == [(10, 20, 40), (30, 40, 60), (50, 60, 80), (70, 80, 100)]
     with pytest.raises(ValueError):
         time_folds(100, 4, 20)
+
+
+def test_report_from_counts_equals_metrics_of_rows(spark):
+    rng = np.random.default_rng(4)
+    val, test = (scored(spark, rng.integers(0, 2, 300), np.round(rng.random(300), 1)) for _ in range(2))  # every score has many ties
+    row = M.threshold_report(val, test, 37, 2.0, "none").first()
+    assert row["fbeta_threshold"] == M.best_fbeta(val, 2.0).first()["threshold"] and row["top_k_threshold"] == M.top_k_threshold(val, 37).first()[0]
+    for name, df in (("validation", val), ("test", test)):
+        block = row[name]
+        assert block["ap"] == pytest.approx(M.average_precision(df).first()[0])
+        assert block["precision_at_k"] == pytest.approx(M.at_k(df, 37).first()["precision_at_k"])
+        assert block["ece_at_k"] == pytest.approx(M.ece_at_k(df, 37).first()[0])
+        assert [block[c] for c in ("brier", "brier_pos", "brier_neg")] == pytest.approx(list(M.brier(df).first()))
+        for part, t in (("fbeta_metrics", row["fbeta_threshold"]), ("topk_metrics", row["top_k_threshold"])):
+            assert list(block[part]) == pytest.approx(list(M.at_threshold(df, t).first()))
+
+
+def test_report_edges(spark):
+    some = spark.createDataFrame([(0, 1, 0.5), (1, 0, float("nan")), (2, 1, None)], "row_key long, target int, score double")
+    row = M.threshold_report(some, some.limit(0), 5, 2.0, "none").first()
+    assert row["validation"]["fbeta_metrics"]["support"] == 3 and row["validation"]["topk_metrics"]["predicted_positives"] == 1
+    assert row["validation"]["precision_at_k"] == 1.0 and row["validation"]["brier"] == 0.25
+    assert row["test"]["ap"] == 0.0 and row["test"]["precision_at_k"] == 0.0 and row["test"]["ece_at_k"] is None and row["test"]["fbeta_metrics"]["support"] == 0
+    none = M.threshold_report(some, some, 0, 2.0, "none").first()
+    assert none["top_k_threshold"] == 1.0 and none["test"]["precision_at_k"] == 0.0
