@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from leadspark.functions.features import sigmoid
 from leadspark.operators import metrics as M
-from leadspark.operators.sampling import balanced_bag
+from leadspark.operators.sampling import balanced_bags
 from leadspark.operators.splits import TimeFold, stratified_folds
 from leadspark.session import cut
 
@@ -303,8 +303,10 @@ def fit_bagging(
     df: DataFrame, fit: Fit, n_bags: int = N_BAGS, target: str = "target", key: str = "row_key", ratio: float = 1.0, seed: int = 42, parallelism: int = 1
 ) -> BaggedModel:
     """One model per balanced bag: all minority rows and as many random majority rows."""
+    bags = balanced_bags(df, n_bags, target, key, seed, ratio)
+
     def one(b: int):
-        return fit(balanced_bag(df, b, target, key, seed, ratio))
+        return fit(bags.rows(b))
 
     return BaggedModel(_in_threads([lambda b=b: one(b) for b in range(n_bags)], parallelism))
 

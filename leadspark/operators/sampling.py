@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadspark.functions.features import concat_key, grouped_value
+from leadspark.functions.hashing import SPACE, hash32
 from leadspark.operators.ranking import hash_quota
 from leadspark.session import cut
 
@@ -14,6 +18,8 @@ MAJOR_CANTONS = ("ZH", "BE", "VD", "GE", "AG", "SG", "TI", "VS", "LU", "ZG")
 MAJOR_LEGAL_FORMS = ("Einzelunternehmen", "GmbH", "Aktiengesellschaft", "Verein", "Genossenschaft")
 LARGE_SIZES = ("GROSS", "SEHR GROSS", "MITTEL")
 BIG_CANTONS = ("ZH", "BE", "VD", "GE", "AG")
+#: Standard deviations to each side of the expected place of a bag's end in which its rows are kept.
+WINDOW_SPREADS = 6.0
 
 
 def strata_columns(
@@ -141,6 +147,71 @@ def balanced_bag(
     return df.where(F.col(target) == small).unionByName(larger)
 
 
+@dataclass(frozen=True)
+class Bags:
+    """Balanced bags of a stored frame: all rows of the smaller class, and of the larger one those up to a place in each bag's hash order."""
+
+    df: DataFrame
+    target: str
+    key: str
+    seed: int
+    small: int | None = None
+    ends: tuple[tuple[int, int] | None, ...] = ()
+
+    def members(self, bag: int) -> Column:
+        """Whether a row is in the bag: a comparison of its own hash, so no join and no shuffle."""
+        if self.small is None:
+            return F.lit(True)
+        own, end = F.col(self.target) == self.small, self.ends[bag]
+        if end is None:
+            return own
+        h = hash32(F.col(self.key), self.seed + bag)
+        return own | (h < F.lit(end[0])) | ((h == F.lit(end[0])) & (F.col(self.key) <= F.lit(end[1])))
+
+    def rows(self, bag: int) -> DataFrame:
+        return self.df.where(self.members(bag))
+
+
+def balanced_bags(
+    df: DataFrame, n_bags: int, target: str = "target", key: str = "row_key", seed: int = 42, ratio: float = 1.0, spreads: float = WINDOW_SPREADS
+) -> Bags:
+    """The bags of ``balanced_bag`` with numbers 0 to ``n_bags`` - 1, drawn together in two passes over the rows.
+
+    The first pass counts the classes. Hashes are uniform, so the place at which a
+    bag's quota ends is known within some standard deviations; the second pass
+    counts, for all bags at once, the rows before that window and keeps the rows
+    inside it, about the square root of the class. A bag whose end lies outside
+    its window is drawn by ``hash_quota`` on its own. Keys are unique; rows that
+    repeat a key go together.
+    """
+    df = cut(df)
+    counts = {int(r[target]): r["count"] for r in df.groupBy(target).count().collect()}
+    if len(counts) < 2:
+        return Bags(df, target, key, seed, None, (None,) * n_bags)
+    small = min(counts, key=lambda c: (counts[c], c))
+    n = sum(c for v, c in counts.items() if v != small)
+    want = min(int(counts[small] / ratio), n)
+    if want <= 0:
+        return Bags(df, target, key, seed, small, (None,) * n_bags)
+    half = spreads * math.sqrt(want * (n - want) / n) + spreads
+    lo, hi = (int(min(max((want + d) / n, 0.0), 1.0) * SPACE) for d in (-half, half))
+    larger = df.where(F.col(target) != small)
+    drawn = F.array(*[F.struct(F.lit(b).alias("bag"), hash32(F.col(key), seed + b).alias("h")) for b in range(n_bags)])
+    seen = larger.select(F.col(key).alias("k"), F.explode(F.filter(drawn, lambda x: x["h"] < F.lit(hi))).alias("x"))
+    inside = F.col("x.h") >= F.lit(lo)  # rows before the window become one count a bag and task
+    window = cut(seen.groupBy(F.col("x.bag").alias("bag"), F.when(inside, F.col("x.h")).alias("h"), F.when(inside, F.col("k")).alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    before = {r["bag"]: r["n"] for r in window.where(F.col("h").isNull()).collect()}
+    order = Window.partitionBy("bag").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.element_at(F.create_map(*[F.lit(x).cast("long") for b in range(n_bags) for x in (b, before.get(b, 0))]), F.col("bag").cast("long"))
+    reached = window.where(F.col("h").isNotNull()).withColumn("upto", start + F.sum("n").over(order))
+    ends = {r["bag"]: (r["h"], r["k"]) for r in reached.where(F.col("upto") == want).select("bag", "h", "k").collect()}  # one row a bag
+    for b in range(n_bags):
+        if b not in ends:
+            last = hash_quota(larger, F.col(key), seed + b, [], want).agg(F.max(F.struct(hash32(F.col(key), seed + b), F.col(key)))).first()[0]
+            ends[b] = (last[0], last[1])
+    return Bags(df, target, key, seed, small, tuple(ends[b] for b in range(n_bags)))
+
+
 def parse_sampling_strategy(value):
     """A number, or one of the words auto, minority, majority; numbers may come as text."""
     if value is None or isinstance(value, (int, float)):
@@ -170,7 +241,7 @@ def smote(
     same rows. Synthetic keys are negative 62-bit hashes of base key and copy,
     whatever the size of the keys. ``vector`` is an array of doubles.
     """
-    from leadspark.functions.hashing import hash32, unit_hash
+    from leadspark.functions.hashing import unit_hash
     from leadspark.operators.lookalike import nearest
 
     counts = {int(r[target]): r["count"] for r in df.groupBy(target).count().collect()}

@@ -150,3 +150,26 @@ def test_date_folds_keep_the_months_between(spark):
     assert [(sorted(a), b) for a, b in parts] == [([0], [1]), ([0], [2]), ([0, 1, 2], [3])]
     with pytest.raises(ValueError):
         L.date_folds(dates[:1], 4, 2)
+
+
+def test_all_bags_at_once_equal_single_bags(spark, monkeypatch):
+    rows = spark.range(40000).select((F.col("id") * 1000000 + 199806 + F.col("id") % 5).alias("row_key"), (F.col("id") % 9 == 0).cast("int").alias("target"))
+    bags, ratio = 12, 0.5
+    want = [{r[0] for r in A.balanced_bag(rows, b, ratio=ratio).select("row_key").collect()} for b in (0, 7, 11)]
+    counted = []
+    quota = A.hash_quota
+    monkeypatch.setattr(A, "hash_quota", lambda *a, **kw: counted.append(1) or quota(*a, **kw))
+    drawn = A.balanced_bags(rows, bags, ratio=ratio)
+    assert [{r[0] for r in drawn.rows(b).select("row_key").collect()} for b in (0, 7, 11)] == want
+    assert {drawn.rows(b).where("target = 0").count() for b in range(bags)} == {2 * 4445}
+    assert not counted  # two passes were enough for every bag
+    narrow = A.balanced_bags(rows, 2, ratio=ratio, spreads=0.0)  # every end lies outside the window
+    assert {r[0] for r in narrow.rows(0).select("row_key").collect()} == want[0] and counted
+
+
+def test_bags_of_one_class_and_of_nothing(spark):
+    rows = spark.range(50).select(F.col("id").alias("row_key"), F.lit(0).alias("target"))
+    assert A.balanced_bags(rows, 3).rows(2).count() == 50
+    assert A.balanced_bags(rows.limit(0), 3).rows(0).count() == 0
+    few = rows.withColumn("target", (F.col("row_key") < 30).cast("int"))
+    assert A.balanced_bags(few, 2, ratio=0.01).rows(1).count() == 50  # no more rows than there are
