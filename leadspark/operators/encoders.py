@@ -8,9 +8,11 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -395,55 +397,94 @@ class PreprocessorState:
     power: bool = True
 
 
-class LeadPreprocessor(Estimator):
+def _roles_value(value) -> dict[str, list[str]]:
+    """Column roles as plain lists, which is how a parameter is saved."""
+    roles = asdict(value) if isinstance(value, RoleSchema) else dict(value)
+    return {k: list(v) for k, v in roles.items()}
+
+
+class PreprocessorParams(Params):
+    """Parameters of the preprocessor and of its model."""
+
+    roles = Param(Params._dummy(), "roles", "columns by role", typeConverter=_roles_value)
+    target = Param(Params._dummy(), "target", "label column", typeConverter=TypeConverters.toString)
+    key = Param(Params._dummy(), "key", "row key that deals rows to the cross-fitting folds", typeConverter=TypeConverters.toString)
+    power = Param(Params._dummy(), "power", "fit a power transform of the numeric columns", typeConverter=TypeConverters.toBoolean)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column", typeConverter=TypeConverters.toString)
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(roles=_roles_value(RoleSchema()), target="target", key="row_key", power=True, outputCol="features")
+
+    def getRoles(self) -> RoleSchema:
+        return RoleSchema(**{k: tuple(v) for k, v in self.getOrDefault(self.roles).items()})
+
+    def getTarget(self) -> str:
+        return self.getOrDefault(self.target)
+
+    def getKey(self) -> str:
+        return self.getOrDefault(self.key)
+
+    def getPower(self) -> bool:
+        return self.getOrDefault(self.power)
+
+    def getOutputCol(self) -> str:
+        return self.getOrDefault(self.outputCol)
+
+
+class LeadPreprocessor(Estimator, PreprocessorParams, DefaultParamsReadable, DefaultParamsWritable):
     """Company features, imputation, power transform, one-hot and target encoding into one vector.
 
     ``fit(...).transform(df)`` encodes with the full fit; ``fit_transform`` encodes
-    the training rows out of fold.
+    the training rows out of fold. Settings are parameters, so it can be a stage of
+    a ``Pipeline``, be saved with it, and be tuned by a cross-validator.
     """
 
-    def __init__(self, roles: RoleSchema | None = None, target: str = "target", key: str = "row_key", power: bool = True):
+    @keyword_only
+    def __init__(self, *, roles: RoleSchema | dict | None = None, target: str = "target", key: str = "row_key", power: bool = True, outputCol: str = "features"):
         super().__init__()
-        self.roles = roles or RoleSchema()
-        self.target = target
-        self.key = key
-        self.power = power
+        self._set(**self._input_kwargs)
+
+    @keyword_only
+    def setParams(self, *, roles: RoleSchema | dict | None = None, target: str = "target", key: str = "row_key", power: bool = True, outputCol: str = "features"):
+        return self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "LeadPreprocessorModel":
-        r = self.roles
+        r, target = self.getRoles(), self.getTarget()
         df = add_company_features(dataset)
         r.check(df)
-        df = cut(df.select(*r.features, self.target), spread=True)  # the passes below read this narrow frame, not the joins behind it
+        df = cut(df.select(*r.features, target), spread=True)  # the passes below read this narrow frame, not the joins behind it
         numbers = [*r.numeric, *r.ordinal]
         mids = medians(df, numbers)
         filled = impute(df, mids)
-        lambdas = fit_power(filled, list(r.numeric)) if self.power else {c: 1.0 for c in r.numeric}
+        lambdas = fit_power(filled, list(r.numeric)) if self.getPower() else {c: 1.0 for c in r.numeric}
         stats = moments(filled, {c: yeo_johnson(F.col(c), lam) for c, lam in lambdas.items()})
-        table, prior = fit_target_encoding(df, list(r.high_card), self.target)
+        table, prior = fit_target_encoding(df, list(r.high_card), target)
         specs, seen = fit_onehot(df, list(r.low_card))
         unlisted = [s.column for s in specs if s.rare is None]
         if unlisted:
             extra = seen.where(F.col("column").isin(*unlisted)).select("column", "value", F.lit(None).cast("double").alias("encoding"))
             table = table.unionByName(extra)
-        state = PreprocessorState(asdict(r), mids, lambdas, {c: list(v) for c, v in stats.items()}, [asdict(s) for s in specs], prior, self.power)
-        return LeadPreprocessorModel(state, cut(table))
+        state = PreprocessorState(asdict(r), mids, lambdas, {c: list(v) for c, v in stats.items()}, [asdict(s) for s in specs], prior, self.getPower())
+        model = LeadPreprocessorModel(state, cut(table))
+        model._resetUid(self.uid)
+        return self._copyValues(model)
 
     def fit_transform(self, dataset: DataFrame) -> tuple["LeadPreprocessorModel", DataFrame]:
         """The fitted model, and the training rows with cross-fitted target encodings."""
         fixed = cut(dataset, spread=True)
         model = self.fit(fixed)
-        encoded = cross_fitted_encoding(add_company_features(fixed), list(self.roles.high_card), self.target, self.key)
+        encoded = cross_fitted_encoding(add_company_features(fixed), list(self.getRoles().high_card), self.getTarget(), self.getKey())
         return model, model.assemble(encoded)
 
 
-class LeadPreprocessorModel(Model, MLWritable, MLReadable):
+class LeadPreprocessorModel(Model, PreprocessorParams, MLWritable, MLReadable):
     def __init__(self, state: PreprocessorState, table: DataFrame):
         super().__init__()
         self.state = state
         self.table = table
 
-    @property
-    def roles(self) -> RoleSchema:
+    def fitted_roles(self) -> RoleSchema:
         return RoleSchema(**{k: tuple(v) for k, v in self.state.roles.items()})
 
     @property
@@ -456,18 +497,18 @@ class LeadPreprocessorModel(Model, MLWritable, MLReadable):
     @property
     def feature_names(self) -> list[tuple[str, str]]:
         """(feature, source column) in vector order."""
-        r = self.roles
+        r = self.fitted_roles()
         names = [(c, c) for c in (*r.numeric, *r.ordinal)]
         names += [(n, s.column) for s in self.onehot for n in s.names]
         return names + [(c, c) for c in r.high_card]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         df = add_company_features(dataset)
-        return self.assemble(apply_target_encoding(df, list(self.roles.high_card), self.table, self.state.prior))
+        return self.assemble(apply_target_encoding(df, list(self.fitted_roles().high_card), self.table, self.state.prior))
 
     def assemble(self, encoded: DataFrame) -> DataFrame:
-        """Vector column ``features`` from a frame that already has the encoded category columns."""
-        r = self.roles
+        """Vector column ``outputCol`` from a frame that already has the encoded category columns."""
+        r = self.fitted_roles()
         numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(v))) for c, v in self.state.medians.items()}
         parts: list[Column] = []
         for c in r.numeric:
@@ -480,9 +521,9 @@ class LeadPreprocessorModel(Model, MLWritable, MLReadable):
         names = [f"_f{i}" for i in range(len(parts))]
         buckets = {f"_b_{s.column}": onehot_bucket(s) for s in self.onehot}
         wide = with_known_flags(encoded, self.onehot, self.table).withColumns(buckets).withColumns(dict(zip(names, parts)))
-        out = VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names, *[f"{c}_te" for c in r.high_card], *buckets, *[f"_seen_{s.column}" for s in self.onehot])
+        out = VectorAssembler(inputCols=names, outputCol=self.getOutputCol()).transform(wide).drop(*names, *[f"{c}_te" for c in r.high_card], *buckets, *[f"_seen_{s.column}" for s in self.onehot])
         attrs = {"numeric": [{"idx": i, "name": n} for i, (n, _) in enumerate(self.feature_names)]}
-        return out.withMetadata("features", {"ml_attr": {"attrs": attrs, "num_attrs": len(parts)}})
+        return out.withMetadata(self.getOutputCol(), {"ml_attr": {"attrs": attrs, "num_attrs": len(parts)}})
 
     def write(self) -> MLWriter:
         return _PreprocessorWriter(self)
@@ -499,6 +540,7 @@ class _PreprocessorWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         spark = SparkSession.active()
+        DefaultParamsWriter.saveMetadata(self.model, path, spark)
         state = spark.createDataFrame([(json.dumps(asdict(self.model.state)),)], "value string")
         state.coalesce(1).write.text(f"{path}/state")
         self.model.table.write.parquet(f"{path}/encodings")
@@ -508,7 +550,11 @@ class _PreprocessorReader(MLReader):
     def load(self, path: str) -> LeadPreprocessorModel:
         spark = SparkSession.active()
         state = PreprocessorState(**json.loads(spark.read.text(f"{path}/state").first()[0]))
-        return LeadPreprocessorModel(state, spark.read.parquet(f"{path}/encodings"))
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        model = LeadPreprocessorModel(state, spark.read.parquet(f"{path}/encodings"))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
 
 
 def validate_preprocessor(sample: DataFrame, target: str = "target", key: str = "row_key") -> dict:
