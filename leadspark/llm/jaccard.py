@@ -10,8 +10,9 @@ hash of their own. Only speed depends on the order, so it rests on counts that
 each task takes of its own slice, summed, and on a list of bounded length.
 
 Equal sets are one node. Links matter for connection only, so a group of m near
-copies need not be compared in m (m - 1) / 2 pairs: two rounds link each token's
-documents to one centre, then every pair that shares a token and is not
+copies need not be compared in m (m - 1) / 2 pairs: each node is first compared
+with the centre that most of its tokens name, then with all other centres that
+it is not connected with, then every pair that shares a token and is not
 connected yet is compared. No link between different components is lost.
 
 Tokens and nodes are 64-bit hashes; among m different sets about m^2 / 2^65
@@ -39,9 +40,8 @@ from leadspark.session import scratch_path
 SHINGLE = 5
 NUM, DEN = 3, 4  # similarity of at least 3/4
 ORDERS = 3
-STAR_ROUNDS = 2
-#: A group of up to so many documents with a token is compared in all pairs at once.
-SMALL_GROUP = 6
+#: Seeds of the two hashes that pick each token's centres.
+CENTRES = 1, 2
 #: Up to so many documents with a token, those without a possible partner are dropped.
 PROBED = 1_024
 #: A task reports tokens that so many documents of one of its slices have.
@@ -50,7 +50,7 @@ LOCAL_DF = 2
 MAX_FREQUENT = 1 << 18
 COUNT_TOKENS = 1_500_000
 ROWS_PER_TASK = 1_000_000
-BITMAP_BITS = 1 << 24
+BITMAP_BITS = 1 << 26
 
 _LUT = ts.not_space_lut(fold_case=True)
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 16, dtype=np.uint64)
@@ -227,7 +227,8 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a partition dealt by token: the rows that some other node's row may link with, each (token, node) once.
 
-    In groups of more than PROBED nodes all rows count as such.
+    In groups of more than PROBED nodes all rows count as such. Each row knows two centres of its token, the nodes of least
+    hash under two seeds, and whether it may link with them.
     """
     token, node, n, pos = _whole(batches, ["token", "node", "n", "pos"])
     order = np.lexsort((node, token))
@@ -252,93 +253,110 @@ def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = live[_may_link(n[live], pos[live], n[live + d], pos[live + d])]
         fits[hit] = fits[hit + d] = True
     cols = [c[fits] for c in cols]
+    names = ["token", "node", "n", "pos"]
+    for k in CENTRES:
+        at = _centres(cols[0], cols[1], k)
+        cols += [cols[1][at], _may_link(cols[2], cols[3], cols[2][at], cols[3][at])]
+        names += [f"centre{k}", f"near{k}"]
     for at in range(0, len(cols[0]), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[at : at + 100_000])) for c in cols], names=["token", "node", "n", "pos"])
-
-
-def _star_pairs(seed: int):
-    """Pairs of each token's documents with its centre, the one with the least hash; all pairs of small groups."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, node, n, pos, comp = _whole(batches, ["token", "node", "n", "pos", "comp"])
-        order = np.lexsort((ts.mix(node.view(np.uint64) ^ _SEEDS[seed]), token))
-        token, node, n, pos, comp = (x[order] for x in (token, node, n, pos, comp))
-        if not len(token):
-            return
-        head = np.ones(len(token), bool)
-        head[1:] = token[1:] != token[:-1]
-        first = np.maximum.accumulate(np.where(head, np.arange(len(token)), 0))
-        size = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1]
-        at = np.flatnonzero((first != np.arange(len(token))) & (comp != comp[first]))
-        left, right = [first[at]], [at]
-        for d in range(1, SMALL_GROUP):
-            i = np.flatnonzero((token[d:] == token[:-d]) & (size[d:] <= SMALL_GROUP) & (comp[d:] != comp[:-d]))
-            left.append(i)
-            right.append(i + d)
-        i, j = np.concatenate(left), np.concatenate(right)
-        ok = _may_link(n[i], pos[i], n[j], pos[j])
-        yield from _pairs(node[i[ok]], node[j[ok]])
-
-    return run
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[at : at + 100_000])) for c in cols], names=names)
+
+
+def _centres(token: np.ndarray, node: np.ndarray, seed: int) -> np.ndarray:
+    """For each row the place of its token's node of least hash; rows of a token stand together."""
+    if not len(token):
+        return np.empty(0, np.int64)
+    order = np.lexsort((ts.mix(node.view(np.uint64) ^ _SEEDS[seed]), token))
+    first = np.append(True, token[order][1:] != token[order][:-1])
+    out = np.empty(len(token), np.int64)
+    out[order] = order[np.flatnonzero(first)][np.cumsum(first) - 1]
+    return out
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a token's documents that are in different components and pass the filters."""
+    """All pairs of a token's documents that are in different components and pass the filters.
+
+    One of the two is outside the token's largest component, so only such rows look for partners, among the longer
+    sets (all of them) and the shorter ones (those of the largest component).
+    """
     token, node, n, pos, comp = _whole(batches, ["token", "node", "n", "pos", "comp"])
     order = np.lexsort((n, token))
     token, node, n, pos, comp = (x[order] for x in (token, node, n, pos, comp))
-    live = np.arange(len(token))
-    d, left, right, held = 1, [], [], 0
-    while len(live):
-        live = live[live + d < len(token)]
-        j = live + d
-        live = live[(token[live] == token[j]) & (DEN * n[live] >= NUM * n[j])]  # sorted by size: no later one fits either
-        j = live + d
-        hit = (comp[live] != comp[j]) & _may_link(n[live], pos[live], n[j], pos[j])
-        left.append(live[hit])
-        right.append(j[hit])
-        held += len(left[-1])
-        if held > 500_000:
-            yield from _pairs(node[np.concatenate(left)], node[np.concatenate(right)])
-            left, right, held = [], [], 0
-        d += 1
+    largest = _largest(token, comp)
+    outside = np.flatnonzero(~largest)
+    left, right, held = [], [], 0
+    for step in (1, -1):
+        live, d = outside, step
+        while True:
+            live = live[(live + d < len(token)) & (live + d >= 0)]
+            j = live + d
+            short, long = (live, j) if step > 0 else (j, live)
+            live = live[(token[live] == token[j]) & (DEN * n[short] >= NUM * n[long])]  # sorted by size: none further off fits
+            if not len(live):
+                break
+            j = live + d
+            hit = (comp[live] != comp[j]) & _may_link(n[live], pos[live], n[j], pos[j])
+            if step < 0:
+                hit &= largest[j]
+            left.append(live[hit])
+            right.append(j[hit])
+            held += len(left[-1])
+            if held > 500_000:
+                yield from _pairs(node[np.concatenate(left)], node[np.concatenate(right)])
+                left, right, held = [], [], 0
+            d += step
     if held:
         yield from _pairs(node[np.concatenate(left)], node[np.concatenate(right)])
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """A bit for each node's hash; its size is fixed, and a bit too many costs only time."""
-    spot = F.pmod(F.col("node"), F.lit(BITMAP_BITS))
-    words = nodes.select(F.floor(spot / 32).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 32).cast("int")).alias("bit"))
+def _largest(token: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Whether each row belongs to the component that has most rows of its token."""
+    if not len(token):
+        return np.empty(0, bool)
+    order = np.lexsort((comp, token))
+    t, c = token[order], comp[order]
+    new = np.append(True, (t[1:] != t[:-1]) | (c[1:] != c[:-1]))
+    size = np.diff(np.append(np.flatnonzero(new), len(t)))
+    owner = t[new]
+    by = np.lexsort((-size, owner))
+    best = np.zeros(len(size), bool)
+    best[by[np.append(True, owner[by][1:] != owner[by][:-1])]] = True
+    out = np.empty(len(token), bool)
+    out[order] = np.repeat(best, size)
+    return out
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """A bit for each key, a 64-bit hash; its size is fixed, and a bit too many costs only time."""
+    spot = F.pmod(F.col(keys.columns[0]), F.lit(BITMAP_BITS))
+    words = keys.select(F.floor(spot / 32).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 32).cast("int")).alias("bit"))
     rows = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
     out = np.zeros(BITMAP_BITS // 32, np.int64)
     out[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return out.astype(np.uint32)
 
 
-def _sets(texts: DataFrame, wanted, frequent) -> DataFrame:
-    """(node, n, lead, tokens) of the documents whose node may be among the wanted ones; ``lead`` has the further orders' prefixes."""
+def _sets(texts: DataFrame, wanted) -> DataFrame:
+    """(node, tokens) of the documents whose text may be among the wanted ones."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, order, known = wanted.value, frequent.value, set()
+        bits, known = wanted.value, set()
         for batch in batches:
-            for piece in ts.slices(batch.column("text")):
-                nodes, sets, lead = [], [], []
+            spot = batch.column("k1").to_numpy() % BITMAP_BITS
+            may = (bits[spot >> 5] >> (spot & 31).astype(np.uint32)) & 1
+            texts = batch.column("text").filter(pa.array(may.astype(bool)))
+            for piece in ts.slices(texts):
+                nodes, sets = [], []
                 for _, tokens in shingle_sets(piece):
                     node = node_of(tokens)
-                    if node is None or node in known:
-                        continue
-                    spot = node % BITMAP_BITS
-                    if (int(bits[spot >> 5]) >> (spot & 31)) & 1:
+                    if node is not None and node not in known:
                         known.add(node)
                         nodes.append(node)
                         sets.append(tokens.tobytes())
-                        lead.append(leads(tokens, order).tobytes())
                 if nodes:
-                    size = pa.array([len(s) // 8 for s in sets], pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), size, pa.array(lead, pa.binary()), pa.array(sets, pa.binary())], names=["node", "n", "lead", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    return texts.select("text").mapInArrow(scan, "node long, n int, lead binary, tokens binary")
+    return texts.select("k1", "text").mapInArrow(scan, "node long, tokens binary").dropDuplicates(["node"])
 
 
 def leads(tokens: np.ndarray, order: Frequent) -> np.ndarray:
@@ -374,25 +392,59 @@ def _tokens(cell: pa.Scalar) -> np.ndarray:
     return np.frombuffer(cell.as_buffer(), np.uint64)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar. Whole sets travel only for pairs that pass the prefix filters of all orders."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column("x"), batch.column("nx").to_pylist(), batch.column("y"), batch.column("ny").to_pylist())
-            yield batch.select(["a", "b"]).filter(pa.array([leads_meet(_tokens(x), nx, _tokens(y), ny) for x, nx, y, ny in rows], pa.bool_()))
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, frequent) -> DataFrame:
+    """The pairs whose sets are similar. Only sets of nodes in pairs are made, from their texts, and each is moved once to
+    its node's pairs; ``b`` should be the end that many pairs have in common."""
+    pairs = _stored(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    one_text = nodes.join(ends, "node", "left_semi").groupBy("node").agg(F.min("k1").alias("k1")).select("k1")
+    sets = _sets(texts, pairs.sparkSession.sparkContext.broadcast(_bitmap(one_text)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, last, y, lead_y = frequent.value, None, None, None
         for batch in batches:
-            yield batch.select(["a", "b"]).filter(pa.array([alike(_tokens(x), _tokens(y)) for x, y in zip(batch.column("x"), batch.column("y"))], pa.bool_()))
-
-    def with_both(rows: DataFrame, cols: dict[str, str]) -> DataFrame:
-        for end, mark in (("a", "x"), ("b", "y")):
-            rows = rows.join(sets.select(F.col("node").alias(end), *(F.col(c).alias(name + mark) for c, name in cols.items())), end)
-        return rows
-
-    near = with_both(pairs, {"n": "n", "lead": ""}).select("a", "b", "x", "nx", "y", "ny").mapInArrow(meet, "a long, b long")
-    return with_both(near, {"tokens": ""}).select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+            keep = []
+            for x, b, cell in zip(batch.column("x"), batch.column("b").to_pylist(), batch.column("y")):
+                if b != last:
+                    last, y = b, _tokens(cell).copy()
+                    lead_y = leads(y, order)
+                x = _tokens(x)
+                keep.append(leads_meet(leads(x, order), len(x), lead_y, len(y)) and alike(x, y))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    for end, mark in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("tokens").alias(mark)), end)
+    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component."""
+    own = pairs
+    for end in "ab":
+        own = own.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    return own.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
+
+
+def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, parts: int) -> DataFrame:
+    """Components (node, component) of all links: most votes first, then all centres, then all pairs still apart."""
+    first, second = CENTRES
+    ends = [shared.select(F.col("node").alias("a"), F.col(f"centre{k}").alias("b"), F.col(f"near{k}").cast("int").alias("votes"), F.lit(k == first).alias("own")) for k in (first, second)]
+    stars = _stored(ends[0].unionByName(ends[1]).filter("a <> b").groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("own").alias("own")), "stars")
+    best = stars.filter("votes > 0").groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
+    edges = _stored(_verified(best, texts, nodes, frequent), "links")
+    comps = components(edges)
+
+    rest = _apart(stars.filter("votes > 0"), comps).select("a", "b")
+    edges = edges.unionByName(_stored(_verified(rest, texts, nodes, frequent), "links"))
+    comps = components(edges)
+
+    # A token all of whose nodes are in its first centre's component has no pair left.
+    split = _apart(stars.filter("own"), comps).select(F.col("a").alias("node"), F.col("b").alias(f"centre{first}"))
+    open_tokens = shared.join(split, ["node", f"centre{first}"], "left_semi").select("token").distinct()
+    rows = shared.select("token", "node", "n", "pos").join(open_tokens, "token", "left_semi").join(comps, "node", "left")
+    rows = rows.select("token", "node", "n", "pos", F.coalesce("component", "node").alias("comp"))
+    cross = rows.repartition(parts, "token").mapInArrow(_cross_pairs, "a long, b long").distinct()
+    return components(edges.unionByName(_stored(_verified(cross, texts, nodes, frequent), "links")))
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -408,21 +460,9 @@ def _groups(docs: DataFrame) -> DataFrame:
     n = F.col("n_shingles")
     rows = nodes.filter(n > 0).agg(F.coalesce(F.sum(n - F.ceil(n * NUM / DEN) + 1), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // ROWS_PER_TASK))
-    shared = _stored(_prefixes(texts, frequent).repartition(parts, "token").mapInArrow(_group_rows, "token long, node long, n int, pos int"), "shared")
-    wanted = sc.broadcast(_bitmap(shared.select("node")))
-    sets = _stored(_sets(texts, wanted, frequent).join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
-
-    edges, comps = None, None
-    for step in range(STAR_ROUNDS + 1):
-        if comps is None:
-            labelled = shared.withColumn("comp", F.col("node"))
-        else:
-            labelled = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        propose = _star_pairs(step + 1) if step < STAR_ROUNDS else _cross_pairs
-        pairs = labelled.repartition(parts, "token").mapInArrow(propose, "a long, b long").distinct()
-        found = _stored(_verified(pairs, sets), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        comps = components(edges)
+    made = "token long, node long, n int, pos int, " + ", ".join(f"centre{k} long, near{k} boolean" for k in CENTRES)
+    shared = _stored(_prefixes(texts, frequent).repartition(parts, "token").mapInArrow(_group_rows, made), "shared")
+    comps = _links(texts, nodes, shared, frequent, parts)
 
     classes = nodes.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = classes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -118,3 +118,46 @@ def test_awkward_tables(spark):
     assert jaccard.group(df.limit(0)).count() == 0
     assert jaccard.keep_one(df.limit(0)).count() == 0
     assert sorted((r["doc_id"] for r in jaccard.keep_one(df).collect()), key=repr) == [0, 2, 3, 4, 7, None]  # 5 and 6 resemble 0
+
+
+def cross(token, node, n, pos, comp):
+    import pyarrow as pa
+
+    cols = [np.array(c, np.int64) for c in (token, node, n, pos, comp)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "node", "n", "pos", "comp"])
+    out = [p for b in jaccard._cross_pairs(iter([batch])) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+    return out
+
+
+def test_pairs_across_components_are_those_of_all_pairs():
+    rng = np.random.default_rng(5)
+    for comps in (1, 2, 3, 40):
+        m = 300
+        token, node = rng.integers(0, 6, m), np.arange(m)
+        n, pos, comp = rng.integers(8, 30, m), rng.integers(0, 6, m), rng.integers(0, comps, m)
+        want = set()
+        for i in range(m):
+            for j in range(i):
+                if token[i] == token[j] and comp[i] != comp[j] and jaccard._may_link(n[i], pos[i], n[j], pos[j]):
+                    want.add((j, i))
+        got = cross(token, node, n, pos, comp)
+        assert set(got) == want
+        assert len(got) == len(want)
+
+
+def test_a_hot_token_of_one_component_makes_no_pairs():
+    m = 100_000
+    one = np.zeros(m)
+    assert cross(one, np.arange(m), one + 20, one, one) == []
+    comp = one.copy()
+    comp[7] = 1
+    assert len(cross(one, np.arange(m), one + 20, one, comp)) == m - 1
+
+
+def test_centres_are_rows_of_the_same_token():
+    rng = np.random.default_rng(6)
+    token, node = np.sort(rng.integers(0, 50, 1_000)), rng.integers(0, 1 << 60, 1_000)
+    at = jaccard._centres(token, node, 1)
+    assert (token[at] == token).all()
+    assert len(np.unique(at)) == len(np.unique(token))
+    assert len(jaccard._centres(token[:0], node[:0], 1)) == 0
