@@ -426,7 +426,7 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, parts: int) -> DataFrame:
-    """Components (node, component) of all links: most votes first, then all centres, then all pairs still apart."""
+    """Components (node, component) of all links: most votes first, then all centres, then all pairs still apart. No pair is compared twice."""
     first, second = CENTRES
     ends = [shared.select(F.col("node").alias("a"), F.col(f"centre{k}").alias("b"), F.col(f"near{k}").cast("int").alias("votes"), F.lit(k == first).alias("own")) for k in (first, second)]
     stars = _stored(ends[0].unionByName(ends[1]).filter("a <> b").groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("own").alias("own")), "stars")
@@ -434,7 +434,7 @@ def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, part
     edges = _stored(_verified(best, texts, nodes, frequent), "links")
     comps = components(edges)
 
-    rest = _apart(stars.filter("votes > 0"), comps).select("a", "b")
+    rest = _apart(stars.filter("votes > 0"), comps).select("a", "b").join(best, ["a", "b"], "left_anti")
     edges = edges.unionByName(_stored(_verified(rest, texts, nodes, frequent), "links"))
     comps = components(edges)
 
@@ -443,7 +443,8 @@ def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, part
     open_tokens = shared.join(split, ["node", f"centre{first}"], "left_semi").select("token").distinct()
     rows = shared.select("token", "node", "n", "pos").join(open_tokens, "token", "left_semi").join(comps, "node", "left")
     rows = rows.select("token", "node", "n", "pos", F.coalesce("component", "node").alias("comp"))
-    cross = rows.repartition(parts, "token").mapInArrow(_cross_pairs, "a long, b long").distinct()
+    compared = stars.filter("votes > 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    cross = rows.repartition(parts, "token").mapInArrow(_cross_pairs, "a long, b long").distinct().join(compared, ["a", "b"], "left_anti")
     return components(edges.unionByName(_stored(_verified(cross, texts, nodes, frequent), "links")))
 
 
