@@ -206,19 +206,21 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n_chars:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [b.value for b in shared]
-        for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = cleaned(old, blocks)
-            moved = [a != b for a, b in zip(old, new)]
-            if not any(moved):
-                yield batch
-                continue
-            cols = list(batch.columns)
-            cols[at] = pa.array(new, batch.schema.field(at).type)
-            if count is not None:
-                was = cols[count].to_pylist()
-                cols[count] = pa.array([len(t) if m else c for t, m, c in zip(new, moved, was)], batch.schema.field(count).type)
-            left = [not m or bool(len(ts.words(next(ts.slices(pa.array([t], pa.string()))), _LUT).hash)) for t, m in zip(new, moved)]
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(left))
+        for whole in batches:
+            for piece in ts.slices(whole.column(at)):
+                batch = whole.slice(piece.lo, piece.hi - piece.lo)
+                old = batch.column(at).to_pylist()
+                new = cleaned(old, blocks)
+                moved = [a != b for a, b in zip(old, new)]
+                if not any(moved):
+                    yield batch
+                    continue
+                cols = list(batch.columns)
+                cols[at] = pa.array(new, batch.schema.field(at).type)
+                if count is not None:
+                    was = cols[count].to_pylist()
+                    cols[count] = pa.array([len(t) if m else c for t, m, c in zip(new, moved, was)], batch.schema.field(count).type)
+                left = [not m or bool(len(ts.words(next(ts.slices(pa.array([t], pa.string()))), _LUT).hash)) for t, m in zip(new, moved)]
+                yield pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(left))
 
     return docs.mapInArrow(cut, docs.schema)

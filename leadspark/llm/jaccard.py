@@ -482,14 +482,13 @@ def group(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each component the row with its least doc_id, with all columns."""
-    found = _stored(_groups(docs), "groups")
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = found.filter(~stays).select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1")).distinct()
-    key = F.xxhash64(F.col("text").cast("string"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_k1"))
-    out = docs.join(gone, same, "left_anti")
-    twice = found.filter(stays & F.col("doc_id").isNotNull()).groupBy("doc_id", "k1").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"))
-    if twice.isEmpty():
-        return out
-    again = out.join(twice, same, "left_semi").withColumn("_k1", key).dropDuplicates(["doc_id", "_k1"]).drop("_k1")
-    return out.join(twice, same, "left_anti").unionByName(again)
+    found = _stored(_groups(docs), "groups").select(F.col("doc_id").alias("own"), F.col("k1").alias("key"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    # the columns of docs travel in one, so that none of their names can clash
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("k1"))
+    same = F.col("id").eqNullSafe(F.col("own")) & (F.col("k1") == F.col("key"))
+    out = rows.join(found.filter("NOT stays").select("own", "key").distinct(), same, "left_anti")
+    twice = found.filter("stays AND own IS NOT NULL").groupBy("own", "key").count().filter("count > 1").select("own", "key")
+    if not twice.isEmpty():
+        again = out.join(twice, same, "left_semi").dropDuplicates(["id", "k1"])
+        out = out.join(twice, same, "left_anti").unionByName(again)
+    return out.select("doc.*")

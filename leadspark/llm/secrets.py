@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadspark.llm import textscan as ts
 from leadspark.session import scratch_path
 
 #: Fixed patterns of the base scanners.
@@ -292,8 +293,8 @@ def _find(texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for piece in ts.slices(batch.column("text")):
+            part = batch.slice(piece.lo, piece.hi - piece.lo)
             base, more = _find(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), base, more], names=["doc_id", "base", "more"])
 
@@ -369,16 +370,18 @@ def redact(docs: DataFrame, sample: int = SAMPLE, least_gain: float = LEAST_GAIN
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old = batch.column(at).to_pylist()
-            base, more = (c.to_pylist() for c in _find(old))
-            more = _chosen(automata.value, more, least_gain)
-            new = [redacted(t, [(x["start"], x["end"]) for x in [*b, *m]]) if b or m else t for t, b, m in zip(old, base, more)]
-            cols = list(batch.columns)
-            cols[at] = pa.array(new, batch.schema.field(at).type)
-            if count is not None:
-                was = cols[count].to_pylist()
-                cols[count] = pa.array([c if t is s else len(s) for t, s, c in zip(old, new, was)], batch.schema.field(count).type)
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+            for piece in ts.slices(batch.column(at)):
+                part = batch.slice(piece.lo, piece.hi - piece.lo)
+                old = part.column(at).to_pylist()
+                base, more = (c.to_pylist() for c in _find(old))
+                more = _chosen(automata.value, more, least_gain)
+                new = [redacted(t, [(x["start"], x["end"]) for x in [*b, *m]]) if b or m else t for t, b, m in zip(old, base, more)]
+                cols = list(part.columns)
+                cols[at] = pa.array(new, part.schema.field(at).type)
+                if count is not None:
+                    was = cols[count].to_pylist()
+                    cols[count] = pa.array([c if t is s else len(s) for t, s, c in zip(old, new, was)], part.schema.field(count).type)
+                yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
     return docs.mapInArrow(cut, docs.schema)
 

@@ -31,5 +31,5 @@ def cluttered(df):
     """Further columns whose names clash with those that operators use inside."""
     from pyspark.sql import functions as F
 
-    names = "row host k1 k2 lines size chunk shard slot page_id url html line words score kept tokens piece start length label grams component block spans item".split()
+    names = "row host k1 k2 lines size chunk shard slot page_id url html line words score kept tokens piece start length label grams component block spans item _id _k1 id own key doc stays same template".split()
     return df.select("*", *(F.lit(f"x{i}").alias(c) for i, c in enumerate(names) if c not in df.columns))
