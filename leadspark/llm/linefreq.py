@@ -9,7 +9,11 @@ by the base rules on its own text.
 Copies must not make their own lines common: equal texts of a host are one
 document, and for each line the documents are told apart by their anchor, the
 least hash among their other lines. A thousand near copies share most anchors;
-a thousand pages with one footer do not.
+a thousand pages with one footer do not. Lines on more than half of a host's
+distinct texts are its template and are no anchors while a document has other
+lines, so pages of many template lines and one line of their own count one by
+one. Documents that differ only in digits have no lines of their own; they
+count as copies.
 
 Edge cases: a null or empty text has no words and fails the base rules; a null
 host is a host of its own; repeated rows all get the verdict of their text; an
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadspark.llm import textscan as ts
@@ -47,7 +51,7 @@ _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCANNED = pa.schema(
-    [("row", pa.int64()), *((c, pa.int64()) for c in _BASE), ("lines", pa.list_(pa.struct([("line", pa.int64()), ("anchor", pa.int64()), ("words", pa.int64())])))]
+    [("row", pa.int64()), *((c, pa.int64()) for c in _BASE), ("lines", pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))]
 )
 
 
@@ -108,23 +112,22 @@ def without(text: str, lines: set[int]) -> str:
     return b"\n".join(x for x, (k, n) in keys if not n or sign(k) not in lines).decode()
 
 
-def line_entries(text: bytes) -> list[tuple[int, int, int]]:
-    """Each distinct normalised line of a text: its hash, the least hash among the other lines, its words over all repeats."""
+def line_entries(text: bytes) -> list[tuple[int, int]]:
+    """Each distinct normalised line of a text: its hash and its words over all repeats, least hashes first."""
     found: dict[int, int] = {}
     for line in text.split(b"\n"):
         key, n = line_key(line)
         if n:
             found[key] = found.get(key, 0) + n
-    low = sorted(found)[:2]
-    return [(k, low[0] if k != low[0] else low[1] if len(low) > 1 else k, v) for k, v in found.items()]
+    return sorted(found.items())
 
 
-def _list_column(lines: list[list[tuple[int, int, int]]]) -> pa.Array:
+def _list_column(lines: list[list[tuple[int, int]]]) -> pa.Array:
     flat = [x for own in lines for x in own]
-    key, anchor, n = (np.array(c, np.uint64) for c in zip(*flat)) if flat else (np.empty(0, np.uint64),) * 3
+    key, n = (np.array(c, np.uint64) for c in zip(*flat)) if flat else (np.empty(0, np.uint64),) * 2
     off = np.concatenate([[0], np.cumsum([len(own) for own in lines])]).astype(np.int32)
     kind = _SCANNED.field("lines").type.value_type
-    return pa.ListArray.from_arrays(off, pa.StructArray.from_arrays([pa.array(c.view(np.int64)) for c in (key, anchor, n)], fields=list(kind)))
+    return pa.ListArray.from_arrays(off, pa.StructArray.from_arrays([pa.array(c.view(np.int64)) for c in (key, n)], fields=list(kind)))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,20 +149,34 @@ def _keyed(docs: DataFrame, host: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("host"), F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"), F.col("text").cast("string").alias("text"))
 
 
+def _other(least: str) -> Column:
+    """The first of up to two lines that is not ``line`` itself; null if there is none."""
+    first, second = F.get(least, F.lit(0)), F.get(least, F.lit(1))
+    return F.when(first != F.col("line"), first).otherwise(second)
+
+
 def _judged(docs: DataFrame, host: str = "source", common_docs: int = COMMON_DOCS, common_per_mille: int = COMMON_PER_MILLE, keep_pct: int = KEEP_PCT) -> tuple[DataFrame, DataFrame]:
     """Verdicts by row number, and each row's common lines."""
     spark = docs.sparkSession
     keyed = _keyed(docs, host)
     kinds = {f.name: f.dataType.simpleString() for f in keyed.schema}
-    shape = f"doc_id {kinds['doc_id']}, host string, k1 bigint, k2 int, row bigint, {', '.join(f'{c} bigint' for c in _BASE)}, lines array<struct<line:bigint,anchor:bigint,words:bigint>>"
+    shape = f"doc_id {kinds['doc_id']}, host string, k1 bigint, k2 int, row bigint, {', '.join(f'{c} bigint' for c in _BASE)}, lines array<struct<line:bigint,words:bigint>>"
     path = scratch_path(spark, "lines")
     keyed.mapInArrow(_scan, shape).write.parquet(path)
     rows = spark.read.parquet(path)
     lines = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
 
-    sizes = rows.groupBy("host", "k1", "k2").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("host_docs"))
+    firsts = rows.groupBy("host", "k1", "k2").agg(F.min("row").alias("row"))
+    sizes = firsts.groupBy("host").agg(F.count("*").alias("host_docs"))
+    texts = rows.select("row", "host", F.col("lines.line").alias("keys")).join(firsts.select("row"), "row", "left_semi")
+    on = texts.select("host", F.explode("keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > common_docs)
+    templates = on.join(sizes, "host").filter(2 * F.col("n") > F.col("host_docs")).groupBy("host").agg(F.collect_list("line").alias("template"))
+    # keys are in the order of the scan, which sorts them as unsigned numbers
+    told = texts.join(templates, "host", "left").withColumn("own", F.array_except("keys", F.coalesce("template", F.array().cast("array<bigint>"))))
     seen = (
-        lines.groupBy("host", "line", "anchor")
+        told.select("host", F.slice("own", 1, 2).alias("own"), F.slice("keys", 1, 2).alias("low"), F.explode("keys").alias("line"))
+        .select("host", "line", F.coalesce(_other("own"), _other("low"), F.col("line")).alias("anchor"))
+        .groupBy("host", "line", "anchor")
         .agg(F.lit(1).alias("one"))
         .groupBy("host", "line")
         .agg(F.count("*").alias("line_docs"))
@@ -212,15 +229,18 @@ def clean(docs: DataFrame, host: str = "source", n_chars: str | None = "n_chars"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc = batch.column("doc")
-            cols, names = doc.flatten(), [f.name for f in doc.type]
-            lines = batch.column("cut").to_pylist()
-            if any(lines):
-                old = cols[at].to_pylist()
-                new = [without(t, set(own)) if own else t for t, own in zip(old, lines)]
-                cols[at] = pa.array(new, cols[at].type)
-                if count is not None:
-                    cols[count] = pa.array([len(t) if own else c for t, own, c in zip(new, lines, cols[count].to_pylist())], cols[count].type)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            texts = batch.column("doc").flatten()[at]
+            for piece in ts.slices(texts):
+                part = batch.slice(piece.lo, piece.hi - piece.lo)
+                doc = part.column("doc")
+                cols, names = doc.flatten(), [f.name for f in doc.type]
+                lines = part.column("cut").to_pylist()
+                if any(lines):
+                    old = cols[at].to_pylist()
+                    new = [without(t, set(own)) if own else t for t, own in zip(old, lines)]
+                    cols[at] = pa.array(new, cols[at].type)
+                    if count is not None:
+                        cols[count] = pa.array([len(t) if own else c for t, own, c in zip(new, lines, cols[count].to_pylist())], cols[count].type)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return rows.mapInArrow(cut, docs.schema)

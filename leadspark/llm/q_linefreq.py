@@ -24,11 +24,15 @@ lines AS (
   SELECT row, host, t, array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[^\x20\x09-\x0D]+'), ' ') AS l
   FROM raw JOIN d USING (row) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 own AS (SELECT row, host, t, l, md5(l) AS h, sum(len(string_split(l, ' '))) AS words FROM lines GROUP BY row, host, t, l),
-low AS (SELECT row, list(h ORDER BY h)[1:2] AS hs FROM own GROUP BY row),
-anchored AS (SELECT own.*, CASE WHEN h <> hs[1] THEN hs[1] WHEN len(hs) > 1 THEN hs[2] ELSE h END AS anchor FROM own JOIN low USING (row)),
+sizes AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+template AS (SELECT host, l FROM (SELECT host, l, count(DISTINCT t) AS c FROM own GROUP BY host, l) JOIN sizes USING (host) WHERE c > 20 AND 2 * c > docs),
+told AS (SELECT own.*, template.l IS NOT NULL AS of_template FROM own LEFT JOIN template USING (host, l)),
+low AS (SELECT row, list(h ORDER BY h)[1:2] AS hs, (list(h ORDER BY h) FILTER (WHERE NOT of_template))[1:2] AS os FROM told GROUP BY row),
+anchored AS (
+  SELECT told.*, coalesce(CASE WHEN h <> os[1] THEN os[1] ELSE os[2] END, CASE WHEN h <> hs[1] THEN hs[1] ELSE hs[2] END, h) AS anchor
+  FROM told JOIN low USING (row)),
 common AS (
-  SELECT host, l FROM (SELECT host, l, count(DISTINCT anchor) AS c FROM anchored GROUP BY host, l)
-  JOIN (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host) USING (host)
+  SELECT host, l FROM (SELECT host, l, count(DISTINCT anchor) AS c FROM anchored GROUP BY host, l) JOIN sizes USING (host)
   WHERE c > 20 AND c * 1000 > docs * 5),
 lost AS (SELECT row, sum(words) AS n FROM own JOIN common USING (host, l) GROUP BY row)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,

@@ -82,10 +82,29 @@ def test_copies_and_near_copies_do_not_make_their_lines_common(spark):
     lines = [prose(5000 + k) for k in range(10)]
     near = ["\n".join([*lines, prose(i)]) for i in range(80)]
     exact = ["\n".join(prose(9000 + k) for k in range(5))] * 80
-    got = linefreq.judge(docs(spark, near + exact, ["h"] * 160)).collect()
+    others = [prose(20_000 + i, 30) for i in range(100)]  # copies are less than half of the host's texts
+    got = linefreq.judge(docs(spark, near + exact + others, ["h"] * 260)).collect()
     assert all(r["kept"] and r["n_common_words"] < 12 for r in got)
 
 
+def test_template_lines_with_one_own_line_count_page_by_page(spark):
+    """Whatever the hashes: on some hosts a template line would be the least of all."""
+    for b in (2, 10, 100):
+        texts, hosts = [], []
+        for h in range(8):
+            template = [prose(100_000 * (h + 1) + 1000 * b + k, 4) for k in range(b)]
+            texts += ["\n".join([*template, prose(10_000 * (h + 1) + i, 13)]) for i in range(60)]
+            hosts += [f"h{h}"] * 60
+        got = linefreq.judge(docs(spark, texts, hosts)).collect()
+        assert all(r["n_common_words"] == 4 * b for r in got), b
+        assert all(r["kept"] == (13 * 100 >= (13 + 4 * b) * 20) for r in got)
+
+
+def test_pages_that_differ_in_digits_alone_count_as_copies(spark):
+    texts = [prose(3, 14) + f"\nitem {i}" for i in range(90)] + [prose(200 + i, 14) for i in range(10)]
+    assert all(r["kept"] and not r["n_common_words"] for r in linefreq.judge(docs(spark, texts, ["h"] * 100)).collect())
+
+
 def test_limits_hold_per_host(spark):
     footer = prose(777)
     texts = [prose(i) + "\n" + footer for i in range(60)]
