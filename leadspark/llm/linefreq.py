@@ -39,6 +39,8 @@ MAX_REPEAT_PCT = 20
 #: A line is common in a host if more documents have it than both the number and the share of the host's documents.
 COMMON_DOCS = 20
 COMMON_PER_MILLE = 5
+#: A host's texts meet its template lines in so many parts.
+SALTS = 32
 #: Percent of its words a document must keep once common lines are gone.
 KEEP_PCT = 20
 
@@ -172,7 +174,8 @@ def _judged(docs: DataFrame, host: str = "source", common_docs: int = COMMON_DOC
     on = texts.select("host", F.explode("keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > common_docs)
     templates = on.join(sizes, "host").filter(2 * F.col("n") > F.col("host_docs")).groupBy("host").agg(F.collect_list("line").alias("template"))
     # keys are in the order of the scan, which sorts them as unsigned numbers
-    told = texts.join(templates, "host", "left").withColumn("own", F.array_except("keys", F.coalesce("template", F.array().cast("array<bigint>"))))
+    salted = templates.withColumn("salt", F.explode(F.array(*(F.lit(i).cast("long") for i in range(SALTS)))))
+    told = texts.withColumn("salt", F.pmod("row", F.lit(SALTS))).join(salted, ["host", "salt"], "left").withColumn("own", F.array_except("keys", F.coalesce("template", F.array().cast("array<bigint>"))))
     seen = (
         told.select("host", F.slice("own", 1, 2).alias("own"), F.slice("keys", 1, 2).alias("low"), F.explode("keys").alias("line"))
         .select("host", "line", F.coalesce(_other("own"), _other("low"), F.col("line")).alias("anchor"))
