@@ -7,7 +7,9 @@ empty lines. Text lengths are summed over sliding windows of lines. Text begins
 where the sums surge and ends where they dive to nothing; of several such
 stretches the one with the most text is kept. Stretches that only removed parts
 or link lists separate are one if the text on both sides belongs to the same
-container. Where a page marks its article, lines outside count as empty, and
+container. A form, or a box of a removed kind other than reader comments, that
+holds most of the text of a page without a marked article is the page's own
+container and stays. Where a page marks its article, lines outside count as empty, and
 surge and dive are the article's bounds.
 
 Edge cases: a null or empty page has an empty text; unclosed and unknown
@@ -35,13 +37,16 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select button audio video canvas title".split())
+RAW = frozenset("script style noscript template iframe object svg textarea select button audio video canvas title".split())
 ASIDE = frozenset("nav header footer aside form menu dialog".split())
+#: Elements for an article, whose class names tell its layout.
+OWN = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 #: First or last part of a class or id that marks what is not the article.
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies dialog disqus footer gdpr header login menu modal nav navbar navigation newsletter notice popup promo promoted related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe widget".split()
 )
+READERS = frozenset("comment comments disqus replies reply respond".split())
 PLAIN = frozenset("with has no without content main page".split())
 ARTICLE = frozenset("article main".split())
 #: Blocks of running text, and blocks that can stand for parts of one text.
@@ -52,6 +57,14 @@ _NEVER = frozenset("html body".split())
 _AUTO = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*+)>|<!--|<[!?/][^>]*+>?""")
+#: Tags that end at the next bracket, whatever their quotes, in groups as above.
+_UNQUOTED = re.compile(r"""(?!)()()()|<(/?)([A-Za-z][^\s/>]*)([^>]*+)>|<!--|<[!?/][^>]*+>?""")
+#: Behind the last bracket of a page no tag ends.
+_TAIL = re.compile(r"(?!)()()()()()()|<!--|<[!?/][^>]*+")
+#: Broken quotes may be sought to the end of the page in vain for so many times its length.
+PATIENCE = 8
+#: Most containers that are found to be the page's own, one in another.
+NESTED = 8
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
@@ -74,38 +87,47 @@ class Line:
     block: Block | None = None
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
+def _unwanted(name: str, attributes: str, in_article: bool) -> str | None:
+    """Why an element is not of the article: the tag, role or mark that says so."""
     if name in _NEVER:
-        return False
+        return None
     if name in ASIDE and not (name == "header" and in_article):
-        return True
+        return name
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return None
     for key, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
         key = key.lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id"):
+        if key == "hidden" or key == "aria-hidden" and value == "true":
+            return "hidden"
+        if key == "role" and value in ROLES:
+            return "role"
+        if key in ("class", "id") and name not in OWN:
             for token in value.split():
                 parts = re.split(r"[-_]+", token)
                 if parts[0] in MARKS or parts[-1] in MARKS and parts[0] not in PLAIN:
-                    return True
-    return False
+                    return "reader" if {parts[0], parts[-1]} & READERS else "mark"
+    return None
 
 
 def _is_article(name: str, attributes: str) -> bool:
     return name in ARTICLE or "articlebody" in attributes.lower() or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
 
 
-def lines_of(page: str) -> tuple[list[Line], bool]:
-    """The page's lines, and whether it marks an article."""
+def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[Line], bool, dict[int, int]]:
+    """The page's lines, whether it marks an article, and the characters of text without links in each container that could be
+    the page's own, by the place of its tag; containers in ``spared`` stay."""
     out: list[Line] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, unwanted, article
     block = Block("body", "", None, 0)
     unwanted = articles = links = linked = 0
     heading = marked = False
+    opened: dict[str, int] = {}
+    unclosed: set[str] = set()
+    held: dict[int, int] = {}
+    inside = -1  # the outermost removed container, if it may be the page's own
+    last, wasted = page.rfind(">") + 1, 0
 
     def end_line(gap: bool = False) -> None:
         nonlocal parts, linked
@@ -121,6 +143,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         nonlocal unwanted, articles, links, heading, block
         while len(stack) > to:
             name, bad, art = stack.pop()
+            opened[name] -= 1
             if name in BLOCKS:
                 end_line(gap=bad)
                 if name not in _NEVER:
@@ -136,16 +159,20 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
 
     at, n = 0, len(page)
     while at < n:
-        m = _TAG.search(page, at)
+        m = (_TAG if wasted <= PATIENCE * n else _UNQUOTED).search(page, at, last) or _TAIL.search(page, max(at, last))
+        text = page[at : m.start() if m else n]
         if not unwanted:
-            text = page[at : m.start() if m else n]
             if text:
                 parts.append(text)
                 if links:
                     linked += len(text)
+        elif inside >= 0 and not links:
+            held[inside] += len(text.strip())
         if not m:
             break
         at = m.end()
+        if m[5] and wasted <= PATIENCE * n:
+            wasted += n - m.start()
         if m[0] == "<!--":
             close = page.find("-->", at)
             at = n if close < 0 else close + 3
@@ -155,14 +182,15 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             continue
         name = name.lower()
         if closing:
-            spot = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if spot is not None:
-                pop(spot)
+            if opened.get(name):
+                pop(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             elif name in BLOCKS:
                 end_line()
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            close = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if not close:
+                unclosed.add(name)
             at = close.end() if close else (n if name in ("script", "style", "textarea", "title") else at)
             continue
         if name == "br":
@@ -183,7 +211,11 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             heading = heading or name[0] == "h" and name[1:].isdigit()
         if attributes.rstrip().endswith("/") and name not in BLOCKS:
             continue
-        bad = _unwanted(name, attributes, articles > 0)
+        why = None if m.start() in spared else _unwanted(name, attributes, articles > 0)
+        bad = why is not None
+        if bad and not unwanted:
+            inside = m.start() if why in ("form", "mark") and name in BLOCKS else -1
+            held.setdefault(inside, 0)
         art = not bad and not unwanted and _is_article(name, attributes)
         if bad and not unwanted and name in BLOCKS:
             end_line(gap=True)
@@ -193,11 +225,13 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         unwanted += bad
         links += name == "a"
         stack.append((name, bad, art))
+        opened[name] = opened.get(name, 0) + 1
         if name in BLOCKS and name not in _NEVER:
             block = Block(name, attributes.strip(), block, block.depth + 1)
     pop(0)
     end_line()
-    return out, marked
+    held.pop(-1, None)
+    return out, marked, held
 
 
 def window_sums(lengths: np.ndarray, k: int = WINDOW) -> np.ndarray:
@@ -254,9 +288,25 @@ def _joined(stretches: list[tuple[int, int]], lines: list[Line], lengths: np.nda
     return [(a, b) for a, b, *_ in out]
 
 
+def _lines(page: str) -> tuple[list[Line], bool]:
+    """The page's lines, whether it marks an article; containers of most of its text are opened one after the other."""
+    spared: frozenset[int] = frozenset()
+    for _ in range(NESTED):
+        lines, marked, held = lines_of(page, spared)
+        if marked or not held:
+            break
+        most = max(held, key=lambda k: (held[k], -k))
+        if 2 * held[most] <= sum(held.values()) + sum(len(x.text) - x.linked for x in lines):
+            break
+        spared |= {most}
+    else:
+        lines, marked, _ = lines_of(page, spared)
+    return lines, marked
+
+
 def main_text(page: str | None) -> str:
     """Blocks between surge and dive, joined by newlines."""
-    lines, marked = lines_of(page or "")
+    lines, marked = _lines(page or "")
     if not lines:
         return ""
     # without a marked article, what is only links does not raise the sums

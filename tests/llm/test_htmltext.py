@@ -67,6 +67,34 @@ def test_link_lists_and_inline_marks_do_not_cut_an_unmarked_article():
         assert htmltext.main_text(page % f'{LONG % 1} <span class="share">Tell</span> {LONG % 2}') == f"{LONG % 1} {LONG % 2}"
 
 
+def test_containers_of_most_of_the_text_stay():
+    want = [LONG % i for i in range(4)]
+    body = "".join(f"<p>{x}</p>" for x in want)
+    for a in ('form id="aspnetForm"', 'div class="sidebar-right"', 'section class="social-science"'):
+        end = a.split()[0]
+        for page in (f"<body><{a}><nav>Menu</nav>{body}<div class=ad>Buy</div></{end}><footer>f</footer>", f"<body><{a}><form>{body}</form></{end}>"):
+            assert htmltext.main_text(page).split("\n") == want, a
+        marked = f"<body><{a}><article><p>The article.</p></article><p>{LONG % 9}</p></{end}>"
+        assert htmltext.main_text(marked) == "The article.", a
+    for a in ('article class="post share-enabled"', 'main class="sidebar-right"'):
+        assert htmltext.main_text(f"<body><{a}>{body}</{a.split()[0]}>").split("\n") == want, a
+    comments = f'<div id="comments">{body}</div>'
+    assert htmltext.main_text(f"<body><div><p>{LONG % 7}</p></div>{comments}") == LONG % 7
+    assert htmltext.main_text(f'<article><p>{LONG % 7}</p><form class="newsletter">{body}</form></article>') == LONG % 7
+    assert htmltext.main_text("<article><p>The sum <math><mi>a</mi>+<mi>b</mi></math> grows.</p></article>") == "The sum a+b grows."
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    for part in ("<b>", '<a href="', "<svg>", "<a \"'>", "</i>", "<p", "<!-", "<form>", "<div class=ad>", "<textarea", "<a '>\""):
+        half = (200_000 // len(part)) * part
+        for page in (half + half, "x>" + half + "</i>" * 50_000):
+            start = time.process_time()
+            assert isinstance(htmltext.main_text(page), str)
+            assert time.process_time() - start < 10, part  # under 2 s here; minutes where time grows with the square
+
+
 def test_broken_pages():
     for page in ("", None, "<", "<p", "<!--", "<script>", "a < b", "</p></div>", "<p class='x", '<a href="' * 50, "<div>" * 3000 + "deep", "&#xZ; &bogus; &#0;", "<title>x"):
         assert isinstance(htmltext.main_text(page), str)
