@@ -101,5 +101,5 @@ def test_entry_points(spark):
 
     names = e.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert set(e.oracle_sql()) <= set(names)
