@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from leadspark.operators import box_search as B
 from leadspark.operators import lookalike as K
 from leadspark.operators import metric_index as MI
 
@@ -137,3 +138,32 @@ def test_hot_cell_is_split_and_ties_go_to_the_lower_id(spark):
 
 def test_index_cells_grow_with_the_square_root_up_to_the_bound():
     assert [MI.index_cells(n, 64) for n in (0, 100, 10**6, 10**10, 10**12)] == [1, 10, 1000, 62_500, 62_500]
+
+
+@pytest.mark.parametrize("width", [1, 3, 7])
+def test_boxes_find_the_nearest_rows_with_few_distances(width):
+    rng = np.random.default_rng(width)
+    x, q = rng.normal(size=(20_000, width)), rng.normal(size=(2_000, width))
+    x[:5_000] = x[:100].repeat(50, axis=0)  # copies
+    q[0], q[1] = x[0], np.nan
+    ids = rng.permutation(len(x))
+    d, i, work = B.BoxIndex(*B.few_copies(x, ids, 5)).nearest(q, 5)
+    for r in (0, *range(2, 200)):
+        all_d = np.sqrt(((x - q[r]) ** 2).sum(axis=1))
+        order = np.lexsort((ids, all_d))[:5]
+        assert d[r].tolist() == all_d[order].tolist() and i[r].tolist() == ids[order].tolist()
+    assert np.isinf(d[1]).all()
+    if width < 7:
+        assert work < len(q) * len(x) / 8
+
+
+def test_search_by_broadcast_is_spread_over_tasks_and_leaves_own_entries_out(spark):
+    rows = [(i, [float(i % 40), 0.0]) for i in range(400)]
+    df = spark.createDataFrame(rows + rows[:3], "row_key long, v array<double>").coalesce(1)  # keys repeat
+    found = K.nearest(df, df, "v", "row_key", "row_key", 12, exclude_self=True, query_rows=30)
+    assert found.rdd.getNumPartitions() == 14
+    got = {r["row_key"]: (list(r["distances"]), list(r["neighbour_ids"])) for r in found.collect()}
+    assert found.count() == 403
+    for key in (0, 1, 3, 45, 399):
+        pairs = sorted((abs(v[0] - key % 40), i) for i, v in rows + rows[:3] if i != key)[:12]
+        assert got[key] == ([p[0] for p in pairs], [p[1] for p in pairs])
