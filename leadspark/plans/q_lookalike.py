@@ -8,6 +8,7 @@ from leadspark.operators import lookalike as K
 from leadspark.operators.splits import split_by_dates
 from leadspark.plans.frames import PANEL_SQL, features, panel
 from leadspark.registry import query
+from leadspark.session import cut
 from leadspark.sources.tables import read_table
 
 POSITIVE_LABEL = 3
@@ -162,7 +163,8 @@ def lk_cluster_features(spark, sf):
 @query("lk_combined")
 def lk_combined(spark, sf):
     """Training, validation and test rows with every look-alike feature fitted on training."""
-    train, val, test = split_by_dates(features(spark, sf).select("row_key", "snapshot_date", "target", *NUMBERS, *TEXTS))
+    rows = cut(features(spark, sf).select("row_key", "snapshot_date", "target", *NUMBERS, *TEXTS), spread=True)  # read by every fit and frame below
+    train, val, test = split_by_dates(rows)
     frames = K.add_lookalike_features(
         train, {"val": val, "test": test}, numeric=NUMBERS, categorical=TEXTS, n_clusters=FIT["k"], n_init=FIT["n_init"], max_iter=FIT["max_iter"]
     )
