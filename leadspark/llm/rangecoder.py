@@ -43,7 +43,7 @@ def _renewals(n: int) -> set[int]:
     return out
 
 
-_NEXT = np.array([1, 2, 3, 3, 1, 1, 1, 1], np.int64)  # streak after a hit
+_NEXT = np.array([1, 2, 3, 3, 1, 1, 1, 1], np.int32)  # streak after a hit
 
 
 class _Model:
@@ -53,7 +53,7 @@ class _Model:
         self.vocabulary = vocabulary
         one, two = (1 << b for b in SLOT_BITS)
         lane = np.arange(lanes, dtype=np.int64)
-        self.slots = np.full(lanes * (one + two), NONE | _EMPTY << 16, np.int64)
+        self.slots = np.full(lanes * (one + two), NONE | _EMPTY << 16, np.int32)
         self.base = np.stack([lane * (one + two), lane * (one + two) + one])
         self.chance = np.tile(np.array([0.3, 0.5, 0.6, 0.7, 0, 0, 0, 0]), 2 * lanes)
         self.odds = np.stack([lane * 8, (lane + lanes) * 8])
@@ -73,26 +73,34 @@ class _Model:
         self.streak = held >> 16
         self.kind = self.odds[:, :m] + self.streak
         self.p = self.chance.take(self.kind)
-        part = (self.p / (1 - self.p) * self.base_total).astype(np.int64)
+        part = (self.p / (1 - self.p) * self.base_total).astype(np.int32)  # below 66 * (2^5 * 2^16 + 2^16)
         self.one = part[0] * (self.named[0] != self.named[1])
         self.high = part[0] + part[1]
         self.two = self.high - self.one
-        self.total = self.high + self.base_total
+        self.total = (self.high + self.base_total).astype(np.uint64)
 
     def update(self, m: int, ids: np.ndarray) -> None:
-        hit = self.named == ids
-        self.chance[self.kind] = np.minimum(self.p + (hit - self.p) * RATE, MOST)
-        self.slots[self.spot] = ids | (_NEXT.take(self.streak) * hit) << 16
+        """Learns ``ids``, for which :meth:`spans` was asked before."""
+        p = self.hit - self.p
+        p *= RATE
+        p += self.p
+        self.chance[self.kind] = np.minimum(p, MOST, out=p)
+        streak = _NEXT.take(self.streak)
+        streak *= self.hit
+        streak <<= 16
+        streak |= ids
+        self.slots[self.spot] = streak
         self.before[:m], self.last[:m] = self.last[:m], ids
 
     def spans(self, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the part of each id starts, and its width; ``first`` and ``count`` are its order-0 statistics."""
-        one, two = (ids == self.named[0]) & (self.one > 0), (ids == self.named[1]) & (self.two > 0)
+        self.hit = self.named == ids
+        one, two = self.hit[0] & (self.one > 0), self.hit[1] & (self.two > 0)
         seen = count > 0
         start = self.high + np.where(seen, first << COUNT_BITS, (self.n << COUNT_BITS) + ids)
         width = np.where(seen, count << COUNT_BITS, 1)
         start = np.where(one, self.two, start) * ~two
-        return start, np.where(two, self.two, np.where(one, self.one, width))
+        return start.astype(np.uint64), np.where(two, self.two, np.where(one, self.one, width)).astype(np.uint64)
 
 
 class _Ahead:
@@ -100,20 +108,30 @@ class _Ahead:
 
     def __init__(self, table: np.ndarray, sizes: np.ndarray):
         length, lanes = table.shape
-        keys = (np.arange(lanes, dtype=np.int64) << 16) | table
-        keys[np.arange(length)[:, None] >= sizes] = 0
-        distinct, place = np.unique(keys.reshape(-1), return_inverse=True)
-        self.place = place.reshape(length, lanes)
-        self.lane = distinct >> 16
-        self.heads = np.flatnonzero(np.append(True, self.lane[1:] != self.lane[:-1]))
-        self.count = np.zeros(len(distinct), np.int64)
-        self.first = np.zeros(len(distinct), np.int64)
+        # a stable sort of 16-bit numbers goes digit by digit; ids past a block's end sort last, as its own largest id again
+        own = np.arange(length) < sizes[:, None]
+        rows = np.ascontiguousarray(table.T)
+        rows = np.where(own, rows, rows.max(axis=1, where=own, initial=0)[:, None]).astype(np.uint16)
+        by_id = np.argsort(rows, axis=1, kind="stable")
+        held = np.take_along_axis(rows, by_id, axis=1)
+        new = np.ones((lanes, length), bool)
+        new[:, 1:] = held[:, 1:] != held[:, :-1]
+        self.place = np.empty((length, lanes), np.int32)
+        self.place[by_id, np.arange(lanes)[:, None]] = np.cumsum(new.reshape(-1), dtype=np.int32).reshape(lanes, length) - 1
+        self.heads = np.append(0, np.cumsum(new.sum(axis=1))[:-1])
+        self.count = np.zeros(int(new.sum()), np.int64)
+        self.both = self.count
 
     def renew(self, done: int, t: int, m: int) -> None:
         self.count += np.bincount(self.place[done:t, :m].reshape(-1), minlength=len(self.count))
         total = np.cumsum(self.count)
         before = total - self.count
-        self.first = before - np.repeat(before[self.heads], np.diff(np.append(self.heads, len(before))))
+        self.both = before - np.repeat(before[self.heads], np.diff(np.append(self.heads, len(before)))) | self.count << 32
+
+    def seen(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and count of each id."""
+        both = self.both.take(place)
+        return both.astype(np.int32), (both >> 32).astype(np.int32)
 
 
 class _Past:
@@ -125,16 +143,12 @@ class _Past:
 
     def renew(self, t: int, m: int) -> None:
         ids = np.sort(self.ids[:m, :t], axis=1, kind="stable")
-        new = np.ones((m, t + 1), bool)
-        new[:, 1:t] = ids[:, 1:] != ids[:, :-1]
-        flat = np.flatnonzero(new.reshape(-1))  # the place after a lane's last id also counts as new
-        run = np.repeat(np.arange(len(flat)), np.diff(np.append(flat, m * (t + 1))))
-        begin = flat % (t + 1)
-        count = np.diff(np.append(flat, m * (t + 1)))
-        wide = np.zeros((m, t + 1), np.int64)
-        wide[:, :t] = ids
-        self.packed = wide.reshape(-1) | begin[run] << 16 | count[run] << 32
-        self.row = np.arange(m, dtype=np.int64) * (t + 1)
+        new = np.ones((m, t), bool)
+        new[:, 1:] = ids[:, 1:] != ids[:, :-1]
+        flat = np.flatnonzero(new.reshape(-1))
+        count = np.diff(np.append(flat, m * t))
+        self.packed = np.repeat(ids.reshape(-1)[flat] | flat % t << 16 | count << 32, count)
+        self.row = np.arange(m, dtype=np.int64) * t
 
 
 def _narrow(low, width, total, start, size, unit=None):
@@ -153,12 +167,17 @@ def _narrow(low, width, total, start, size, unit=None):
     return low, width, small
 
 
+def _batches(sizes: list[int]) -> list[list[int]]:
+    """Numbers of blocks by falling size, dealt out evenly: a few over LANES make no batch of their own."""
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    many = max(1, round(len(order) / LANES))
+    return [[order[i] for i in own] for own in np.array_split(np.arange(len(order)), many) if len(own)]
+
+
 def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """The coded words of each block, each on its own."""
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     out: list[bytes] = [b""] * len(blocks)
-    for at in range(0, len(order), LANES):
-        own = order[at : at + LANES]
+    for own in _batches([len(b) for b in blocks]):
         for i, words in zip(own, _encode_lanes([blocks[i] for i in own], vocabulary)):
             out[i] = words
     return out
@@ -167,7 +186,7 @@ def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
 def _encode_lanes(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     sizes = np.array([len(b) for b in blocks])
     lanes, length = len(blocks), int(sizes.max())
-    table = np.zeros((length, lanes), np.int64)
+    table = np.zeros((length, lanes), np.uint16)
     for i, b in enumerate(blocks):
         table[: len(b), i] = b
     model, ahead, renew = _Model(lanes, length, vocabulary), _Ahead(table, sizes), _renewals(length)
@@ -178,10 +197,10 @@ def _encode_lanes(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
         if t in renew:
             ahead.renew(model.n, t, m)
             model.n = t
-        ids, place = table[t, :m], ahead.place[t, :m]
+        ids = table[t, :m].astype(np.int32)
         model.predict(m)
-        start, size = model.spans(ids, ahead.first.take(place), ahead.count.take(place))
-        lo, wd, small = _narrow(low[:m], width[:m], model.total.view(np.uint64), start.view(np.uint64), size.view(np.uint64))
+        start, size = model.spans(ids, *ahead.seen(ahead.place[t, :m]))
+        lo, wd, small = _narrow(low[:m], width[:m], model.total, start, size)
         out = np.flatnonzero(small)
         words[out, filled[out]] = lo[out] >> _WORD
         filled[out] += 1
@@ -196,10 +215,8 @@ def _encode_lanes(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
 
 
 def decode(coded: list[bytes], sizes: list[int], vocabulary: int) -> list[np.ndarray]:
-    order = sorted(range(len(coded)), key=lambda i: -sizes[i])
     out: list[np.ndarray] = [np.empty(0, np.uint16)] * len(coded)
-    for at in range(0, len(order), LANES):
-        own = order[at : at + LANES]
+    for own in _batches(sizes):
         for i, ids in zip(own, _decode_lanes([coded[i] for i in own], np.array([sizes[i] for i in own]), vocabulary)):
             out[i] = ids
     return out
@@ -220,21 +237,21 @@ def _decode_lanes(coded: list[bytes], sizes: np.ndarray, vocabulary: int) -> lis
             past.renew(t, m)
             model.n = t
         model.predict(m)
-        total = model.total.view(np.uint64)
+        total = model.total
         unit = width[:m] // total
-        value = np.minimum((code[:m] - low[:m]) // unit, total - _ONE).view(np.int64)
+        value = np.minimum((code[:m] - low[:m]) // unit, total - _ONE).astype(np.int32)
         rest = value - model.high
         uniform = model.n << COUNT_BITS
         if model.n:
             seen = (rest >= 0) & (rest < uniform)
             found = past.packed.take(past.row[:m] + (rest >> COUNT_BITS) * seen)
-            ids = np.where(seen, found & NONE, rest - uniform)
-            first, count = (found >> 16) & NONE, (found >> 32) * seen
+            ids = np.where(seen, (found & NONE).astype(np.int32), rest - uniform)
+            first, count = ((found >> 16) & NONE).astype(np.int32), (found >> 32).astype(np.int32) * seen
         else:
-            ids, first, count = rest, rest, np.zeros(m, np.int64)
+            ids, first, count = rest, rest, np.zeros(m, np.int32)
         ids = np.where(rest < 0, np.where(value < model.two, model.named[1], model.named[0]), ids)
         start, size = model.spans(ids, first, count)
-        lo, wd, small = _narrow(low[:m], width[:m], total, start.view(np.uint64), size.view(np.uint64), unit)
+        lo, wd, small = _narrow(low[:m], width[:m], total, start, size, unit)
         out = np.flatnonzero(small)
         code[out] = code[out] << _WORD | flat[np.minimum(read[out], len(flat) - 1)]
         read[out] += 1

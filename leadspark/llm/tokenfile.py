@@ -29,7 +29,7 @@ from leadspark.llm import textscan as ts
 
 VOCABULARY = "byte_bpe_50k.json"
 VOCABULARY_SIZE = 50_257
-#: A segment ends after the document that reaches so many ids.
+#: A segment ends after the document that reaches so many ids; a task's rest goes to its last segment.
 SEGMENT_IDS = rangecoder.BLOCK * rangecoder.LANES
 
 
@@ -42,10 +42,11 @@ def write(docs: DataFrame, target: str, path: str | None = None, spaced: bool =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = tokens.encoder(path, spaced), TaskContext.get().partitionId(), 0
+        full: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         before = 0
 
-        def segment() -> pa.RecordBatch:
+        def segment(held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
             owners = pa.concat_arrays([h[0] for h in held])
             ids, count = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
@@ -61,11 +62,13 @@ def write(docs: DataFrame, target: str, path: str | None = None, spaced: bool =
                 held.append((batch.column("doc_id").slice(piece.lo, piece.hi - piece.lo), ids, count))
                 size += len(ids)
                 if size >= segment_ids:
-                    yield segment()
-                    before += size
-                    held, size, number = [], 0, number + 1
-        if held:
-            yield segment()
+                    if full:
+                        yield segment(full)
+                        before += sum(len(h[1]) for h in full)
+                        number += 1
+                    full, held, size = held, [], 0
+        if full or held:
+            yield segment(full + held)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = src.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))

@@ -22,11 +22,15 @@ from leadspark.llm import textscan as ts
 #: Entries of a worker's table of chunks; it starts anew beyond them (about 25 bytes each).
 MAX_CHUNKS = 1_500_000
 
-_SPACE = np.isin(np.arange(256), list(ts.ASCII_SPACE))
-# lead bytes of the blocks with further white space: the character after a boundary must be visible for certain
-_UNSURE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-_LETTER = np.isin(np.arange(256), list(range(65, 91)) + list(range(97, 123)))
-_PUNCT = np.isin(np.arange(256), [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"])
+_SPACE, _UNSURE, _LETTER, _PUNCT = 1, 2, 4, 8
+# unsure: lead bytes of the blocks with further white space; the character after a boundary must be visible for certain
+_CLASS = bytes(
+    _SPACE * (c in ts.ASCII_SPACE)
+    | _UNSURE * (c in (0xC2, 0xE1, 0xE2, 0xE3))
+    | _LETTER * (65 <= c <= 90 or 97 <= c <= 122)
+    | _PUNCT * (33 <= c < 127 and not chr(c).isalnum() and chr(c) != "'")
+    for c in range(256)
+)
 _RAW = ts.not_space_lut(fold_case=False)
 
 
@@ -45,40 +49,59 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Chunks:
-    """Ids of chunks by hash: a few sorted runs, each at most half as long as the one before."""
+    """Ids of chunks by hash: a table of at least twice as many places as chunks, searched from the place that a hash names on."""
 
     def __init__(self) -> None:
         self.ids = np.empty(1 << 16, np.uint16)
         self.used = 0
-        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+        self.keys, self.at, self.length = np.empty(1 << 12, np.uint64), np.empty(1 << 12, np.int32), np.empty(1 << 12, np.int32)
+        self.table = np.full(1 << 13, -1, np.int32)
 
     def __len__(self) -> int:
-        return sum(len(r[0]) for r in self.runs)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and length of each key's ids; place -1 where unknown."""
-        place, length = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        for known, at, size in self.runs:
-            spot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = known[spot] == keys
-            place[hit], length[hit] = at[spot[hit]], size[spot[hit]]
-        return place, length
+        return self.size
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(len(self.table) - 1)).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key's chunk; -1 where unknown."""
+        home = self._home(keys)
+        out = self.table[home]
+        off = np.flatnonzero((self.keys[out] != keys) & (out >= 0))
+        step = 0
+        while len(off):
+            step += 1
+            out[off] = self.table[(home[off] + step) & (len(self.table) - 1)]
+            off = off[(self.keys[out[off]] != keys[off]) & (out[off] >= 0)]
+        return out
+
+    def _place(self, first: int) -> None:
+        """Enters the chunks from number ``first`` on."""
+        home, left = self._home(self.keys[first : self.size]), np.arange(first, self.size, dtype=np.int32)
+        while len(left):
+            free = self.table[home] < 0
+            self.table[home[free]] = left[free]
+            lost = self.table[home] != left
+            home, left = (home[lost] + 1) & (len(self.table) - 1), left[lost]
 
     def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
-        size = np.array([len(x) for x in ids], np.int64)
+        """Takes in distinct chunks that are not known yet."""
+        length = np.array([len(x) for x in ids], np.int64)
         flat = np.array([i for x in ids for i in x], np.uint16)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty(len(self.ids), np.uint16)])
         self.ids[self.used : self.used + len(flat)] = flat
-        at = self.used + np.cumsum(size) - size
+        first, self.size = self.size, self.size + len(keys)
+        while self.size > len(self.keys):
+            self.keys, self.at, self.length = (np.concatenate([x, np.empty(len(x), x.dtype)]) for x in (self.keys, self.at, self.length))
+        self.keys[first : self.size] = keys
+        self.at[first : self.size] = self.used + np.cumsum(length) - length
+        self.length[first : self.size] = length
         self.used += len(flat)
-        order = np.argsort(keys)
-        self.runs.append((keys[order], at[order].astype(np.int32), size[order].astype(np.int32)))
-        while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) > len(self.runs[-2][0]):
-            a, b = self.runs.pop(), self.runs.pop()
-            merged = [np.concatenate(x) for x in zip(a, b)]
-            order = np.argsort(merged[0])
-            self.runs.append(tuple(x[order] for x in merged))
+        if 2 * len(self.keys) > len(self.table):
+            self.table, first = np.full(2 * len(self.keys), -1, np.int32), 0
+        self._place(first)
 
 
 class Encoder:
@@ -102,6 +125,8 @@ class Encoder:
         text = raw.decode()
         if self.spaced:
             word = text[1:] if text[0] == " " else text
+            if word.isalpha() and word.isascii():  # letters stand for themselves, the space is the only other byte
+                return [t.id for t in self.model.tokenize(text if word is text else self.letters[32] + word)]
         else:
             text = word = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
         if word.isalpha():  # one pre-token: straight to the model
@@ -114,17 +139,19 @@ class Encoder:
         if not n:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         cut = np.zeros(n, bool)
-        letter = _LETTER[buf]
-        cut[1:] = letter[:-1] & _PUNCT[buf[1:]]
+        kind = np.frombuffer(buf.tobytes().translate(_CLASS), np.uint8)
+        punct = kind == _PUNCT
+        cut[1:] = (kind[:-1] == _LETTER) & punct[1:]
         if n > 2:  # two-byte letters of the Latin-1 block, all but the signs for times and division
             latin = (buf[:-2] == 0xC3) & (buf[1:-1] != 0x97) & (buf[1:-1] != 0xB7)
-            cut[2:] |= latin & _PUNCT[buf[2:]]
+            cut[2:] |= latin & punct[2:]
+        space = kind == _SPACE
         if self.spaced:
-            cut[:-1] |= _SPACE[buf[:-1]] & ~_SPACE[buf[1:]] & ~_UNSURE[buf[1:]]
+            cut[:-1] |= space[:-1] & (kind[1:] & (_SPACE | _UNSURE) == 0)
             cut[piece.off[:-1][piece.off[:-1] < n]] = True
             start = np.flatnonzero(cut)
             return start, np.append(start[1:], n)
-        inside = ~_SPACE[buf]
+        inside = ~space
         start, end = ts.edges(inside, piece.off)
         more = np.flatnonzero(cut & inside)
         start = np.unique(np.concatenate([start, more]))
@@ -140,16 +167,18 @@ class Encoder:
         if odd:
             keep = ~np.isin(doc, list(odd))
             start, end, doc = start[keep], end[keep], doc[keep]
-        keys, first, which = np.unique(ts.span_hashes(ts.prefix_hashes(_RAW_BYTES[piece.buf]), start, end), return_index=True, return_inverse=True)
+        keys = ts.span_hashes(ts.prefix_hashes(piece.buf), start, end)
         if len(self.chunks) > MAX_CHUNKS:
             self.chunks = Chunks()
-        new = np.flatnonzero(self.chunks.find(keys)[0] < 0)
+        which = self.chunks.find(keys)
+        new = np.flatnonzero(which < 0)
         if len(new):
-            self.chunks.add(keys[new], [self.chunk(raw[start[i] : end[i]]) for i in first[new]])
-        place, length = self.chunks.find(keys)
-        size = length[which]
+            fresh, first = np.unique(keys[new], return_index=True)
+            self.chunks.add(fresh, [self.chunk(raw[start[i] : end[i]]) for i in new[first]])
+            which[new] = self.chunks.find(keys[new])
+        size = self.chunks.length[which].astype(np.int64)
         total = int(size.sum())
-        ids = self.chunks.ids[np.repeat(place[which] - (np.cumsum(size) - size), size) + np.arange(total)]
+        ids = self.chunks.ids[np.repeat(self.chunks.at[which] - (np.cumsum(size) - size), size) + np.arange(total)]
         count = np.bincount(doc, weights=size, minlength=texts).astype(np.int64)
         if not odd:
             return ids, count
@@ -167,9 +196,6 @@ class Encoder:
         return sorted(found)
 
 
-_RAW_BYTES = np.arange(256, dtype=np.uint8)
-
-
 @lru_cache(maxsize=4)
 def encoder(path: str, spaced: bool) -> Encoder:
     """One encoder a worker and vocabulary, kept over tasks."""

@@ -78,3 +78,27 @@ def test_awkward_tables_in_small_segments(spark):
     target = scratch_path(spark, "t")
     tokenfile.write(df.limit(0), target)
     assert tokenfile.read(spark, target).count() == 0
+
+
+def test_blocks_are_dealt_to_even_batches(monkeypatch):
+    monkeypatch.setattr(rangecoder, "LANES", 8)
+    assert [len(b) for b in rangecoder._batches([5] * 9)] == [9]  # was 8 and 1: each step costs the same for one block as for many
+    assert [len(b) for b in rangecoder._batches([5] * 21)] == [7, 7, 7]
+    assert rangecoder._batches([1, 3, 2]) == [[1, 2, 0]] and rangecoder._batches([]) == []
+
+
+def test_rest_of_a_task_joins_its_last_segment(spark):
+    wanted = {"spark.sql.shuffle.partitions": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    rows = [(k, f"some words of text number {k}") for k in range(10)]
+    target = scratch_path(spark, "t")
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        tokenfile.write(spark.createDataFrame(rows, "doc_id long, text string"), target, segment_ids=20)
+        sizes = [r["n_ids"] for r in spark.read.parquet(target).orderBy("segment").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) > 1 and min(sizes) >= 20
+    assert [tuple(r) for r in tokenfile.read(spark, target).orderBy("start").collect()] == expected(rows)
