@@ -12,8 +12,13 @@ each task takes of its own slice, summed, and on a list of bounded length.
 Equal sets are one node. Links matter for connection only, so a group of m near
 copies need not be compared in m (m - 1) / 2 pairs: each node is first compared
 with the centre that most of its tokens name, then with all other centres that
-it is not connected with, then every pair that shares a token and is not
-connected yet is compared. No link between different components is lost.
+it is not connected with and along a forest of the pairs that look similar, then
+every pair that shares a token and is not connected yet is compared. No link between different components is lost.
+
+Before sets are moved, pairs are held against sketches: for each of some bits,
+whether an odd number of a set's tokens fall there. Each bit in which two
+sketches differ needs a token that only one of the sets has, so pairs with too
+many of them are not similar.
 
 Tokens and nodes are 64-bit hashes; among m different sets about m^2 / 2^65
 pairs of nodes would be taken for one.
@@ -51,6 +56,8 @@ MAX_FREQUENT = 1 << 18
 COUNT_TOKENS = 1_500_000
 ROWS_PER_TASK = 1_000_000
 BITMAP_BITS = 1 << 26
+#: Bytes of a sketch: at least a bit for each token within these bounds. Where a row is made for each token, the lower one.
+SKETCH_BYTES = 64, 4096
 
 _LUT = ts.not_space_lut(fold_case=True)
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 16, dtype=np.uint64)
@@ -87,6 +94,39 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(a).view(np.int64)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """For each bit whether an odd number of tokens fall there."""
+    lo, hi = SKETCH_BYTES
+    bits = min(8 * hi, max(8 * lo, 1 << (len(tokens) - 1).bit_length()))
+    at = (ts.mix(tokens ^ _SEEDS[6]) & np.uint64(bits - 1)).view(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def narrowed(wide: bytes, size: int) -> bytes:
+    """The sketch that ``size`` bytes would have given."""
+    x = np.frombuffer(wide, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.tobytes()
+
+
+def _close(differ, na, nb):
+    """Whether sets of ``na`` and ``nb`` tokens whose sketches differ in so many bits may be similar."""
+    return (NUM + DEN) * differ <= (DEN - NUM) * (na + nb)
+
+
+def sketches_fit(x: bytes, nx: int, y: bytes, ny: int) -> bool:
+    size = min(len(x), len(y))
+    x, y = narrowed(x, size), narrowed(y, size)
+    return _close((int.from_bytes(x) ^ int.from_bytes(y)).bit_count(), nx, ny)
+
+
+def _fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("s_a", "n_a", "s_b", "n_b")]
+        yield batch.select(["a", "b"]).filter(pa.array([sketches_fit(*row) for row in zip(*cols)], pa.bool_()))
+
+
 class Frequent:
     """Frequent tokens, sorted, and how frequent each is (1 to 40)."""
 
@@ -116,23 +156,28 @@ def _scan_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def counted() -> pa.RecordBatch:
         tokens, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
         often = n >= LOCAL_DF
-        return _batch(ids.slice(0, 0).take(pa.array([None] * int(often.sum()), pa.int64())), None, None, None, _signed(tokens[often]), n[often])
+        return _batch(ids.slice(0, 0).take(pa.array([None] * int(often.sum()), pa.int64())), None, None, None, _signed(tokens[often]), n[often], None, None)
 
     ids = None
     for batch in batches:
         ids = batch.column("doc_id")
         for piece in ts.slices(batch.column("text")):
-            count, node = np.zeros(piece.hi - piece.lo, np.int64), []
+            count, node, wide, narrow = np.zeros(piece.hi - piece.lo, np.int64), [], [], []
             for i, tokens in shingle_sets(piece):
                 own = node_of(tokens)
                 count[i] = len(tokens)
                 node.append(own)
+                wide.append(None)
+                narrow.append(None)
                 if own is not None and own not in known:
                     known.add(own)
                     held.append(tokens)
                     size += len(tokens)
+                    wide[-1] = sketch(tokens)
+                    if len(wide[-1]) > SKETCH_BYTES[0]:
+                        narrow[-1] = narrowed(wide[-1], SKETCH_BYTES[0])
             rows = slice(piece.lo, piece.hi)
-            yield _batch(ids[rows], batch.column("k1")[rows], count, node, None, None)
+            yield _batch(ids[rows], batch.column("k1")[rows], count, node, None, None, wide, narrow)
             if size >= COUNT_TOKENS:
                 yield counted()
                 held, size = [], 0
@@ -140,10 +185,11 @@ def _scan_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def _batch(ids: pa.Array, k1, count, node, token, n) -> pa.RecordBatch:
+def _batch(ids: pa.Array, k1, count, node, token, n, wide, narrow) -> pa.RecordBatch:
     rows = len(ids)
     col = lambda x: pa.nulls(rows, pa.int64()) if x is None else pa.array(x, pa.int64()) if not isinstance(x, pa.Array) else x
-    return pa.RecordBatch.from_arrays([ids, *map(col, (k1, count, node, token, n))], names=["doc_id", "k1", "n_shingles", "node", "token", "df"])
+    raw = [pa.nulls(rows, pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (wide, narrow)]
+    return pa.RecordBatch.from_arrays([ids, *map(col, (k1, count, node, token, n)), *raw], names=["doc_id", "k1", "n_shingles", "node", "token", "df", "sketch", "narrow"])
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -273,18 +319,22 @@ def _centres(token: np.ndarray, node: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cross_pairs(batches: Iterator[pa.RecordBatch], forest: bool = False) -> Iterator[pa.RecordBatch]:
     """All pairs of a token's documents that are in different components and pass the filters.
 
     One of the two is outside the token's largest component, so only such rows look for partners, among the longer
-    sets (all of them) and the shorter ones (those of the largest component).
+    sets (all of them) and the shorter ones (those of the largest component). Where rows have sketches, these must fit too.
+    With ``forest`` only pairs whose components no other pairs of the task connect.
     """
-    token, node, n, pos, comp = _whole(batches, ["token", "node", "n", "pos", "comp"])
+    sketches: list[np.ndarray] = []
+    token, node, n, pos, comp = _whole(_split_off(batches, sketches), ["token", "node", "n", "pos", "comp"])
     order = np.lexsort((n, token))
     token, node, n, pos, comp = (x[order] for x in (token, node, n, pos, comp))
+    marks = np.concatenate(sketches)[order] if sketches else None
     largest = _largest(token, comp)
     outside = np.flatnonzero(~largest)
     left, right, held = [], [], 0
+    tree = _Forest(comp) if forest else None
     for step in (1, -1):
         live, d = outside, step
         while True:
@@ -298,6 +348,13 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = (comp[live] != comp[j]) & _may_link(n[live], pos[live], n[j], pos[j])
             if step < 0:
                 hit &= largest[j]
+            if marks is not None and hit.any():
+                at = np.flatnonzero(hit)
+                i, k = live[at], j[at]
+                hit[at] = _close(np.bitwise_count(marks[i] ^ marks[k]).sum(axis=1, dtype=np.int64), n[i].astype(np.int64), n[k].astype(np.int64))
+            if tree is not None:
+                at = np.flatnonzero(hit)
+                hit[at] = tree.connects(live[at], j[at])
             left.append(live[hit])
             right.append(j[hit])
             held += len(left[-1])
@@ -309,6 +366,43 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _pairs(node[np.concatenate(left)], node[np.concatenate(right)])
 
 
+def _cross_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each task's pairs across components a forest: fewer pairs than it has components, and if all are similar, all that matters."""
+    yield from _cross_pairs(batches, forest=True)
+
+
+class _Forest:
+    """Which pairs of rows connect components that pairs before them do not."""
+
+    def __init__(self, comp: np.ndarray):
+        known, self.of = np.unique(comp, return_inverse=True)
+        self.up = np.arange(len(known)).tolist()
+
+    def _root(self, i: int) -> int:
+        up = self.up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def connects(self, left: np.ndarray, right: np.ndarray) -> list[bool]:
+        out = []
+        for i, j in zip(self.of[left].tolist(), self.of[right].tolist()):
+            i, j = self._root(i), self._root(j)
+            out.append(i != j)
+            self.up[max(i, j)] = min(i, j)
+        return out
+
+
+def _split_off(batches: Iterator[pa.RecordBatch], into: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The batches as they are; their sketches, if there are any, go to ``into``, a row of 64-bit words each."""
+    for batch in batches:
+        if batch.num_rows and "narrow" in batch.schema.names:
+            raw = b"".join(batch.column("narrow").to_pylist())
+            into.append(np.frombuffer(raw, np.uint64).reshape(batch.num_rows, SKETCH_BYTES[0] // 8))
+        yield batch
+
+
 def _largest(token: np.ndarray, comp: np.ndarray) -> np.ndarray:
     """Whether each row belongs to the component that has most rows of its token."""
     if not len(token):
@@ -392,10 +486,12 @@ def _tokens(cell: pa.Scalar) -> np.ndarray:
     return np.frombuffer(cell.as_buffer(), np.uint64)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, frequent) -> DataFrame:
-    """The pairs whose sets are similar. Only sets of nodes in pairs are made, from their texts, and each is moved once to
-    its node's pairs; ``b`` should be the end that many pairs have in common."""
-    pairs = _stored(pairs, "pairs")
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, sketches: DataFrame, frequent) -> DataFrame:
+    """The pairs whose sets are similar. Only sets of nodes in pairs that their sketches allow are made, from their texts, and
+    each is moved once to its node's pairs; ``b`` should be the end that many pairs have in common."""
+    for end in "ab":
+        pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"s_{end}")), end)
+    pairs = _stored(pairs.select("a", "b", "s_a", "n_a", "s_b", "n_b").mapInArrow(_fitting, "a long, b long"), "pairs")
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     one_text = nodes.join(ends, "node", "left_semi").groupBy("node").agg(F.min("k1").alias("k1")).select("k1")
     sets = _sets(texts, pairs.sparkSession.sparkContext.broadcast(_bitmap(one_text)))
@@ -428,24 +524,32 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, parts: int) -> DataFrame:
     """Components (node, component) of all links: most votes first, then all centres, then all pairs still apart. No pair is compared twice."""
     first, second = CENTRES
+    drawn = nodes.filter("sketch IS NOT NULL").join(shared.select("node").distinct(), "node", "left_semi")
+    drawn = drawn.select("node", F.col("n_shingles").alias("n"), "sketch", F.coalesce("narrow", "sketch").alias("narrow")).dropDuplicates(["node"])
+    sketches = _stored(drawn, "sketches")
     ends = [shared.select(F.col("node").alias("a"), F.col(f"centre{k}").alias("b"), F.col(f"near{k}").cast("int").alias("votes"), F.lit(k == first).alias("own")) for k in (first, second)]
     stars = _stored(ends[0].unionByName(ends[1]).filter("a <> b").groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("own").alias("own")), "stars")
     best = stars.filter("votes > 0").groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
-    edges = _stored(_verified(best, texts, nodes, frequent), "links")
+    edges = _stored(_verified(best, texts, nodes, sketches, frequent), "links")
     comps = components(edges)
 
-    rest = _apart(stars.filter("votes > 0"), comps).select("a", "b").join(best, ["a", "b"], "left_anti")
-    edges = edges.unionByName(_stored(_verified(rest, texts, nodes, frequent), "links"))
+    def open_rows() -> DataFrame:
+        # A token all of whose nodes are in its first centre's component has no pair left.
+        split = _apart(stars.filter("own"), comps).select(F.col("a").alias("node"), F.col("b").alias(f"centre{first}"))
+        open_tokens = shared.join(split, ["node", f"centre{first}"], "left_semi").select("token").distinct()
+        rows = shared.select("token", "node", "n", "pos").join(open_tokens, "token", "left_semi").join(comps, "node", "left").join(sketches.select("node", "narrow"), "node")
+        return rows.select("token", "node", "n", "pos", F.coalesce("component", "node").alias("comp"), "narrow").repartition(parts, "token")
+
+    best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _apart(stars.filter("votes > 0"), comps).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.unionByName(open_rows().mapInArrow(_cross_forest, "a long, b long")).distinct()
+    rest = _stored(rest.join(best, ["a", "b"], "left_anti"), "rest")
+    edges = edges.unionByName(_stored(_verified(rest, texts, nodes, sketches, frequent), "links"))
     comps = components(edges)
 
-    # A token all of whose nodes are in its first centre's component has no pair left.
-    split = _apart(stars.filter("own"), comps).select(F.col("a").alias("node"), F.col("b").alias(f"centre{first}"))
-    open_tokens = shared.join(split, ["node", f"centre{first}"], "left_semi").select("token").distinct()
-    rows = shared.select("token", "node", "n", "pos").join(open_tokens, "token", "left_semi").join(comps, "node", "left")
-    rows = rows.select("token", "node", "n", "pos", F.coalesce("component", "node").alias("comp"))
-    compared = stars.filter("votes > 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    cross = rows.repartition(parts, "token").mapInArrow(_cross_pairs, "a long, b long").distinct().join(compared, ["a", "b"], "left_anti")
-    return components(edges.unionByName(_stored(_verified(cross, texts, nodes, frequent), "links")))
+    cross = open_rows().mapInArrow(_cross_pairs, "a long, b long").distinct()
+    cross = cross.join(best.unionByName(rest), ["a", "b"], "left_anti")
+    return components(edges.unionByName(_stored(_verified(cross, texts, nodes, sketches, frequent), "links")))
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -454,7 +558,7 @@ def _groups(docs: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     texts = _texts(docs)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    scanned = _stored(texts.mapInArrow(_scan_nodes, f"doc_id {kind}, k1 long, n_shingles long, node long, token long, df long"), "nodes")
+    scanned = _stored(texts.mapInArrow(_scan_nodes, f"doc_id {kind}, k1 long, n_shingles long, node long, token long, df long, sketch binary, narrow binary"), "nodes")
     nodes = scanned.filter(F.col("token").isNull()).drop("token", "df")
     frequent = sc.broadcast(_frequent(scanned.filter(F.col("token").isNotNull())))
 

@@ -161,3 +161,37 @@ def test_centres_are_rows_of_the_same_token():
     assert (token[at] == token).all()
     assert len(np.unique(at)) == len(np.unique(token))
     assert len(jaccard._centres(token[:0], node[:0], 1)) == 0
+
+
+def test_sketches_lose_no_similar_pair():
+    rng = np.random.default_rng(8)
+    fit = 0
+    for k in range(400):
+        n = int(rng.integers(1, [60, 9_000][k % 2]))
+        x = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < rng.uniform(0.7, 1)], rng.integers(0, 1 << 62, n // 8 + 1).astype(np.uint64)]))
+        u, v = jaccard.sketch(x), jaccard.sketch(y)
+        assert len(u) >= 64 and len(jaccard.narrowed(u, 64)) == 64
+        near = jaccard.sketches_fit(u, len(x), v, len(y))
+        assert near or not jaccard.alike(x, y)
+        fit += near
+        if len(x) > 20:
+            z = rng.integers(0, 1 << 62, len(x)).astype(np.uint64)
+            assert not jaccard.sketches_fit(u, len(x), jaccard.sketch(z), len(z))
+    assert 0 < fit < 400
+
+
+def test_pairs_of_a_passage_and_of_near_copies_do_not_grow_with_the_square():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(0, 1 << 62, 40).astype(np.uint64))
+    unlike = [np.concatenate([base[:4], rng.integers(0, 1 << 62, 36).astype(np.uint64)]) for _ in range(300)]
+    alike = [np.concatenate([base[:39], rng.integers(0, 1 << 62, 1).astype(np.uint64)]) for _ in range(300)]
+    m = 600
+    cols = [np.zeros(m, np.int64), np.arange(m), np.full(m, 40), np.zeros(m, np.int64), np.arange(m)]
+    marks = pa.array([jaccard.sketch(t) for t in unlike + alike], pa.binary())
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, cols), marks], names=["token", "node", "n", "pos", "comp", "narrow"])
+    count = lambda f: sum(b.num_rows for b in f(iter([batch])))
+    assert count(jaccard._cross_pairs) == 300 * 299 // 2  # the similar ones, none of the others; was 600 * 599 / 2
+    assert count(jaccard._cross_forest) == 299
