@@ -57,9 +57,9 @@ def _folds(df, n_splits):
 def mdl_gbt(spark, sf):
     """Whole preprocessor and class-weighted boosted trees, scored on the last snapshot."""
     train, _, test = split_by_dates(features(spark, sf))
-    pre, fitted = LeadPreprocessor().fit_transform(train)
-    model = L.fit_model(cut(fitted.select("row_key", "target", "features"), spread=True), kind="gbt", maxIter=10, maxDepth=4)
-    return _scored(model, pre.transform(test))
+    pre, fitted = LeadPreprocessor().fit_transform(train, keep=["row_key", "target"])
+    model = L.fit_model(cut(fitted, spread=True), kind="gbt", maxIter=10, maxDepth=4)
+    return _scored(model, pre.transform(pre.sources(test, ["row_key", "target"])))
 
 
 @query("mdl_logit")

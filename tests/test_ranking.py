@@ -179,6 +179,15 @@ def test_quantiles_of_awkward_columns_in_rounds(spark, keep, accuracy):
         np.testing.assert_allclose(got[c], want, rtol=1e-12, err_msg=c)
 
 
+def test_quantiles_are_exact_from_sampled_sketches(spark, monkeypatch):
+    monkeypatch.setattr(R, "SKETCHED", 300)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"x": np.exp(rng.normal(size=30_000) * 3), "y": rng.integers(0, 4, 30_000).astype(float)})
+    got = R.exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], [0.01, 0.5, 0.99], keep=50)
+    for c in ("x", "y"):
+        np.testing.assert_allclose(got[c], np.quantile(pdf[c], [0.01, 0.5, 0.99]))
+
+
 @pytest.mark.parametrize("bits, edge_rows", [((2, 2, 2, 26), 10), ((4, 28), 0)])
 def test_quotas_are_exact_when_slices_are_refined(spark, bits, edge_rows):
     rows = [(i, "hot" if i % 3 else f"g{i % 5}") for i in range(4_000)]

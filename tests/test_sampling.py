@@ -119,6 +119,12 @@ def test_folds_spread_each_class_evenly(spark):
         assert len(part) == 5 and part["count"].max() - part["count"].min() <= 1
 
 
+def test_a_class_is_not_dealt_in_one_task(spark):
+    df = spark.range(120_000).select(F.col("id").alias("row_key"), (F.col("id") % 100 == 0).cast("int").alias("target"))
+    sizes = [r["n"] for r in L.stratified_folds(df, 5).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 120_000 and max(sizes) < 70_000
+
+
 def test_positions_are_chronological_and_folds_disjoint(spark):
     _, df = panel(spark, 600)
     placed = L.with_position(df, rows_per_bucket=50).toPandas().sort_values("position")
