@@ -55,6 +55,8 @@ LOCAL_DF = 2
 MAX_FREQUENT = 1 << 18
 COUNT_TOKENS = 1_500_000
 ROWS_PER_TASK = 1_000_000
+#: No more tasks than one for each so many rows: the driver keeps a record of every task.
+LEAST_ROWS = 50_000
 BITMAP_BITS = 1 << 26
 #: Bytes of a sketch: at least a bit for each token within these bounds. Where a row is made for each token, the lower one.
 SKETCH_BYTES = 64, 4096
@@ -492,6 +494,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, sketches: Da
     for end in "ab":
         pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"s_{end}")), end)
     pairs = _stored(pairs.select("a", "b", "s_a", "n_a", "s_b", "n_b").mapInArrow(_fitting, "a long, b long"), "pairs")
+    if pairs.isEmpty():
+        return pairs
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     one_text = nodes.join(ends, "node", "left_semi").groupBy("node").agg(F.min("k1").alias("k1")).select("k1")
     sets = _sets(texts, pairs.sparkSession.sparkContext.broadcast(_bitmap(one_text)))
@@ -521,6 +525,18 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return own.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
 
 
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links."""
+    if links.isEmpty():
+        return comps
+    return components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
+def tasks_for(rows: int, wanted: int) -> int:
+    """How many tasks ``rows`` prefix rows are dealt to: as many as ``wanted`` within the bounds of rows in a task."""
+    return max(1, min(wanted, -(-rows // LEAST_ROWS)), -(-rows // ROWS_PER_TASK))
+
+
 def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, parts: int) -> DataFrame:
     """Components (node, component) of all links: most votes first, then all centres, then all pairs still apart. No pair is compared twice."""
     first, second = CENTRES
@@ -530,8 +546,7 @@ def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, part
     ends = [shared.select(F.col("node").alias("a"), F.col(f"centre{k}").alias("b"), F.col(f"near{k}").cast("int").alias("votes"), F.lit(k == first).alias("own")) for k in (first, second)]
     stars = _stored(ends[0].unionByName(ends[1]).filter("a <> b").groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("own").alias("own")), "stars")
     best = stars.filter("votes > 0").groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
-    edges = _stored(_verified(best, texts, nodes, sketches, frequent), "links")
-    comps = components(edges)
+    comps = components(_verified(best, texts, nodes, sketches, frequent))
 
     def open_rows() -> DataFrame:
         # A token all of whose nodes are in its first centre's component has no pair left.
@@ -544,12 +559,11 @@ def _links(texts: DataFrame, nodes: DataFrame, shared: DataFrame, frequent, part
     rest = _apart(stars.filter("votes > 0"), comps).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = rest.unionByName(open_rows().mapInArrow(_cross_forest, "a long, b long")).distinct()
     rest = _stored(rest.join(best, ["a", "b"], "left_anti"), "rest")
-    edges = edges.unionByName(_stored(_verified(rest, texts, nodes, sketches, frequent), "links"))
-    comps = components(edges)
+    comps = _merged(comps, _stored(_verified(rest, texts, nodes, sketches, frequent), "links"))
 
     cross = open_rows().mapInArrow(_cross_pairs, "a long, b long").distinct()
     cross = cross.join(best.unionByName(rest), ["a", "b"], "left_anti")
-    return components(edges.unionByName(_stored(_verified(cross, texts, nodes, sketches, frequent), "links")))
+    return _merged(comps, _stored(_verified(cross, texts, nodes, sketches, frequent), "links"))
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -564,7 +578,7 @@ def _groups(docs: DataFrame) -> DataFrame:
 
     n = F.col("n_shingles")
     rows = nodes.filter(n > 0).agg(F.coalesce(F.sum(n - F.ceil(n * NUM / DEN) + 1), F.lit(0))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // ROWS_PER_TASK))
+    parts = tasks_for(int(rows), int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = "token long, node long, n int, pos int, " + ", ".join(f"centre{k} long, near{k} boolean" for k in CENTRES)
     shared = _stored(_prefixes(texts, frequent).repartition(parts, "token").mapInArrow(_group_rows, made), "shared")
     comps = _links(texts, nodes, shared, frequent, parts)

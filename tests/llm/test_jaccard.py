@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from leadspark.llm import jaccard
+from leadspark.llm import components, jaccard
 from tests.llm.frames import PROSE, awkward, cluttered, docs
 
 
@@ -195,3 +195,36 @@ def test_pairs_of_a_passage_and_of_near_copies_do_not_grow_with_the_square():
     count = lambda f: sum(b.num_rows for b in f(iter([batch])))
     assert count(jaccard._cross_pairs) == 300 * 299 // 2  # the similar ones, none of the others; was 600 * 599 / 2
     assert count(jaccard._cross_forest) == 299
+
+
+@pytest.mark.parametrize("links", [10, 1_000_000])
+def test_components_of_links(spark, monkeypatch, links):
+    monkeypatch.setattr(components, "LINKS_PER_TASK", links)
+    rng = np.random.default_rng(3)
+    path = rng.permutation(60).tolist()
+    pairs = [*zip(path, path[1:]), *((100 + int(a), 100 + int(b)) for a, b in rng.integers(0, 80, (60, 2))), (-5, -5), (-7, 400), (400, -7)]
+    least = {x: x for p in pairs for x in p if p[0] != p[1]}
+    for _ in least:
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    found = components.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted(least.items())
+
+
+def jobs_of(spark, run):
+    spark.sparkContext.setJobGroup(name := f"count-{id(run)}", "")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_links_of_one_task_need_no_rounds(spark):
+    """The driver keeps a record of each job, so a long path in a small table must not make many."""
+    path = np.random.default_rng(4).permutation(500).tolist()
+    links = spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")
+    assert jobs_of(spark, lambda: components.components(links)) < 12  # was 5 to 10 a round
+    assert jaccard.tasks_for(80_000, 200) == 2  # was 200
+    assert [jaccard.tasks_for(n, 200) for n in (0, 50_000_000, 900_000_000)] == [1, 200, 900]
