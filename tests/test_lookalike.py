@@ -167,3 +167,22 @@ def test_search_by_broadcast_is_spread_over_tasks_and_leaves_own_entries_out(spa
     for key in (0, 1, 3, 45, 399):
         pairs = sorted((abs(v[0] - key % 40), i) for i, v in rows + rows[:3] if i != key)[:12]
         assert got[key] == ([p[0] for p in pairs], [p[1] for p in pairs])
+
+
+def test_a_query_is_moved_once_for_many_small_blocks(spark):
+    """Visits grow with shelves, not with blocks of ``block_rows`` rows, and nothing is lost where nearly all rows must be compared."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3_000, 24))
+    df = spark.createDataFrame(pd.DataFrame({"_i": np.arange(3_000), "_x": x.tolist()}))
+    index = MI.MetricIndex(df, 3_000, 24, 4, block_rows=16, query_rows=128)
+    qs = df.select(F.col("_i").alias("_q"), F.col("_x").alias("_y")).where("_q < 500")
+    assert index.parts.sum() >= 3_000 / 16
+    seeded = index._seeds(qs, 4)
+    assert index._first_visits(seeded).count() + index._visits(seeded).count() <= 2 * 500
+    got = index.search(qs).orderBy("_q").toPandas()
+    np.testing.assert_allclose(np.array(got["distances"].tolist()), brute(x[:500], x, 4), atol=1e-9)
+
+
+def test_units_stand_side_by_side_on_shelves():
+    got = MI._shelves(np.array([1, 1, 5, 1]), np.array([30, 60, 200, 10]), 100)
+    assert got.to_numpy().tolist() == [[0, 0, 1, 3], [0, 0, 1, 1], [1, 3, 2, 2], [3, 3, 1, 10]]
