@@ -169,6 +169,29 @@ def test_search_by_broadcast_is_spread_over_tasks_and_leaves_own_entries_out(spa
         assert got[key] == ([p[0] for p in pairs], [p[1] for p in pairs])
 
 
+def test_cells_find_all_neighbours_in_a_session_without_arrow(spark):
+    """Frames made of pandas rows have other types there; keys of both sides must agree all the same."""
+    x, df = points(spark, 900, 9)
+    held = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        got = K.nearest(df, df.where("row_key % 2 = 0"), "v", "row_key", "row_key", 6, broadcast_values=0, block_rows=16, query_rows=40).orderBy("row_key").collect()
+        mean = K.distance_features(df, df.where("row_key % 2 = 0"), "v", "row_key", 6, broadcast_values=0, block_rows=16, query_rows=40)
+        assert mean.where("mean_dist_converters IS NOT NULL").count() == 900
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", held)
+    np.testing.assert_allclose(np.array([r["distances"] for r in got]), brute(x, x[::2], 6), atol=1e-9)
+
+
+@pytest.mark.parametrize("kw", [{}, dict(broadcast_values=0, block_rows=16)])
+def test_rows_without_a_vector_are_no_neighbours_and_have_none(spark, kw):
+    rows = [(i, [float(i)] * 9) for i in range(30)] + [(30, None), (31, [float("nan")] * 9)]
+    df = spark.createDataFrame(rows, "row_key long, v array<float>")
+    got = {r["row_key"]: list(r["neighbour_ids"]) for r in K.nearest(df, df, "v", "row_key", "row_key", 2, **kw).collect()}
+    assert len(got) == 32 and got[30] == got[31] == [] and got[5] == [5, 4] and got[29] == [29, 28]
+    assert K.distance_features(df, df, "v", "row_key", 2, **kw).where("mean_dist_converters IS NULL").count() == 2
+
+
 def test_a_query_is_moved_once_for_many_small_blocks(spark):
     """Visits grow with shelves, not with blocks of ``block_rows`` rows, and nothing is lost where nearly all rows must be compared."""
     rng = np.random.default_rng(5)
@@ -186,3 +209,16 @@ def test_a_query_is_moved_once_for_many_small_blocks(spark):
 def test_units_stand_side_by_side_on_shelves():
     got = MI._shelves(np.array([1, 1, 5, 1]), np.array([30, 60, 200, 10]), 100)
     assert got.to_numpy().tolist() == [[0, 0, 1, 3], [0, 0, 1, 1], [1, 3, 2, 2], [3, 3, 1, 10]]
+
+
+@pytest.mark.parametrize("copies", [1, 400])
+def test_a_shelf_finds_the_nearest_rows_and_breaks_ties_by_id(copies):
+    rng = np.random.default_rng(copies)
+    x = np.repeat(rng.normal(size=(1_200 // copies if copies > 1 else 1_200, 10)), copies, axis=0)
+    ids, y = rng.permutation(len(x)), rng.normal(size=(300, 10))
+    d, i, work = K._shelf(x, ids, 5).nearest(y, np.full(300, np.inf), 5)
+    assert work > 0
+    for r in range(300):
+        all_d = np.sqrt(((x - y[r]) ** 2).sum(axis=1))
+        order = np.lexsort((ids, all_d))[:5]
+        assert d[r].tolist() == all_d[order].tolist() and i[r].tolist() == ids[order].tolist()
