@@ -131,3 +131,30 @@ def test_stream_without_input_gives_no_rows(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema("publication_date timestamp_ntz, kanton string, shab_id string").parquet(str(tmp_path / "in"))
     assert counts_once(spark, stream).collect() == []
+
+
+def test_all_training_rows_are_learned_from_by_default(spark, tmp_path, monkeypatch):
+    """The query names no bound, so neither search, models nor thresholds come from a sample."""
+    from leadspark.operators.panel import modeling_panel
+    from leadspark.operators.splits import split_by_dates
+    from leadspark.plans import q_jobs
+
+    class Reached(Exception):
+        pass
+
+    seen = []
+
+    def learned(df):
+        seen.append(df.count())
+        raise Reached
+
+    def never(*args, **kw):
+        raise AssertionError("rows were sampled")
+
+    monkeypatch.setattr(jobs, "distinct_dates", learned)
+    monkeypatch.setattr(jobs, "stratified_sample", never)
+    monkeypatch.setattr(jobs, "business_sample", never)
+    sf = "/root/testdata/sf0.001"
+    with pytest.raises(Reached):
+        q_jobs.job_train_and_score(spark, sf)
+    assert seen == [split_by_dates(modeling_panel(companies(spark, sf), SPEC))[0].count()]
