@@ -165,9 +165,7 @@ def lk_combined(spark, sf):
     """Training, validation and test rows with every look-alike feature fitted on training."""
     rows = cut(features(spark, sf).select("row_key", "snapshot_date", "target", *NUMBERS, *TEXTS), spread=True)  # read by every fit and frame below
     train, val, test = split_by_dates(rows)
-    frames = K.add_lookalike_features(
-        train, {"val": val, "test": test}, numeric=NUMBERS, categorical=TEXTS, n_clusters=FIT["k"], n_init=FIT["n_init"], max_iter=FIT["max_iter"]
-    )
+    frames = K.add_lookalike_features(train, {"val": val, "test": test}, numeric=NUMBERS, categorical=TEXTS)
     cols = ["row_key", "cluster_id", "cluster_conversion_rate", *[c for c in K.DISTANCE_FEATURES if c in frames["train"].columns]]
     out = None
     for name, df in frames.items():

@@ -222,3 +222,28 @@ def test_a_shelf_finds_the_nearest_rows_and_breaks_ties_by_id(copies):
         all_d = np.sqrt(((x - y[r]) ** 2).sum(axis=1))
         order = np.lexsort((ids, all_d))[:5]
         assert d[r].tolist() == all_d[order].tolist() and i[r].tolist() == ids[order].tolist()
+
+
+def test_one_pass_gives_means_and_modes_of_every_start(spark, monkeypatch):
+    monkeypatch.setattr(K, "PACK_ROWS", 30)  # several blocks a task
+    pdf, df = mixed(spark)
+    start = K.fit_prototypes(df, ["a", "b"], ["c"], "row_key", 3, 1, max_iter=0)
+    got = K.fit_prototypes(df, ["a", "b"], ["c"], "row_key", 3, 1, max_iter=1)
+    marked = K.assign_clusters(df, start).toPandas().groupby("cluster_id")
+    np.testing.assert_allclose(np.array(got.centers), marked[["a", "b"]].mean().to_numpy(), atol=1e-9)
+    assert [m[0] for m in got.modes] == [max(g["c"].unique(), key=lambda v: ((g["c"] == v).sum(), v)) for _, g in marked]
+    costs = []
+    for i in (1, 3):
+        p = K.fit_prototypes(df, ["a", "b"], ["c"], "row_key", 4, i)
+        costs.append(df.agg(F.sum(K.assignment(p)["cost"])).first()[0])
+    assert costs[1] <= costs[0] + 1e-9
+
+
+def test_combined_query_fits_as_many_clusters_starts_and_steps_as_the_library(spark, sf, monkeypatch):
+    from leadspark.plans import q_lookalike
+
+    seen, fit = [], K.fit_prototypes
+    monkeypatch.setattr(K, "fit_prototypes", lambda *args: seen.append(args) or fit(*args))
+    out = q_lookalike.lk_combined(spark, sf)
+    assert [a[4:7] for a in seen] == [(K.N_CLUSTERS, 3, 100)]
+    assert out.select("cluster_id").distinct().count() > 8
